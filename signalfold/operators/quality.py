@@ -53,17 +53,19 @@ def payload_reason() -> Column:
 
 
 def split_by_reason(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
-    """Valid rows, and the others with their ``reason``."""
+    """Valid rows, and the others with their ``reason``. Each side reads the rows; to store both,
+    :func:`signalfold.sinks.batch.write_checked` takes one pass."""
     checked = df.withColumn("reason", reason)
     return checked.where(F.col("reason").isNull()).drop("reason"), checked.where(F.col("reason").isNotNull())
 
 
-def split_malformed(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Messages with a parsed ``record``, and those whose text is no event."""
-    parsed = parse(messages, value)
+def split_malformed(messages: DataFrame, *keep: str, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Parsed messages, and the text of those that are no event. Each side reads the messages; to
+    store both, :func:`signalfold.sinks.batch.write_checked` takes one pass."""
+    parsed = parse(messages.withColumn("_text", F.col(value).cast("string")), *keep, "_text", value="_text")
     return (
-        parsed.where(~F.col("malformed")).drop("malformed"),
-        parsed.where(F.col("malformed")).drop("malformed", "record"),
+        parsed.where(~F.col("malformed")).drop("malformed", "_text"),
+        parsed.where(F.col("malformed")).select(*keep, F.col("_text").alias("value")),
     )
 
 

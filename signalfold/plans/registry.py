@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalfold.functions.expressions import bucket_start, event_date, is_fatal, is_type
 from signalfold.operators import crashes, features, observe, performance, quality, retention, serving, usage, windows
@@ -20,7 +21,7 @@ from signalfold.session import workspace
 from signalfold.settings import AlertSettings, StreamSettings
 from signalfold.sinks import batch as sinks
 from signalfold.sources import raw, wire
-from signalfold.sources.star import table, telemetry
+from signalfold.sources.star import payload_key, table, telemetry
 from signalfold.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,17 +198,17 @@ def expr_conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An event to JSON text, back, and to text again; ``stable`` says both texts are equal."""
-    first = wire.encode(_full(spark, sf_dir)).withColumnRenamed("value", "first")
-    record = F.from_json("first", event_schema(timestamp=event_schema()["event_id"].dataType)).alias("record")
-    back = first.select("first", record)
+    first = wire.encode(_full(spark, sf_dir)).select(F.col("value").alias("first"))
+    # the wire form: timestamp as text, payload typed
+    record = F.from_json("first", event_schema(timestamp=T.StringType()))
+    back = first.select("first", F.inline(F.array(record)))
+    again = F.to_json(F.struct(*[F.col(c) for c in back.columns if c != "first"]))
     return back.select(
-        "record.event_id", "record.event_type", "record.timestamp", "record.region",
-        F.col("record.payload.session_id").alias("session_id"),
-        F.col("record.payload.duration_ms").alias("duration_ms"),
-        F.col("record.payload.is_fatal").alias("is_fatal"),
-        F.col("record.payload.value").alias("metric_value"),
-        (F.to_json("record") == F.col("first")).alias("stable"),
-    ).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).withColumnRenamed("timestamp", "event_time")
+        "event_id", "event_type", F.col("timestamp").cast("timestamp_ntz").alias("event_time"), "region",
+        "payload.session_id", "payload.duration_ms", "payload.is_fatal",
+        F.col("payload.value").alias("metric_value"),
+        (again == F.col("first")).alias("stable"),
+    )
 
 
 # --- batch reports --------------------------------------------------------------
@@ -345,7 +346,7 @@ def dq_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _careless(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes with faults that follow from the data: clicks keep their own event type, customers
     of HOUSEHOLD their segment as device type, and the device or region is lost for some ``k``."""
-    facts = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    facts = table(spark, sf_dir, "events").withColumn("k", payload_key())
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     kind = F.col("event_type")
     return facts.join(customer, F.col("user_id") == F.col("c_custkey"), "left").select(
@@ -412,10 +413,7 @@ def dq_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         F.when(n % 10 == 7, F.substring("value", 1, 20)).when(n % 10 == 3, "[1, 2]").otherwise(F.col("value")),
     )
-    good, bad = quality.split_malformed(messages)
-    return good.select("key", F.lit(False).alias("malformed")).unionByName(
-        bad.select("key", F.lit(True).alias("malformed"))
-    )
+    return wire.parse(messages, "key").select("key", "malformed")
 
 
 def route_topic(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,6 +32,12 @@ def land_raw(events: DataFrame, path: str) -> None:
     write_partitioned(with_topic(events).withColumn("event_date", event_date()), path, "topic", "event_date")
 
 
+def write_checked(checked: DataFrame, path: str, reason: str = "reason") -> None:
+    """Valid rows and quarantined rows (those with a ``reason``) in one pass, in the folders
+    ``quarantined=false`` and ``quarantined=true``."""
+    write_partitioned(checked.withColumn("quarantined", F.col(reason).isNotNull()), path, "quarantined")
+
+
 def publish(events: DataFrame, path: str) -> None:
     """Keyed JSON messages, one folder per topic."""
     write_partitioned(encode(events), path, "topic")

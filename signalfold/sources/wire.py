@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,35 +38,33 @@ def encode(events: DataFrame) -> DataFrame:
     )
 
 
-def parse(messages: DataFrame, value: str = "value") -> DataFrame:
-    """The input columns, the parsed ``record`` and a ``malformed`` flag (no JSON object, or one
-    whose parts have the wrong shape). Bytes and text are both accepted."""
+def parse(messages: DataFrame, *keep: str, value: str = "value") -> DataFrame:
+    """Columns ``keep`` of the input, the envelope as text, the payload as a map of text, and
+    ``malformed``: no JSON object, or one whose parts have the wrong shape. Bytes and text are both
+    accepted.
+
+    The record is a one-element array that is unfolded. Spark would copy a plain ``from_json`` into
+    every filter above it and parse each text several times; it does not copy generators.
+    """
     text = F.col(value).cast("string")
-    parsed = messages.withColumn("record", F.from_json(text, _PARSE))
-    malformed = (
-        text.isNull()
-        | (F.trim(text) == "")
-        | F.col("record").isNull()
-        | F.col("record._corrupt_record").isNotNull()
-    )
-    return parsed.withColumn("malformed", malformed)
+    parsed = messages.select(*keep, F.inline(F.array(F.from_json(text, _PARSE))))
+    # a record without any envelope field is no event; null or empty text gives just that
+    empty = F.coalesce(*ENVELOPE_FIELDS).isNull()
+    return parsed.withColumn("malformed", F.col("_corrupt_record").isNotNull() | empty).drop("_corrupt_record")
 
 
 def decode(messages: DataFrame, value: str = "value", timestamp_type: str = "timestamp") -> DataFrame:
     """Envelope columns and the payload as a map of text. A malformed message gives nulls; split
     those off with :func:`signalfold.operators.quality.split_malformed` where they matter."""
-    records = messages.select(F.from_json(F.col(value).cast("string"), _PARSE).alias("record"))
-    return flatten(records, timestamp_type)
-
+    return typed(parse(messages, value=value), timestamp_type)
 
-def flatten(records: DataFrame, timestamp_type: str = "timestamp") -> DataFrame:
-    """Envelope and payload columns of a ``record`` column."""
-    return records.select(*[_field(name, timestamp_type) for name in ENVELOPE_FIELDS], F.col("record.payload"))
 
-
-def _field(name: str, timestamp_type: str) -> Column:
-    column = F.col(f"record.{name}")
-    return column.try_cast(timestamp_type).alias(name) if name == "timestamp" else column
+def typed(parsed: DataFrame, timestamp_type: str = "timestamp") -> DataFrame:
+    """Envelope and payload of parsed messages, with a real timestamp (null if it is none)."""
+    timestamp = F.col("timestamp").try_cast(timestamp_type).alias("timestamp")
+    return parsed.select(
+        *[timestamp if name == "timestamp" else F.col(name) for name in ENVELOPE_FIELDS], "payload"
+    )
 
 
 def kafka_source_options(settings: KafkaSettings, topics: Sequence[str]) -> dict[str, str]:
