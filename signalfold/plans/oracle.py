@@ -144,7 +144,7 @@ ORACLE: dict[str, str] = {
     ),
     "sink_stream_parquet": _t(
         f"select *, cast(window_start as date) as window_date from ({ERROR_SPIKES}) where window_end <= "
-        "(select max(event_time) from telemetry where event_type = 'crash_event') - interval '10 seconds'"
+        "(select max(event_time) from telemetry) - interval '10 seconds'"
     ),
     "sink_roundtrip": _t(REGIONAL),
     "publish_keyed": _t("select topic, device_id as key, event_id, event_type, region from telemetry"),

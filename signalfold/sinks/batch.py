@@ -34,8 +34,9 @@ def land_raw(events: DataFrame, path: str) -> None:
 
 def write_checked(checked: DataFrame, path: str, reason: str = "reason") -> None:
     """Valid rows and quarantined rows (those with a ``reason``) in one pass, in the folders
-    ``quarantined=false`` and ``quarantined=true``."""
-    write_partitioned(checked.withColumn("quarantined", F.col(reason).isNotNull()), path, "quarantined")
+    ``status=valid`` and ``status=quarantined``."""
+    status = F.when(F.col(reason).isNull(), "valid").otherwise("quarantined")
+    write_partitioned(checked.withColumn("status", status), path, "status")
 
 
 def publish(events: DataFrame, path: str) -> None:

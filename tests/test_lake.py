@@ -1,0 +1,106 @@
+"""Stored reports: batch run, tables, BI queries, serving, archive."""
+
+import os
+from dataclasses import replace
+from datetime import date
+
+import pytest
+from conftest import SF_DIR, rows
+
+from signalfold.operators.usage import daily_usage_trends
+from signalfold.operators.serving import MetricsStore
+from signalfold.plans import catalog
+from signalfold.plans.batch import run_batch
+from signalfold.session import workspace
+from signalfold.settings import LakeSettings, Settings
+from signalfold.sinks import batch as sinks
+from signalfold.sources.star import telemetry
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    """A lake with raw events and all reports."""
+    lake = LakeSettings(root=str(tmp_path_factory.mktemp("lake")), database="lake_test")
+    events = telemetry(spark, SF_DIR)
+    sinks.land_raw(events, lake.raw)
+    run_batch(events, replace(Settings(), lake=lake))
+    catalog.register_lake(spark, lake)
+    return lake
+
+
+def test_tables_hold_the_reports(spark, lake):
+    for report, columns in catalog.REPORT_COLUMNS.items():
+        stored = spark.table(f"lake_test.{report}")
+        assert stored.count() > 0, report
+        on_disk = dict(spark.read.parquet(f"{lake.batch}/{report}").dtypes)
+        assert {c.split()[0]: c.split()[1].lower() for c in columns.split(", ")} == on_disk, report
+
+
+def test_registering_again_changes_nothing(spark, lake):
+    assert len(catalog.register_lake(spark, lake)) == 11
+
+
+def test_raw_tables_have_all_events(spark, lake):
+    total = sum(spark.table(f"lake_test.{t}").count() for t in catalog.RAW_TABLES.values())
+    assert total == telemetry(spark, SF_DIR).count()
+    one_day = spark.sql("select * from lake_test.raw_crashes where event_date = date '2024-01-03'")
+    assert "PartitionFilters: [isnotnull(event_date" in one_day._jdf.queryExecution().toString()
+    assert one_day.where("event_type <> 'crash_event'").count() == 0
+
+
+def test_bi_queries_over_tables(spark, lake):
+    tables = catalog.lake_tables(spark, lake)
+    devices = telemetry(spark, SF_DIR, device=False, region=False).select("device_id").distinct()
+    top = catalog.top_features(spark, tables["feature_ranking"], devices).collect()
+    assert len(top) == 10 and all(0 < r.adoption_rate <= 1 for r in top)
+    assert catalog.crash_rates(spark, tables["crash_analysis"]).count() > 0
+    assert catalog.region_usage(spark, tables["regional_trends"], "ASIA").count() == 30
+    assert catalog.week_over_week(spark, tables["daily_trends"]).where("prev_week_dau is null").count() == 7
+
+
+def test_store_serves_stored_reports(spark, lake):
+    store = MetricsStore(spark, lake.batch, telemetry(spark, SF_DIR))
+    assert rows(store.get_usage_metrics(start_date="2024-01-10", end_date="2024-01-12")) == [
+        r for r in rows(daily_usage_trends(telemetry(spark, SF_DIR))) if date(2024, 1, 10) <= r[0] <= date(2024, 1, 12)
+    ]
+    assert store.get_usage_metrics(region="ASIA", granularity="hourly").columns[0] == "hour"
+    crashes = store.get_crash_metrics(os="iOS").collect()
+    assert [r.crash_count for r in crashes] == sorted((r.crash_count for r in crashes), reverse=True)
+    assert sum(r.crash_count for r in store.get_crash_metrics(start_date="2024-01-10", end_date="2024-01-10").collect()) > 0
+    assert [r.rank for r in store.get_adoption_metrics(top_n=3).collect()] == [1, 2, 3]
+    assert store.get_performance_metrics(device_type="mobile", metric_name="metric_1").count() > 0
+    assert store.get_realtime_snapshot().count() == 1
+
+
+def test_missing_data_raises(spark, lake):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        MetricsStore(spark, f"{lake.root}/nowhere").get_usage_metrics()
+    with pytest.raises(ValueError):
+        MetricsStore(spark, lake.batch).get_usage_metrics(granularity="hourly")
+
+
+def test_archive_is_disjoint_complete_and_repeatable(spark, tmp_path):
+    df = spark.sql("select date_add(date '2024-01-01', cast(id as int)) date, id from range(40) union all select null, 99")
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    for _ in range(2):
+        sinks.archive(df, date(2024, 2, 1), old, new, days_old=15)
+    archived, kept = spark.read.parquet(old), spark.read.parquet(new)
+    assert archived.count() == 16 and archived.agg({"date": "max"}).first()[0] == date(2024, 1, 16)
+    assert kept.count() == 25 and kept.where("date is null").count() == 1
+    sinks.archive(kept, date(2024, 2, 8), old, str(tmp_path / "newer"), days_old=15)
+    assert spark.read.parquet(old).count() == 23  # an earlier archive stays
+    assert sorted(n for n in os.listdir(old)) == ["archived_before=2024-01-17", "archived_before=2024-01-24"]
+
+
+def test_rebalanced_folders(spark, tmp_path):
+    path = str(tmp_path / "out")
+    sinks.write_partitioned(spark.range(0, 3000, numPartitions=12).selectExpr("id", "id % 3 as k"), path, "k")
+    for k in range(3):
+        assert len([f for f in os.listdir(f"{path}/k={k}") if f.endswith(".parquet")]) == 1
+    assert spark.read.parquet(path).count() == 3000
+
+
+def test_workspace_is_in_the_shared_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    first, second = workspace(spark, "x"), workspace(spark, "x")
+    assert first != second and first.startswith(base) and not os.path.exists(first)
