@@ -21,7 +21,7 @@ from signalfold.session import workspace
 from signalfold.settings import AlertSettings, StreamSettings
 from signalfold.sinks import batch as sinks
 from signalfold.sources import raw, wire
-from signalfold.sources.star import payload_key, table, telemetry
+from signalfold.sources.star import K, table, telemetry
 from signalfold.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -346,7 +346,7 @@ def dq_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _careless(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes with faults that follow from the data: clicks keep their own event type, customers
     of HOUSEHOLD their segment as device type, and the device or region is lost for some ``k``."""
-    facts = table(spark, sf_dir, "events").withColumn("k", payload_key())
+    facts = table(spark, sf_dir, "events").withColumn("k", F.expr(K))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     kind = F.col("event_type")
     return facts.join(customer, F.col("user_id") == F.col("c_custkey"), "left").select(

@@ -6,44 +6,62 @@ and, for the region, from ``nation`` and ``region``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from signalfold.schema import ENVELOPE_FIELDS, PAYLOAD_TYPES
+from signalfold.schema import PAYLOAD_TYPES
 
-# --- fixed values: how the star schema maps to telemetry ---------------------
-EVENT_TYPE_MAP = {"signup": "app_open", "error": "crash_event", "purchase": "performance_metric"}
-OTHER_EVENT_TYPE = "feature_used"
-DEVICE_TYPE_MAP = {
-    "AUTOMOBILE": "mobile", "MACHINERY": "mobile", "BUILDING": "desktop", "FURNITURE": "desktop",
+# --- fixed values: the star-schema columns read here, and how they map to telemetry ---
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
 }
-OTHER_DEVICE_TYPE = "tablet"
-APP_VERSIONS = ("2.3.0", "2.4.0", "2.4.1", "2.5.0-beta")
-# -----------------------------------------------------------------------------
+# props is always {"k": <number>}; a pattern reads this flat form several times faster than a parser
+K = r"""try_cast(regexp_extract(props, '"k"\\s*:\\s*(-?\\d+)', 1) AS int)"""
+EVENT_TYPE = """CASE event_type WHEN 'signup' THEN 'app_open' WHEN 'error' THEN 'crash_event'
+    WHEN 'purchase' THEN 'performance_metric' ELSE 'feature_used' END"""
+DEVICE_TYPE = """CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'mobile'
+    WHEN c_mktsegment IN ('BUILDING', 'FURNITURE') THEN 'desktop' ELSE 'tablet' END"""
+OS = """CASE WHEN device_type <> 'desktop' THEN CASE WHEN k % 2 = 0 THEN 'iOS' ELSE 'Android' END
+    WHEN k % 3 = 0 THEN 'Windows' WHEN k % 3 = 1 THEN 'macOS' ELSE 'Linux' END"""
+APP_VERSION = """CASE user_id % 4 WHEN 0 THEN '2.3.0' WHEN 1 THEN '2.4.0' WHEN 2 THEN '2.4.1'
+    ELSE '2.5.0-beta' END"""
+PAYLOAD = {
+    "app_open": {
+        "session_id": "concat(user_id, '-', CAST(ts AS date))",
+        "launch_time_ms": "k * 80",
+        "is_cold_start": "k % 10 < 3",
+    },
+    "feature_used": {
+        "feature_name": "concat('feature_', k % 15)",
+        "duration_ms": "round(value * 100)",
+        "interaction_count": "k % 50 + 1",
+    },
+    "crash_event": {
+        "crash_type": "concat('crash_', k % 8)",
+        "is_fatal": "k % 5 = 0",
+        "memory_usage_mb": "100 + value",
+    },
+    "performance_metric": {
+        "metric_name": "concat('metric_', k % 7)",
+        "value": "value",
+    },
+}
+# ---------------------------------------------------------------------------------------
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _choose(column: Column, mapping: dict[str, str], otherwise: str) -> Column:
-    result = None
-    for source, target in mapping.items():
-        result = F.when(column == source, target) if result is None else result.when(column == source, target)
-    return result.otherwise(otherwise)
+    """A table by its known schema, without a pass over the files to infer it."""
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def region_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``n_nationkey, region``, one row per nation."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("region"))
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select("n_nationkey", "region")
-
-
-def payload_key() -> Column:
-    """The number in ``props``, which is always ``{"k": <number>}``; a pattern reads this flat form
-    several times faster than a JSON parser."""
-    return F.regexp_extract("props", r'"k"\s*:\s*(-?\d+)', 1).try_cast("int")
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "left").selectExpr(
+        "n_nationkey", "r_name AS region"
+    )
 
 
 def telemetry(
@@ -65,78 +83,40 @@ def telemetry(
     """
     if events is None:
         events = table(spark, sf_dir, "events")
-    facts = events.select("event_id", "ts", "user_id", "event_type", "value", payload_key().alias("k"))
+    facts = events.selectExpr("event_id", "ts", "user_id", f"{EVENT_TYPE} AS event_type", "value", f"{K} AS k")
     if device or region:
-        customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-        facts = facts.join(customer, F.col("user_id") == F.col("c_custkey"), "left")
+        customer = table(spark, sf_dir, "customer")
+        facts = facts.join(customer, facts["user_id"] == customer["c_custkey"], "left")
     if region:
-        facts = facts.join(region_names(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-
-    columns = {
-        "event_id": F.col("event_id").cast("string"),
-        "event_type": _choose(F.col("event_type"), EVENT_TYPE_MAP, OTHER_EVENT_TYPE),
-        "timestamp": F.col("ts"),
-        "device_id": F.col("user_id").cast("string"),
-        "device_type": _choose(F.col("c_mktsegment"), DEVICE_TYPE_MAP, OTHER_DEVICE_TYPE),
-        "os": _os(),
-        "app_version": _app_version(),
-        "region": F.col("region"),
-    }
-    if not device:
-        columns["device_type"] = columns["os"] = F.lit(None).cast("string")
-    if not region:
-        columns["region"] = F.lit(None).cast("string")
-    return facts.select(
-        *[columns[name].alias(name) for name in ENVELOPE_FIELDS],
-        _payload(columns["event_type"]).alias("payload"),
+        names = region_names(spark, sf_dir)
+        facts = facts.join(names, facts["c_nationkey"] == names["n_nationkey"], "left")
+    unknown = "CAST(NULL AS string)"
+    facts = facts.selectExpr(
+        "event_id", "ts", "user_id", "event_type", "value", "k",
+        f"{DEVICE_TYPE if device else unknown} AS device_type",
+        f"{'region' if region else unknown} AS region",
+    )
+    return facts.selectExpr(
+        "CAST(event_id AS string) AS event_id",
+        "event_type",
+        "ts AS timestamp",
+        "CAST(user_id AS string) AS device_id",
+        "device_type",
+        f"{OS if device else unknown} AS os",
+        f"{APP_VERSION} AS app_version",
+        "region",
+        f"{_payload()} AS payload",
     )
 
 
-def _os() -> Column:
-    k = F.col("k")
-    handheld = F.when(k % 2 == 0, "iOS").otherwise("Android")
-    desk = F.when(k % 3 == 0, "Windows").when(k % 3 == 1, "macOS").otherwise("Linux")
-    is_desktop = _choose(F.col("c_mktsegment"), DEVICE_TYPE_MAP, OTHER_DEVICE_TYPE) == "desktop"
-    return F.when(is_desktop, desk).otherwise(handheld)
-
-
-def _app_version() -> Column:
-    slot = F.col("user_id") % len(APP_VERSIONS)
-    column = F.when(slot == 0, APP_VERSIONS[0])
-    for i, version in enumerate(APP_VERSIONS[1:-1], start=1):
-        column = column.when(slot == i, version)
-    return column.otherwise(APP_VERSIONS[-1])
-
-
-def _payload(event_type: Column) -> Column:
-    k, value = F.col("k"), F.col("value")
-    day = F.col("ts").cast("date").cast("string")
-    fields = {
-        "app_open": {
-            "session_id": F.concat(F.col("user_id").cast("string"), F.lit("-"), day),
-            "launch_time_ms": k * 80,
-            "is_cold_start": k % 10 < 3,
-        },
-        "feature_used": {
-            "feature_name": F.concat(F.lit("feature_"), (k % 15).cast("string")),
-            "duration_ms": F.round(value * 100),
-            "interaction_count": k % 50 + 1,
-        },
-        "crash_event": {
-            "crash_type": F.concat(F.lit("crash_"), (k % 8).cast("string")),
-            "is_fatal": k % 5 == 0,
-            "memory_usage_mb": value + 100,
-        },
-        "performance_metric": {
-            "metric_name": F.concat(F.lit("metric_"), (k % 7).cast("string")),
-            "value": value,
-        },
-    }
-    by_name = {
-        name: F.when(event_type == kind, expression)
-        for kind, named in fields.items()
-        for name, expression in named.items()
+def _payload() -> str:
+    """The payload struct, with each field set for its event type only."""
+    expressions = {
+        name: f"CASE WHEN event_type = '{kind}' THEN {expression} END"
+        for kind, fields in PAYLOAD.items()
+        for name, expression in fields.items()
     }
-    return F.struct(
-        *[by_name.get(name, F.lit(None)).cast(sql_type).alias(name) for name, sql_type in PAYLOAD_TYPES.items()]
-    )
+    fields = [
+        f"'{name}', CAST({expressions.get(name, 'NULL')} AS {sql_type})" for name, sql_type in PAYLOAD_TYPES.items()
+    ]
+    return f"named_struct({', '.join(fields)})"
