@@ -16,12 +16,10 @@ def magnitude_bucket(value: Column) -> Column:
     return (F.signum(value) * F.floor(octaves * F.lit(BUCKETS_PER_OCTAVE))).cast("bigint")
 
 
-def values_at(
-    df: DataFrame, keys: Sequence[str], value: str, positions: Mapping[str, Column]
-) -> DataFrame:
+def values_at(df: DataFrame, keys: Sequence[str], value: str, positions: Mapping[str, str]) -> DataFrame:
     """Exact value at given 0-based positions of each group's sorted non-null values.
 
-    ``positions`` maps an output column to an expression over ``n``, the group's value count.
+    ``positions`` maps an output column to a SQL expression over ``n``, the group's value count.
     One row per group; a position outside ``0 .. n-1`` gives null.
 
     Equal values are counted before the shuffle, so a hot value is one row per task. The counts are
@@ -41,37 +39,29 @@ def values_at(
     buckets = (
         counts.groupBy(*keys, "_bucket")
         .agg(F.sum("_count").alias("_in_bucket"))
-        .withColumn("n", F.sum("_in_bucket").over(group))
-        .withColumn("_before", F.sum("_in_bucket").over(upto) - F.col("_in_bucket"))
+        .withColumns({"n": F.sum("_in_bucket").over(group), "_upto": F.sum("_in_bucket").over(upto)})
+        .selectExpr(*keys, "_bucket", "n", "_upto - _in_bucket AS _before", "_upto")
     )
-    wanted = F.array(
-        *[F.struct(F.lit(name).alias("name"), position.cast("bigint").alias("at")) for name, position in positions.items()]
-    )
-    targets = buckets.select(*keys, "_bucket", "_before", "_in_bucket", F.explode(wanted).alias("_pick")).where(
-        (F.col("_pick.at") >= F.col("_before")) & (F.col("_pick.at") < F.col("_before") + F.col("_in_bucket"))
-    )
-    # one row per bucket in use, so the join cannot multiply the counts
-    targets = targets.groupBy(
-        *[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_bucket").alias("_t_bucket"), "_before"
-    ).agg(F.collect_list("_pick").alias("_picks"))
+    # of each bucket the positions that lie in it; one row per bucket, so that the join with it
+    # cannot multiply the counts
+    picks = ", ".join(f"struct('{name}' AS name, CAST({at} AS bigint) AS at)" for name, at in positions.items())
+    targets = buckets.selectExpr(
+        *[f"{k} AS _t_{k}" for k in keys],
+        "_bucket AS _t_bucket",
+        "_before",
+        f"filter(array({picks}), p -> p.at >= _before AND p.at < _upto) AS _picks",
+    ).where("size(_picks) > 0")
 
-    same_bucket = F.col("_bucket") == F.col("_t_bucket")
-    for k in keys:
-        same_bucket = same_bucket & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
-    inside = counts.join(targets, same_bucket)
+    # null-safe throughout: a plain equality would add a null filter to one reading of the counts
+    # and so keep the two readings from sharing their shuffle
+    same_bucket = " AND ".join(["_bucket <=> _t_bucket", *[f"{k} <=> _t_{k}" for k in keys]])
+    inside = counts.join(targets, F.expr(same_bucket))
     running = (
         Window.partitionBy(*keys, "_bucket").orderBy("_value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     placed = inside.withColumn("_end", F.col("_before") + F.sum("_count").over(running))
-
-    def at(name: str) -> Column:
-        hit = F.exists(
-            "_picks",
-            lambda p: (p["name"] == name)
-            & (p["at"] >= F.col("_end") - F.col("_count"))
-            & (p["at"] < F.col("_end")),
-        )
-        return F.max(F.when(hit, F.col("_value"))).alias(name)
-
-    return placed.groupBy(*keys).agg(*[at(name) for name in positions])
+    hit = "exists(_picks, p -> p.name = '{0}' AND p.at >= _end - _count AND p.at < _end)"
+    return placed.groupBy(*keys).agg(
+        *[F.expr(f"max(CASE WHEN {hit.format(name)} THEN _value END)").alias(name) for name in positions]
+    )

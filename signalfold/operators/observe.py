@@ -147,14 +147,13 @@ def run_latency_summary(events: DataFrame, run: str, latency: Column, error: Col
     totals = rows.groupBy("run").agg(
         F.count("*").alias("total_events"), F.count_if(F.col("error")).alias("errors")
     )
-    n = F.col("n")
     picked = values_at(
         rows, ["run"], "latency",
         {
-            "_low": F.floor((n - 1) / 2),
-            "_high": F.floor(n / 2),
-            "p95_ms": F.floor(n * F.lit(0.95)),
-            "p99_ms": F.floor(n * F.lit(0.99)),
+            "_low": "floor((n - 1) / 2)",
+            "_high": "floor(n / 2)",
+            "p95_ms": "floor(n * 0.95D)",
+            "p99_ms": "floor(n * 0.99D)",
         },
     ).withColumnRenamed("run", "_run")
     zero = F.lit(0.0)

@@ -111,13 +111,21 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, DataF
     return session, telemetry(session, sf_dir, events=facts)
 
 
+def _landed(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """A stream of events, landed to its end and read back."""
+    path, checkpoint = workspace(spark, "landing"), workspace(spark, "landing-checkpoint")
+    query = jobs.land_raw_stream(
+        events, path, checkpoint, trigger=None, files_per_folder=jobs.backlog_files(spark)
+    )
+    jobs.run_to_end(query)
+    return spark.read.parquet(path)
+
+
 def stream_all_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded messages of all topics through one stream: decoded, routed, landed."""
     _, events = _event_stream(spark, sf_dir)
     decoded = normalise(wire.decode(wire.encode(events)))
-    path = workspace(spark, "all-topics")
-    jobs.run_to_end(jobs.land_raw_stream(decoded, path, workspace(spark, "all-topics-checkpoint"), trigger=None))
-    landed = spark.read.parquet(path)
+    landed = _landed(spark, decoded)
     return landed.groupBy("topic", "event_type", "event_date").agg(
         F.count("*").alias("event_count"), F.countDistinct("device_id").alias("devices")
     )
@@ -128,9 +136,7 @@ def stream_all_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, events = _event_stream(spark, sf_dir)
-    path = workspace(spark, "landing")
-    jobs.run_to_end(jobs.land_raw_stream(events, path, workspace(spark, "landing-checkpoint"), trigger=None))
-    return spark.read.parquet(path).select("event_id", "topic", "event_date", "event_type", "device_id", "region")
+    return _landed(spark, events).select("event_id", "topic", "event_date", "event_type", "device_id", "region")
 
 
 def sink_stream_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:

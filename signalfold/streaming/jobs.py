@@ -23,6 +23,8 @@ def streaming_session(spark: SparkSession, shuffle_partitions: int | None = None
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # commit the changes of a batch, not a snapshot of all state
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return session
 
 
@@ -49,13 +51,30 @@ def write_parquet_stream(
 
 
 def land_raw_stream(
-    events: DataFrame, path: str, checkpoint: str, trigger: str | None = StreamSettings.trigger
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: str | None = StreamSettings.trigger,
+    files_per_folder: int | None = None,
 ) -> StreamingQuery:
-    """Events as Parquet by topic and day, for the batch layer to read."""
+    """Events as Parquet by topic and day, for the batch layer to read.
+
+    A micro-batch of fresh events touches few folders and is written as it comes. A backlog of many
+    days would have every task write a file per folder; ``files_per_folder`` gathers each folder's
+    rows into that many files, spread by event id so that no folder depends on one task.
+    """
     landed = with_topic(events).withColumn("event_date", event_date())
+    if files_per_folder:
+        slot = F.pmod(F.xxhash64("event_id"), F.lit(files_per_folder))
+        landed = landed.repartition("topic", "event_date", slot)
     return _start(landed, "raw_landing", path, checkpoint, trigger, "topic", "event_date")
 
 
+def backlog_files(spark: SparkSession) -> int:
+    """``files_per_folder`` for landing a backlog: an eighth of the cluster's cores."""
+    return max(1, spark.sparkContext.defaultParallelism // 8)
+
+
 def _start(df: DataFrame, name: str, path: str, checkpoint: str, trigger: str | None, *columns: str) -> StreamingQuery:
     writer = (
         df.writeStream.queryName(name)

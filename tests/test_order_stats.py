@@ -21,8 +21,7 @@ def test_values_at_equals_sorting(spark):
     data = [(k, v) for k, values in groups.items() for v in values] + [("one", None), ("empty", None)]
     rng.shuffle(data)
     df = spark.createDataFrame(data, "k string, v double").repartition(7)
-    n = F.col("n")
-    picked = values_at(df, ["k"], "v", {"first": F.lit(0), "mid": F.floor(n / 2), "last": n - 1, "beyond": n})
+    picked = values_at(df, ["k"], "v", {"first": "0", "mid": "floor(n / 2)", "last": "n - 1", "beyond": "n"})
     got = {r.k: r for r in picked.collect()}
     assert set(got) == set(groups)
     for k, values in groups.items():
