@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from signalfold.schema import EVENT, TOPICS
 from signalfold.settings import LakeSettings
@@ -41,26 +40,27 @@ REPORT_COLUMNS = {
 # -----------------------------------------------------------------------------
 
 
-def ddl(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-
-
 def register_lake(spark: SparkSession, lake: LakeSettings = LakeSettings()) -> list[str]:
-    """Create the database and an external Parquet table over each raw topic and each report, where
-    they do not exist. Raw tables are partitioned by day, so a date filter prunes folders."""
+    """Create the database, a view per raw topic, and an external Parquet table over each report.
+
+    The raw views read the landing folder by its root, where a stream keeps its commit log, and so
+    see finished batches only; filters on ``event_date`` and the topic prune folders. Tables that
+    exist are left as they are; the views are renewed.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {lake.database}")
     names = []
+    columns = ", ".join([*EVENT.fieldNames(), "event_date"])
     for topic, table in RAW_TABLES.items():
         name = f"{lake.database}.{table}"
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({ddl(EVENT)}, `event_date` date) USING PARQUET "
-            f"PARTITIONED BY (event_date) LOCATION '{lake.raw}/topic={topic}'"
+            f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{lake.raw}` WHERE topic = '{topic}'"
         )
-        spark.catalog.recoverPartitions(name)
         names.append(name)
-    for report, columns in REPORT_COLUMNS.items():
+    for report, report_columns in REPORT_COLUMNS.items():
         name = f"{lake.database}.{report}"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING PARQUET LOCATION '{lake.batch}/{report}'")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({report_columns}) USING PARQUET LOCATION '{lake.batch}/{report}'"
+        )
         names.append(name)
     return names
 

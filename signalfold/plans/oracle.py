@@ -85,6 +85,17 @@ ERROR_SPIKES = f"""select {HALF_MINUTE}, os, app_version, count(*) as crash_coun
   count(distinct device_id) as affected_devices
   from telemetry where event_type = 'crash_event' group by 1, 2, os, app_version"""
 
+ACTIVE_USERS = f"""select {MINUTE}, region, device_type, count(distinct device_id) as active_users,
+  count(*) as event_count from telemetry group by 1, 2, region, device_type"""
+
+FEATURE_USAGE = f"""select {MINUTE}, feature_name, count(*) as usage_count, count(distinct device_id) as unique_users
+  from telemetry where event_type = 'feature_used' group by 1, 2, feature_name"""
+
+ADOPTION = """select date, feature_name, count(distinct device_id) as unique_users, count(*) as total_usage,
+  avg(duration_ms) as avg_duration_ms,
+  count(distinct device_id) / (select count(*) from (select distinct device_id from telemetry)) as adoption_rate
+  from telemetry where event_type = 'feature_used' group by date, feature_name"""
+
 USAGE_RANGE = " where date between date '2024-01-05' and date '2024-01-20'"
 
 SECONDS = "metric_value / 1000"
@@ -128,6 +139,14 @@ def _t(select: str) -> str:
     return f"{TELEMETRY}\n{select}"
 
 
+def _closed(windows: str) -> str:
+    """Windows that end 10 seconds or more before the newest event, with their day."""
+    return _t(
+        f"select *, cast(window_start as date) as window_date from ({windows}) "
+        "where window_end <= (select max(event_time) from telemetry) - interval '10 seconds'"
+    )
+
+
 ORACLE: dict[str, str] = {
     # sources and sinks
     "src_decode_json": _t(FLAT),
@@ -142,9 +161,23 @@ ORACLE: dict[str, str] = {
         "select topic, event_type, date as event_date, count(*) as event_count, count(distinct device_id) as devices "
         "from telemetry group by 1, 2, 3"
     ),
-    "sink_stream_parquet": _t(
-        f"select *, cast(window_start as date) as window_date from ({ERROR_SPIKES}) where window_end <= "
-        "(select max(event_time) from telemetry) - interval '10 seconds'"
+    "sink_stream_parquet": _closed(ERROR_SPIKES),
+    "stream_active_users": _closed(ACTIVE_USERS),
+    "stream_feature_usage": _closed(FEATURE_USAGE),
+    "batch_layer": _t(
+        " union all ".join(
+            f"select '{report}' as report, count(*) as row_count, cast(sum({total}) as bigint) as total from ({sql})"
+            for report, total, sql in (
+                ("daily_trends", "total_sessions", DAILY.format(where="")),
+                ("regional_trends", "daily_active_users", REGIONAL),
+                ("feature_adoption", "unique_users", ADOPTION),
+                ("feature_ranking", "rank", RANKED),
+                ("retention_cohorts", "retained_users", COHORTS),
+                ("device_performance", "sample_count", PERFORMANCE.format(keys=SEGMENT)),
+                ("performance_by_metric", "sample_count", PERFORMANCE.format(keys=f"{SEGMENT}, metric_name")),
+                ("crash_analysis", "affected_devices", CRASHES),
+            )
+        )
     ),
     "sink_roundtrip": _t(REGIONAL),
     "publish_keyed": _t("select topic, device_id as key, event_id, event_type, region from telemetry"),
@@ -170,12 +203,7 @@ ORACLE: dict[str, str] = {
     # batch reports
     "daily_usage_trends": _t(DAILY.format(where="")),
     "daily_trends_by_region": _t(REGIONAL),
-    "feature_adoption_rates": _t(
-        "select date, feature_name, count(distinct device_id) as unique_users, count(*) as total_usage, "
-        "avg(duration_ms) as avg_duration_ms, count(distinct device_id) / (select count(*) from "
-        "(select distinct device_id from telemetry)) as adoption_rate "
-        "from telemetry where event_type = 'feature_used' group by date, feature_name"
-    ),
+    "feature_adoption_rates": _t(ADOPTION),
     "feature_ranking": _t(RANKED),
     "device_first_seen": _t(FIRST_SEEN),
     "retention_cohorts": _t(COHORTS),
@@ -196,15 +224,9 @@ ORACLE: dict[str, str] = {
     # event-time windows
     "tumbling_minute_counts": _t(f"select {MINUTE}, count(*) as event_count from telemetry group by 1, 2"),
     "tumbling_30s_counts": _t(f"select {HALF_MINUTE}, count(*) as event_count from telemetry group by 1, 2"),
-    "active_users_per_minute": _t(
-        f"select {MINUTE}, region, device_type, count(distinct device_id) as active_users, count(*) as event_count "
-        "from telemetry group by 1, 2, region, device_type"
-    ),
+    "active_users_per_minute": _t(ACTIVE_USERS),
     "error_spikes": _t(ERROR_SPIKES),
-    "feature_usage_per_minute": _t(
-        f"select {MINUTE}, feature_name, count(*) as usage_count, count(distinct device_id) as unique_users "
-        "from telemetry where event_type = 'feature_used' group by 1, 2, feature_name"
-    ),
+    "feature_usage_per_minute": _t(FEATURE_USAGE),
     "spike_alerts": _t(
         f"select *, crash_count / event_count as error_rate, crash_count / event_count > 0.05 as is_spike from ("
         f"select {HALF_MINUTE}, os, app_version, count(*) filter (event_type = 'crash_event') as crash_count, "

@@ -16,9 +16,10 @@ from pyspark.sql import types as T
 from signalfold.functions.expressions import bucket_start, event_date, is_fatal, is_type
 from signalfold.operators import crashes, features, observe, performance, quality, retention, serving, usage, windows
 from signalfold.plans import catalog
+from signalfold.plans.batch import run_batch
 from signalfold.schema import PAYLOAD_TYPES, event_schema, normalise
 from signalfold.session import workspace
-from signalfold.settings import AlertSettings, StreamSettings
+from signalfold.settings import AlertSettings, LakeSettings, Settings, StreamSettings
 from signalfold.sinks import batch as sinks
 from signalfold.sources import raw, wire
 from signalfold.sources.star import K, table, telemetry
@@ -37,6 +38,17 @@ EXPECTED_REGIONS = ("AFRICA", "AMERICA", "ANTARCTICA", "ASIA", "EUROPE", "MIDDLE
 THROUGHPUT_STEPS = ((0, "red"), (2 / 60, "yellow"), (3 / 60, "green"))
 LOW_THROUGHPUT = 2 / 60
 ERROR_STEPS = ((0, "green"), (1 / 300, "yellow"), (2 / 300, "red"))
+# the column of each report that the batch-layer check adds up
+REPORT_TOTALS = {
+    "daily_trends": "total_sessions",
+    "regional_trends": "daily_active_users",
+    "feature_adoption": "unique_users",
+    "feature_ranking": "rank",
+    "retention_cohorts": "retained_users",
+    "device_performance": "sample_count",
+    "performance_by_metric": "sample_count",
+    "crash_analysis": "affected_devices",
+}
 # -----------------------------------------------------------------------------
 
 def _full(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,15 +151,33 @@ def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(spark, events).select("event_id", "topic", "event_date", "event_type", "device_id", "region")
 
 
-def sink_stream_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Error spikes through the streaming sink, read back: the windows the watermark has closed."""
-    _, events = _event_stream(spark, sf_dir)
-    settings = StreamSettings()
-    windows_df = windows.error_spikes(wire.with_event_time(events, settings.watermark), settings.error_window)
-    path = workspace(spark, "error-spikes")
-    checkpoint = workspace(spark, "error-spikes-checkpoint")
-    jobs.run_to_end(jobs.write_parquet_stream(windows_df, "error_spikes", path, checkpoint, trigger=None))
-    return _naive(spark.read.parquet(path), "window_start", "window_end")
+def _closed_windows(name: str) -> Query:
+    """A speed-layer aggregate through the streaming sink, read back: the windows that the watermark
+    has closed."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _, events = _event_stream(spark, sf_dir)
+        events = wire.with_event_time(events, StreamSettings().watermark)
+        path, checkpoint = workspace(spark, name), workspace(spark, f"{name}-checkpoint")
+        jobs.run_to_end(jobs.write_parquet_stream(jobs.speed_layer(events, events)[name], name, path, checkpoint, None))
+        return _naive(spark.read.parquet(path), "window_start", "window_end")
+
+    return query
+
+
+def batch_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reports over stored roll-ups, written and read back: the rows and one total of each."""
+    lake = LakeSettings(root=workspace(spark, "lake"))
+    run_batch(_full(spark, sf_dir), Settings(lake=lake))
+    summaries = [
+        spark.read.parquet(f"{lake.batch}/{report}").agg(
+            F.lit(report).alias("report"),
+            F.count("*").alias("row_count"),
+            F.sum(total).cast("bigint").alias("total"),
+        )
+        for report, total in REPORT_TOTALS.items()
+    ]
+    return raw.union_topics(*summaries)
 
 
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -449,7 +479,10 @@ QUERIES: dict[str, Query] = {
     "scan_by_date": scan_by_date,
     "table_raw_by_topic": table_raw_by_topic,
     "stream_all_topics": stream_all_topics,
-    "sink_stream_parquet": sink_stream_parquet,
+    "sink_stream_parquet": _closed_windows("error_spikes"),
+    "stream_active_users": _closed_windows("active_users"),
+    "stream_feature_usage": _closed_windows("feature_usage"),
+    "batch_layer": batch_layer,
     "sink_roundtrip": sink_roundtrip,
     "publish_keyed": publish_keyed,
     "raw_landing": raw_landing,

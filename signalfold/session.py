@@ -10,7 +10,11 @@ from pyspark.sql import SparkSession
 
 def build_session(app_name: str = "signalfold", master: str | None = None, **conf: object) -> SparkSession:
     """A session with UTC time, AQE and skew-join splitting on. Executor sizes are left to
-    spark-submit; ``conf`` keys may use ``__`` for ``.``."""
+    spark-submit; ``conf`` keys may use ``__`` for ``.``.
+
+    Unless set, shuffles start with three partitions per core, so that they stay small on a large
+    cluster; AQE merges what turns out too small.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
@@ -22,7 +26,10 @@ def build_session(app_name: str = "signalfold", master: str | None = None, **con
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), str(value))
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if spark.sparkContext.getConf().get("spark.sql.shuffle.partitions", None) is None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(3 * spark.sparkContext.defaultParallelism))
+    return spark
 
 
 def workspace(spark: SparkSession, purpose: str) -> str:

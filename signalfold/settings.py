@@ -26,7 +26,6 @@ class StreamSettings:
     usage_window: str = "1 minute"
     error_window: str = "30 seconds"
     trigger: str = "10 seconds"
-    max_files_per_trigger: int | None = None
 
 
 @dataclass(frozen=True)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalfold.functions.expressions import event_date
 from signalfold.operators.quality import with_topic
-from signalfold.settings import KafkaSettings
+from signalfold.settings import KafkaSettings, LakeSettings
 from signalfold.sources.wire import encode, kafka_sink_options
 
 
@@ -65,3 +65,9 @@ def archive(df: DataFrame, as_of: date, historical: str, active: str, days_old:
     old = F.coalesce(F.col(column) < F.lit(cutoff), F.lit(False))
     df.where(old).write.mode("overwrite").parquet(f"{historical.rstrip('/')}/archived_before={cutoff}")
     df.where(~old).write.mode("overwrite").parquet(active)
+
+
+def archive_report(spark: SparkSession, report: str, as_of: date, active: str, lake: LakeSettings = LakeSettings()) -> None:
+    """:func:`archive` for a stored report with a ``date``, by the lake's folders and age limit."""
+    stored = spark.read.parquet(f"{lake.batch}/{report}")
+    archive(stored, as_of, f"{lake.historical}/{report}", active, lake.archive_after_days)

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from signalfold.functions.expressions import event_date
 from signalfold.schema import EVENT
 
+LANDING_COLUMNS = (T.StructField("topic", T.StringType()), T.StructField("event_date", T.DateType()))
+
 
 def load_raw_events(
     spark: SparkSession,
@@ -16,18 +18,23 @@ def load_raw_events(
     date: str | None = None,
     fmt: str = "json",
     schema: T.StructType = EVENT,
+    topic: str | None = None,
 ) -> DataFrame:
     """Raw events under ``path``, optionally of one day (``YYYY-MM-DD``).
 
     The schema is given, so no pass over the data is spent on inference and a field that a sample
-    happens to lack is still a column. Landed Parquet has an ``event_date`` partition column, which
-    the day filter then prunes on.
+    happens to lack is still a column. ``parquet`` means the landing folder: it has ``topic`` and
+    ``event_date`` as partition columns, on which the filters prune. Read it by its root and name the
+    ``topic``; a sub-folder read by itself hides the stream's commit log, and with it which of the
+    files belong to finished batches.
     """
-    if fmt == "parquet":
-        # partition columns are not in the data schema; keep them for pruning
-        df = spark.read.schema(T.StructType([*schema, T.StructField("event_date", T.DateType())])).parquet(path)
-    else:
+    if fmt != "parquet":
         df = spark.read.schema(schema).format(fmt).load(path)
+        return on_date(df, date) if date else df
+    landed = T.StructType([*schema, *LANDING_COLUMNS])
+    df = spark.read.schema(landed).parquet(path)
+    if topic:
+        df = df.where(F.col("topic") == topic)
     return on_date(df, date) if date else df
 
 
