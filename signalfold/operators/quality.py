@@ -69,6 +69,28 @@ def split_malformed(messages: DataFrame, *keep: str, value: str = "value") -> tu
     )
 
 
+def check_messages(messages: DataFrame, *keep: str, value: str = "value") -> DataFrame:
+    """Typed events (payload as a map of text) with the columns ``keep``, the message's ``text`` where
+    it is no event, and ``reason``: ``malformed``, or every envelope and payload rule that is broken,
+    or null for a valid event. Takes batch and streaming input."""
+    text = F.col(value).cast("string").alias("_text")
+    parsed = parse(messages.select(*keep, text), *keep, "_text", value="_text")
+    checked = parsed.withColumn("timestamp", F.col("timestamp").try_cast("timestamp"))
+    rules = F.nullif(F.concat_ws(",", envelope_reason(), payload_reason()), F.lit(""))
+    return checked.select(
+        *keep,
+        *ENVELOPE_FIELDS,
+        "payload",
+        F.when(F.col("malformed"), F.col("_text")).alias("text"),
+        F.when(F.col("malformed"), "malformed").otherwise(rules).alias("reason"),
+    )
+
+
+def status_of(reason: str = "reason") -> Column:
+    """``valid`` without a reason, else ``quarantined``."""
+    return F.when(F.col(reason).isNull(), "valid").otherwise("quarantined")
+
+
 def os_is_consistent() -> Column:
     """Whether the OS is one the device type can run; false for an unknown device type."""
     consistent = F.lit(False)

@@ -343,6 +343,13 @@ ORACLE: dict[str, str] = {
     "dq_malformed": _t(
         "select event_id as key, cast(event_id as bigint) % 10 in (3, 7) as malformed from telemetry"
     ),
+    "stream_quarantine": _t(
+        "select event_id as key, case when reason = 'malformed' then null else event_type end as event_type, "
+        "case when reason is null then 'valid' else 'quarantined' end as status, reason from ("
+        "select *, case when cast(event_id as bigint) % 10 in (3, 7) then 'malformed' "
+        "when event_type = 'crash_event' then 'missing:stack_trace' "
+        "when event_type = 'performance_metric' then 'missing:unit' end as reason from telemetry)"
+    ),
     "route_topic": _t("select event_id, event_type, topic from telemetry"),
     "reconcile_ids": _t(
         "select event_id, case event_type when 'performance_metric' then 'unexpected' "

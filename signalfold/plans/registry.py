@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from signalfold.functions.expressions import bucket_start, event_date, is_fatal, is_type
 from signalfold.operators import crashes, features, observe, performance, quality, retention, serving, usage, windows
 from signalfold.plans import catalog
-from signalfold.plans.batch import run_batch
+from signalfold.plans.batch import run_batch, stored
 from signalfold.schema import PAYLOAD_TYPES, event_schema, normalise
 from signalfold.session import workspace
 from signalfold.settings import AlertSettings, LakeSettings, Settings, StreamSettings
@@ -195,7 +195,7 @@ def publish_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def archive_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     historical, active = workspace(spark, "historical"), workspace(spark, "active")
-    trends = usage.daily_trends_by_region(_regions(spark, sf_dir), ordered=False)
+    trends = stored(usage.daily_trends_by_region(_regions(spark, sf_dir), ordered=False), "trends")
     sinks.archive(trends, AS_OF, historical, active, ARCHIVE_DAYS)
     old = spark.read.parquet(historical).drop("archived_before").withColumn("tier", F.lit("historical"))
     return old.unionByName(spark.read.parquet(active).withColumn("tier", F.lit("active")))
@@ -442,14 +442,27 @@ def dq_region_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.region_coverage(_regions(spark, sf_dir), EXPECTED_REGIONS)
 
 
-def dq_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages of which some are cut short or are no object, by ``event_id``."""
+def _faulty_messages(events: DataFrame) -> DataFrame:
+    """Messages keyed by event id, of which some are cut short or are no object."""
     n = F.col("key").cast("bigint")
-    messages = wire.encode(_no_dims(spark, sf_dir).withColumn("device_id", F.col("event_id"))).withColumn(
+    return wire.encode(events.withColumn("device_id", F.col("event_id"))).withColumn(
         "value",
         F.when(n % 10 == 7, F.substring("value", 1, 20)).when(n % 10 == 3, "[1, 2]").otherwise(F.col("value")),
     )
-    return wire.parse(messages, "key").select("key", "malformed")
+
+
+def dq_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wire.parse(_faulty_messages(_no_dims(spark, sf_dir)), "key").select("key", "malformed")
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of messages, checked and landed by status. The tables give no stack trace or unit,
+    which the payload rules ask for, so crashes and samples are quarantined too."""
+    _, events = _event_stream(spark, sf_dir)
+    checked = quality.check_messages(_faulty_messages(events), "key")
+    path, checkpoint = workspace(spark, "checked"), workspace(spark, "checked-checkpoint")
+    jobs.run_to_end(jobs.land_checked_stream(checked, path, checkpoint, trigger=None))
+    return spark.read.parquet(path).select("key", "event_type", "status", "reason")
 
 
 def route_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -542,6 +555,7 @@ QUERIES: dict[str, Query] = {
     "dq_event_mix": dq_event_mix,
     "dq_region_coverage": dq_region_coverage,
     "dq_malformed": dq_malformed,
+    "stream_quarantine": stream_quarantine,
     "route_topic": route_topic,
     "reconcile_ids": reconcile_ids,
 }

@@ -21,6 +21,10 @@ def build_session(app_name: str = "signalfold", master: str | None = None, **con
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # fewer, larger scan tasks over very large tables
+        .config("spark.sql.files.maxPartitionBytes", "256m")
+        # percentile sketches of up to this many groups are kept in a hash map before rows are sorted
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "512")
     )
     if master:
         builder = builder.master(master)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalfold.functions.expressions import event_date
-from signalfold.operators.quality import with_topic
+from signalfold.operators.quality import status_of, with_topic
 from signalfold.settings import KafkaSettings, LakeSettings
 from signalfold.sources.wire import encode, kafka_sink_options
 
@@ -35,8 +35,7 @@ def land_raw(events: DataFrame, path: str) -> None:
 def write_checked(checked: DataFrame, path: str, reason: str = "reason") -> None:
     """Valid rows and quarantined rows (those with a ``reason``) in one pass, in the folders
     ``status=valid`` and ``status=quarantined``."""
-    status = F.when(F.col(reason).isNull(), "valid").otherwise("quarantined")
-    write_partitioned(checked.withColumn("status", status), path, "status")
+    write_partitioned(checked.withColumn("status", status_of(reason)), path, "status")
 
 
 def publish(events: DataFrame, path: str) -> None:

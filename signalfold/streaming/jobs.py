@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from signalfold.functions.expressions import event_date
-from signalfold.operators.quality import with_topic
+from signalfold.operators.quality import status_of, with_topic
 from signalfold.operators.windows import active_users_per_minute, error_spikes, feature_usage
 from signalfold.settings import StreamSettings
 
@@ -70,6 +70,13 @@ def land_raw_stream(
     return _start(landed, "raw_landing", path, checkpoint, trigger, "topic", "event_date")
 
 
+def land_checked_stream(
+    checked: DataFrame, path: str, checkpoint: str, trigger: str | None = StreamSettings.trigger
+) -> StreamingQuery:
+    """Checked messages in one pass to the folders ``status=valid`` and ``status=quarantined``."""
+    return _start(checked.withColumn("status", status_of()), "checked_landing", path, checkpoint, trigger, "status")
+
+
 def backlog_files(spark: SparkSession) -> int:
     """``files_per_folder`` for landing a backlog: an eighth of the cluster's cores."""
     return max(1, spark.sparkContext.defaultParallelism // 8)

@@ -11,7 +11,8 @@ from signalfold.sources.star import telemetry
 
 WRITES = {
     "src_raw_events", "stream_all_topics", "sink_stream_parquet", "sink_roundtrip", "publish_keyed",
-    "raw_landing", "archive_split", "stream_active_users", "stream_feature_usage", "batch_layer",
+    "raw_landing", "archive_split", "stream_active_users", "stream_feature_usage", "stream_quarantine",
+    "batch_layer",
 }
 
 

@@ -110,6 +110,18 @@ def test_checked_rows_are_stored_in_one_pass(spark, make_events, tmp_path):
     assert stored.where("status = 'quarantined'").count() == 2 and stored.where("status = 'valid'").count() == 1
 
 
+def test_checked_messages(spark):
+    crash = GOOD.replace('"memory_usage_mb"', '"crash_type":"c","stack_trace":"t","memory_usage_mb"')
+    texts = (crash, GOOD, "{", crash.replace("1.50", '"x"').replace("mobile", "watch"), crash.replace("2024-01-01T", "x"))
+    checked = quality.check_messages(messages(spark, *texts), "offset").orderBy("offset").collect()
+    assert [r.reason for r in checked] == [
+        None, "missing:crash_type,missing:stack_trace", "malformed", "invalid:device_type,invalid:memory_usage_mb",
+        "missing:timestamp",
+    ]
+    assert [r.text for r in checked] == [None, None, "{", None, None]
+    assert checked[0].timestamp == datetime(2024, 1, 1, 0, 0, 7, 179575)
+
+
 def test_kafka_options():
     source = wire.kafka_source_options(KafkaSettings(bootstrap_servers=("a:1", "b:2")), ["app_events", "crashes"])
     assert source == {
