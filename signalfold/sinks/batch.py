@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +18,19 @@ from signalfold.sources.wire import encode, kafka_sink_options
 
 def write_reports(reports: Mapping[str, DataFrame], path: str) -> None:
     """Each report to its own folder, replacing what is there. Reports are small and read back with
-    a sort, so they are written unsorted."""
-    for name, report in reports.items():
+    a sort, so they are written unsorted; they are submitted together, as no single one of them
+    fills a cluster. The first failure is raised."""
+
+    def write(item: tuple[str, DataFrame]) -> None:
+        name, report = item
         report.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
 
+    if not reports:
+        return
+    session = next(iter(reports.values())).sparkSession
+    with ThreadPoolExecutor(max_workers=len(reports)) as pool:
+        list(pool.map(inheritable_thread_target(session)(write), reports.items()))
+
 
 def write_partitioned(df: DataFrame, path: str, *columns: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Folders by ``columns``. The rebalance hint gathers a folder's rows into files of the advisory
