@@ -1,11 +1,40 @@
-"""From raw documents to packed training sequences: the stages and their order."""
+"""From raw documents to packed training sequences: the stages and their order.
+
+Each stage takes (spark, docs, sf_dir) and returns the documents that its decisions leave; the last returns the pieces
+of the packed sequences. Columns beyond those of ``documents`` are carried along. Nulls in any column, empty and very
+long texts, repeated rows and an empty table go through every stage; each stage says what becomes of them.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from signalfold.llm.components import stored
+from signalfold.llm.langid import UNKNOWN, learn_profiles, predict_language
+from signalfold.llm.mixing import mixed_documents
 from signalfold.llm.ngram_join import Jaccard, ngram_jaccard_join
+from signalfold.llm.packing import pack_documents
+from signalfold.llm.substring_dedup import substring_dedup
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a recognised language stay; those without a letter (null and empty texts too) go.
+
+    Profiles are learned from the documents' own labels. Where none has a label, nothing can be recognised, and every
+    document with a letter stays. Rows that repeat an id are judged by their own text.
+    """
+    profiles = learn_profiles(docs)
+    if not profiles.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    texts = docs.withColumn("_hash", F.xxhash64("text"))
+    rejected = predict_language(docs.select(F.struct("doc_id", F.xxhash64("text").alias("_hash")).alias("_key"), "text"), profiles, "_key")
+    rejected = rejected.where(F.col("lang_pred") == UNKNOWN).select("_key.*").distinct()
+    same = texts["doc_id"].eqNullSafe(rejected["doc_id"]) & (texts["_hash"] == rejected["_hash"])
+    return texts.join(rejected, same, "left_anti").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +48,43 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
 
 
+def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that an earlier document has are cut out; a text without any stays as it is.
+
+    A document that had words and has none left goes. n_chars follows the text.
+    """
+    found = substring_dedup(docs).select(F.col("doc_id").alias("_id"), F.col("h").alias("_hash"), "kept_text", "n_words", "n_removed")
+    changed = found.where("n_removed > 0").dropDuplicates(["_id", "_hash"])
+    texts = docs.withColumn("_text_hash", F.xxhash64("text"))
+    joined = texts.join(changed, (texts["doc_id"] == changed["_id"]) & (texts["_text_hash"] == changed["_hash"]), "left")
+    left = joined.where("_id is null or n_removed < n_words")
+    new = {"text": F.when(F.col("_id").isNull(), F.col("text")).otherwise(F.col("kept_text"))}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        new["n_chars"] = F.when(F.col("_id").isNull(), F.col("n_chars")).otherwise(F.length("kept_text").cast(kind))
+    return left.withColumns(new).select(docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources by weight: a document the mix takes twice is there twice, one that it takes in part has that
+    part's words, and one that it leaves out, or without words, is gone. n_chars follows the text."""
+    mixed = mixed_documents(docs)
+    if "n_chars" not in docs.columns:
+        return mixed
+    return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences of 2048; every row is a document, null texts are empty ones."""
+    return pack_documents(docs, TOKENIZER)
+
+
 STAGES = [
+    ("language ID", languages),
     ("n-gram Jaccard join", near_duplicates),
+    ("substring dedup", long_repeats),
+    ("mixing sources to target weights", mixture),
+    ("packing", sequences),
 ]
 
 # the stages learn models and choose by seed, which SQL does not express

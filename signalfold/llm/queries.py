@@ -5,11 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from signalfold.llm.chat import formatted_digests
+from signalfold.llm.components import stored
+from signalfold.llm.langid import fold, learn_profiles, predict_language
+from signalfold.llm.mixing import mix_counts
 from signalfold.llm.ngram_join import Jaccard, ngram_jaccard_join
+from signalfold.llm.packing import pack_documents
+from signalfold.llm.quality_classifier import learn_quality, quality_stats, score_quality
+from signalfold.llm.quality_rules import quality_rules
+from signalfold.llm.simhash import fingerprint_documents
+from signalfold.llm.substring_dedup import substring_dedup
+from signalfold.llm.tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+CONTEXT = 1024  # tokens
+GOOD = 0.7
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -19,12 +36,66 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(read(spark, sf_dir, "documents"), Jaccard(n=3, num=90, den=100))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts(read(spark, sf_dir, "documents"), TOKENIZER)
+    return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(read(spark, sf_dir, "documents"), TOKENIZER)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = fingerprint_documents(read(spark, sf_dir, "documents"))
+    return prints.withColumn("edited_sha256", F.sha2(F.col("edited_text").cast("binary"), 256)).drop("edited_text")
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_counts(read(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    profiles = learn_profiles(docs.where(~held_out).select("text", "lang"))
+    return predict_language(docs, profiles).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = "<|im_end|><|im_start|>assistant ok"
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    return formatted_digests(rows.union(added), TOKENIZER)
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(fold(F.col("_id"), 4) == 2, F.lit(False))
+    stats = stored(quality_stats(read(spark, sf_dir, "documents")), "stats")
+    labels = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), F.col("quality").alias("_label"))
+    model = learn_quality(stats.where(~held_out), labels.where(~held_out))
+    scored = score_quality(stats, model)
+    return scored.select(F.col("_id").alias("doc_id"), held_out.alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup(read(spark, sf_dir, "documents"), joined=True)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
-}
+    q.__name__: q
+    for q in (
+        op1_ngram_jaccard_join, op2_token_counts, op3_packing, op4_fingerprints, op5_mixing,
+        op6_language_id, op7_quality_rules, op8_chat_formatting, op9_quality_classifier, op10_substring_dedup,
+    )
+}
 
 # words as the contracts define them; A-Z only is lower-cased where asked for
-_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = rf"""
@@ -50,6 +121,44 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.other) AS component_id
 FROM sets s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.s
 """
 
+OP8_SQL = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), told AS (
+    SELECT conv_id, count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+        coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+        sum(length(role) + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + 24)::BIGINT AS formatted_chars
+    FROM said GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM told
+"""
+
+OP10_SQL = r"""
+WITH worded AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(list_slice(w, i, i + 49), ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM worded WHERE len(w) >= 50)
+), repeats AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM windows) WHERE first < doc_id
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM repeats
+), items AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM worded
+), kept AS (
+    SELECT items.doc_id, string_agg(word, ' ' ORDER BY items.i) AS text, count(*) AS n
+    FROM items ANTI JOIN gone ON items.doc_id = gone.doc_id AND items.i = gone.i GROUP BY items.doc_id
+)
+SELECT worded.doc_id, len(w) AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM worded LEFT JOIN kept ON worded.doc_id = kept.doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard_join": OP1_SQL,
+    "op8_chat_formatting": OP8_SQL,
+    "op10_substring_dedup": OP10_SQL,
 }
