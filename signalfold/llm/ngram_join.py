@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalfold.llm.components import components, stored
+from signalfold.llm.filters import maybe_in
 from signalfold.llm.grouped import group_runs
 from signalfold.llm.text import distinct, find_words, mix, shingle_sets, sliced, word_runs
 
@@ -103,24 +104,24 @@ def block_keys(ordered: np.ndarray, rule: Jaccard) -> np.ndarray:
     return distinct(np.concatenate(keys)) if keys else np.zeros(0, dtype=np.uint64)
 
 
-def _sketches(rule: Jaccard):
+def _sketches(rule: Jaccard, keys: bool):
+    """Rows (id, text): (id, n_shingles, node) with the hash of the whole set, or, for each block key, (key, node, n_shingles)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for row, words in word_runs(batch.column(1), lower=True):
                 sets = shingle_sets(words, rule.n)
-                keys = [block_keys(s, rule).view(np.int64) for s in sets]
-                two = [[int(x) for x in (np.add.reduce(mix(s)), np.bitwise_xor.reduce(mix(s * np.uint64(0x9E3779B97F4A7C15))))] for s in sets]
-                ends = np.cumsum([0] + [len(k) for k in keys])
-                yield pa.record_batch(
-                    [
-                        ids.slice(row, len(sets)),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([f"{a:016x}{b:016x}{len(s):x}" for (a, b), s in zip(two, sets, strict=True)], pa.string()),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *keys]), pa.int64())),
-                    ],
-                    names=["id", "n_shingles", "set_key", "keys"],
-                )
+                sizes = np.array([len(s) for s in sets], dtype=np.int64)
+                nodes = np.array([np.add.reduce(mix(s * np.uint64(0x9E3779B97F4A7C15))) for s in sets], dtype=np.uint64)
+                nodes = mix(nodes + sizes.astype(np.uint64)).view(np.int64)
+                if not keys:
+                    yield pa.record_batch([ids.slice(row, len(sets)), pa.array(sizes), pa.array(nodes)], names=["id", "n_shingles", "node"])
+                    continue
+                found = [block_keys(s, rule) for s in sets]
+                held = [len(f) for f in found]
+                key = np.concatenate([np.zeros(0, dtype=np.uint64), *found]).view(np.int64)
+                yield pa.record_batch([pa.array(key), pa.array(np.repeat(nodes, held)), pa.array(np.repeat(sizes, held))], names=["key", "node", "n_shingles"])
 
     return run
 
@@ -202,11 +203,11 @@ class _Part:
 
 
 def _tries(rule: Jaccard):
-    """Rows (star, salt, id, text, probes), sorted by (star, salt): links (u, v) of every part."""
+    """Rows (star, salt, node, text, probes), sorted by (star, salt): links (u, v) of every part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in group_runs(batches, 2):
-            ids, asks, sets = part.column("id").to_pylist(), part.column("probes").to_pylist(), []
+            ids, asks, sets = part.column("node").to_pylist(), part.column("probes").to_pylist(), []
             for _, data, offsets in sliced(part.column("text")):
                 sets += shingle_sets(find_words(data, offsets, lower=True), rule.n)
             walkers = {i for i, ask in zip(ids, asks, strict=True) if ask}
@@ -221,9 +222,12 @@ def _tries(rule: Jaccard):
     return run
 
 
-def _compare(parts: DataFrame, texts: DataFrame, rule: Jaccard) -> DataFrame:
-    """Links within each part; ``parts`` has (star, salt, id, probes)."""
-    full = parts.join(texts, "id").select("star", "salt", "id", "text", "probes")
+def _compare(parts: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Jaccard) -> DataFrame:
+    """Links (u, v) of nodes within each part; ``parts`` has (star, salt, node, probes), ``nodes`` an id of a text for each node."""
+    placed = parts.join(nodes.select("node", "id"), "node")
+    near = maybe_in(texts, F.col("id"), placed, F.col("id")).where("_maybe").select("id", F.xxhash64("text").alias("h"), "text")
+    # an id on several rows brings several texts; sets tell them apart in the part
+    full = placed.hint("merge").join(near.dropDuplicates(["id", "h"]), "id").select("star", "salt", "node", "text", "probes")
     dealt = full.repartition("star", "salt").sortWithinPartitions("star", "salt")
     return dealt.mapInArrow(_tries(rule), "u long, v long")
 
@@ -235,64 +239,68 @@ def ngram_jaccard_join(
 
     Repeated rows and equal sets are linked (similarity 1). Texts without words (null, empty, spaces) have the
     empty set and no links. A row without an id can't be named: it has n_shingles, and a null component_id.
+    Rows that share an id are one document with several sets.
     Very long texts are taken whole. Other columns of ``docs`` are not read, whatever their names.
 
-    ``part_shingles``: about so many n-grams lie in a trie at once; larger stars are split by salt.
+    A set is named by a 64-bit hash (the node), which copies share. ``part_shingles``: about so many n-grams lie in
+    a trie at once; larger stars are split by salt.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sketches = stored(texts.mapInArrow(_sketches(rule), "id long, n_shingles long, set_key string, keys array<long>"), "sketches")
+    named = texts.where("id is not null")
+    sketches = stored(texts.mapInArrow(_sketches(rule, False), "id long, n_shingles long, node long"), "sketches")
     filled = sketches.where("n_shingles > 0 and id is not null")
-    classes = filled.groupBy("set_key").agg(F.min("id").alias("id"), F.min_by("n_shingles", "id").alias("n_shingles"))
-    # an id may stand on several rows with different texts: each of its sets is looked at
-    rows = filled.select("id", "set_key").distinct()
-    members = rows.join(classes.select("set_key", F.col("id").alias("rep")), "set_key")
-    equal = members.where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))
-
-    keyed = filled.join(classes.select("set_key", "id"), ["set_key", "id"], "left_semi").select("id", "n_shingles", F.explode("keys").alias("key"))
-    blocks = keyed.groupBy("key").agg(F.min("id").alias("star"), F.max("id").alias("last")).where("star < last").select("key", "star")
-    spokes = stored(keyed.join(blocks, "key").select("star", "id", "n_shingles").distinct(), "stars")
+    nodes = stored(filled.groupBy("node").agg(F.min("id").alias("id")), "nodes")
+
+    keyed = named.mapInArrow(_sketches(rule, True), "key long, node long, n_shingles long")
+    blocks = keyed.groupBy("key").agg(F.min("node").alias("star"), F.max("node").alias("last")).where("star < last").select("key", "star")
+    blocks = stored(blocks, "blocks")
+    shared = maybe_in(keyed, F.col("key"), blocks, F.col("key")).where("_maybe").select("key", "node", "n_shingles")
+    spokes = stored(shared.join(blocks, "key").select("star", "node", "n_shingles").distinct(), "stars")
     loads = spokes.groupBy("star").agg(F.sum("n_shingles").alias("load"), F.count("*").alias("texts"))
     salts = F.greatest(F.ceil(F.col("load") / part_shingles), F.ceil(F.col("texts") / (part_shingles // 500))).cast("int")
-    sized = spokes.join(loads.where("texts > 1").select("star", salts.alias("salts")), "star")
-    dealt = sized.select("star", F.pmod(F.xxhash64("id", "star"), "salts").cast("int").alias("salt"), "id", "salts")
-    stars = dealt.where("id = star").select("star", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "id")
-    parts = stars.union(dealt.where("id <> star").select("star", "salt", "id")).withColumn("probes", F.lit(True))
-    found = stored(_compare(parts, texts, rule), "found")
-
-    split = sized.where("salts > 1")
-    if not split.isEmpty():
-        found = stored(found.union(_across(split, dealt, found, texts, rule, part_shingles)), "found")
-
-    links = found.union(equal)
-    named = components(links)
-    return (
-        sketches.join(named, sketches.id == named.node, "left")
-        .select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"))
-    )
-
-
-def _across(split: DataFrame, dealt: DataFrame, found: DataFrame, texts: DataFrame, rule: Jaccard, part_shingles: int) -> DataFrame:
-    """Links between the parts of a split star.
+    sized = spokes.join(loads.select("star", salts.alias("salts")), "star")
+    dealt = stored(sized.select("star", F.pmod(F.xxhash64("node", "star"), "salts").cast("int").alias("salt"), "node", "salts"), "dealt")
+    stars = dealt.where("node = star").select("star", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "node")
+    parts = stars.union(dealt.where("node <> star").select("star", "salt", "node")).withColumn("probes", F.lit(True))
+    links = stored(_compare(parts, nodes, named, rule), "found")
+
+    if not dealt.where("salts > 1").isEmpty():
+        links = stored(links.union(_across(dealt.where("salts > 1"), links, nodes, named, rule, part_shingles)), "found")
+
+    # an id with several sets links them
+    several = filled.groupBy("id").agg(F.min("node").alias("u"), F.max("node").alias("v")).where("u < v")
+    chained = filled.join(several, "id").where("node <> u").select("node", F.col("u").alias("v")).select(F.col("node").alias("u"), "v")
+    joined = components(links.union(chained))
+    labels = nodes.join(joined, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
+    least = labels.groupBy("component").agg(F.min("id").alias("component_id"))
+    found = stored(labels.join(least, "component").select("node", "component_id"), "components")
+    told = sketches.join(found, "node", "left")
+    own = F.when(F.col("id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")))
+    return told.select(F.col("id").alias(id_col), "n_shingles", own.alias("component_id"))
+
+
+def _across(split: DataFrame, found: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Jaccard, part_shingles: int) -> DataFrame:
+    """Links between the parts of split stars.
 
     Two linked texts of a star that aren't connected yet are not both in the star's component. So each text outside
     it is sent to every part, in portions of bounded size, and only those texts walk the tries.
     """
-    named = components(found)
-    label = F.coalesce("component", "id")
-    labelled = dealt.where("salts > 1").join(named, F.col("id") == F.col("node"), "left").select("star", "salt", "id", "salts", label.alias("label"))
-    hubs = labelled.where("id = star").select("star", F.col("label").alias("hub"))
-    rest = labelled.join(hubs, "star").where("label <> hub").select("star", "id", "salts")
+    joined = components(found).withColumnRenamed("node", "named")
+    label = F.coalesce("component", "node").alias("label")
+    labelled = split.join(joined, F.col("node") == F.col("named"), "left").select("star", "salt", "node", "salts", label)
+    hubs = labelled.where("node = star").select("star", F.col("label").alias("hub"))
+    rest = labelled.join(hubs, "star").where("label <> hub").select("star", "node", "salts")
     portions = rest.groupBy("star").agg(F.ceil(F.count("*") / (part_shingles // 500)).cast("int").alias("portions"))
     rest = stored(rest.join(portions, "star"), "rest")
-    slot = F.col("salt") * F.col("portions") + F.col("portion")
+    slot = (F.col("salt") * F.col("portions") + F.col("portion")).cast("int").alias("salt")
     sent = (
-        rest.withColumn("portion", F.pmod(F.xxhash64("id"), "portions").cast("int"))
-        .select("star", "id", "portions", "portion", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        .select("star", slot.cast("int").alias("salt"), "id", F.lit(True).alias("probes"))
+        rest.withColumn("portion", F.pmod(F.xxhash64("node"), "portions").cast("int"))
+        .select("star", "node", "portions", "portion", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        .select("star", slot, "node", F.lit(True).alias("probes"))
     )
     still = (
-        dealt.where("salts > 1").join(portions, "star")
-        .select("star", "salt", "id", "portions", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"))
-        .select("star", slot.cast("int").alias("salt"), "id", F.lit(False).alias("probes"))
+        split.join(portions, "star")
+        .select("star", "salt", "node", "portions", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"))
+        .select("star", slot, "node", F.lit(False).alias("probes"))
     )
-    return _compare(sent.union(still), texts, rule)
+    return _compare(sent.union(still), nodes, texts, rule)
