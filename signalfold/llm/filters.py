@@ -26,3 +26,13 @@ def maybe_in(frame: DataFrame, column: Column, wanted: DataFrame, wanted_column:
     bit = F.expr(f"shiftright(CAST({byte} AS int), CAST(bitmap_bit_position(_slot) % 8 AS int)) & 1 = 1")
     tested = placed.join(F.broadcast(slices), "_slice", "left").withColumn("_maybe", F.coalesce(bit, F.lit(False)))
     return tested.drop("_slot", "_slice", "_bits")
+
+
+def without(frame: DataFrame, column: str, gone: DataFrame) -> DataFrame:
+    """The rows of ``frame`` whose ``column`` isn't in ``gone`` (one column of whole numbers, no repeats). Rows that may be in
+    it are the only ones to be shuffled."""
+    value = gone.columns[0]
+    tested = maybe_in(frame, F.col(column), gone, F.col(value))
+    listed = gone.select(F.col(value).alias("_gone"))
+    rest = tested.where("_maybe").join(listed, F.col(column) == F.col("_gone"), "left_anti")
+    return tested.where("not _maybe").union(rest).select(frame.columns)

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalfold.llm.tokens import decoded
 
@@ -140,7 +141,7 @@ def fold(id_column: Column, folds: int) -> Column:
 def predict_language(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) for each row. ``und`` with score 0: null, empty or without a letter, or nothing was
     learned. Equal distances go to the first language by code point. Whole texts of any length; repeated rows
-    and null ids are rows like any other; no other column is read."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    and null ids are rows like any other; no other column is read. The id may be a struct of all columns, to carry them."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("id"))
-    return rows.mapInArrow(_classifier(profiles), f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    schema = T.StructType([rows.schema["id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(_classifier(profiles), schema).withColumnRenamed("id", id_col)

@@ -17,6 +17,7 @@ from signalfold.llm.ngram_join import Jaccard, ngram_jaccard_join
 from signalfold.llm.packing import pack_documents
 from signalfold.llm.quality_classifier import learn_quality, quality_stats, score_quality
 from signalfold.llm.quality_rules import quality_rules
+from signalfold.llm.ship import ship
 from signalfold.llm.simhash import fingerprint_documents
 from signalfold.llm.substring_dedup import substring_dedup
 from signalfold.llm.tokens import token_counts
@@ -29,6 +30,7 @@ GOOD = 0.7
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
