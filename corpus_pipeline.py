@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalfold.llm.components import stored
+from signalfold.llm.filters import without
 from signalfold.llm.langid import UNKNOWN, learn_profiles, predict_language
 from signalfold.llm.mixing import mixed_documents
 from signalfold.llm.ngram_join import Jaccard, ngram_jaccard_join
 from signalfold.llm.packing import pack_documents
+from signalfold.llm.ship import ship
 from signalfold.llm.substring_dedup import substring_dedup
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,16 +27,14 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language stay; those without a letter (null and empty texts too) go.
 
     Profiles are learned from the documents' own labels. Where none has a label, nothing can be recognised, and every
-    document with a letter stays. Rows that repeat an id are judged by their own text.
+    document with a letter stays.
+    Each row is judged by its own text.
     """
     profiles = learn_profiles(docs)
     if not profiles.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    texts = docs.withColumn("_hash", F.xxhash64("text"))
-    rejected = predict_language(docs.select(F.struct("doc_id", F.xxhash64("text").alias("_hash")).alias("_key"), "text"), profiles, "_key")
-    rejected = rejected.where(F.col("lang_pred") == UNKNOWN).select("_key.*").distinct()
-    same = texts["doc_id"].eqNullSafe(rejected["doc_id"]) & (texts["_hash"] == rejected["_hash"])
-    return texts.join(rejected, same, "left_anti").select(docs.columns)
+    told = predict_language(docs.select(F.struct(*docs.columns).alias("_row"), "text"), profiles, "_row")
+    return told.where(F.col("lang_pred") != UNKNOWN).select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     groups = ngram_jaccard_join(docs, Jaccard(n=5, num=80, den=100))
     copies = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    return without(docs, "doc_id", copies)
 
 
 def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,16 +53,13 @@ def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     A document that had words and has none left goes. n_chars follows the text.
     """
-    found = substring_dedup(docs).select(F.col("doc_id").alias("_id"), F.col("h").alias("_hash"), "kept_text", "n_words", "n_removed")
-    changed = found.where("n_removed > 0").dropDuplicates(["_id", "_hash"])
-    texts = docs.withColumn("_text_hash", F.xxhash64("text"))
-    joined = texts.join(changed, (texts["doc_id"] == changed["_id"]) & (texts["_text_hash"] == changed["_hash"]), "left")
-    left = joined.where("_id is null or n_removed < n_words")
-    new = {"text": F.when(F.col("_id").isNull(), F.col("text")).otherwise(F.col("kept_text"))}
+    told = substring_dedup(docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text"), row_col="_row")
+    changed = F.col("n_removed") > 0
+    new = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col("_row.text"))}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        new["n_chars"] = F.when(F.col("_id").isNull(), F.col("n_chars")).otherwise(F.length("kept_text").cast(kind))
-    return left.withColumns(new).select(docs.columns)
+        new["n_chars"] = F.when(changed, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
+    left = told.where(~changed | (F.col("n_removed") < F.col("n_words")))
+    return left.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -92,6 +89,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))

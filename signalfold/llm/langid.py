@@ -71,7 +71,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def table() -> Iterator[pa.RecordBatch]:
         for lang, (grams, n) in held.items():
-            yield pa.record_batch([pa.array([lang] * len(grams)), pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
+            yield pa.record_batch([pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
         held.clear()
 
     for batch in batches:
