@@ -21,8 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalfold.llm.components import stored
+from signalfold.llm.filters import maybe_in
 from signalfold.llm.grouped import group_runs
 from signalfold.llm.text import Words, find_words, mix, sliced, window_hashes, word_runs
 
@@ -203,8 +205,8 @@ def _cut(words: Words, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _removal(window: int, joined: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole, spans = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            for row, data, offsets in sliced(batch.column(2)):
+            whole, spans = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            for row, data, offsets in sliced(batch.column(1)):
                 words = find_words(data, offsets)
                 n = len(words)
                 gone = _removed_words(words, row, whole, spans, window)
@@ -213,30 +215,18 @@ def _removal(window: int, joined: bool):
                 total = np.concatenate([[0], np.cumsum(gone)])
                 yield pa.record_batch(
                     [
-                        batch.column(0).slice(row, n), batch.column(1).slice(row, n), pa.array(words.counts, pa.int64()),
+                        batch.column(0).slice(row, n), pa.array(words.counts, pa.int64()),
                         pa.array(np.diff(total[words.first]), pa.int64()), kept.cast(pa.string()),
                     ],
-                    names=["id", "h", "n_words", "n_removed", "kept_text"],
+                    names=["row", "n_words", "n_removed", "kept_text"],
                 )
 
     return run
 
 
-def substring_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, gram: int = 16, joined: bool = False, tree_suffixes: int = 50_000
-) -> DataFrame:
-    """(id, h, n_words, n_removed, kept_text) for each row of ``docs``; h is ``xxhash64(text)``, so (id, h) names a text.
-
-    A word goes if a window over it also starts in a document with a smaller id, as the input has them. What stays
-    keeps its layout, or with ``joined`` is the kept words with one space between. Null and empty texts have no
-    words and an empty kept_text. Rows that share an id are one document: they don't remove from each other. A
-    row without an id is kept whole and removes nothing. Texts of any length are taken whole; other columns are not read.
-
-    ``tree_suffixes`` bounds the suffixes of one tree.
-    """
-    if not 1 <= gram <= window:
-        raise ValueError("gram must be between 1 and window")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+def find_repeats(texts: DataFrame, window: int, gram: int, tree_suffixes: int) -> DataFrame:
+    """(id, h, spans, whole) of the texts (id, h, text) that lose words: the first word and number of windows of each repeat, or
+    all words. Stored in the work folder."""
     outline = stored(
         texts.where("id is not null").mapInArrow(
             _outline(window, gram), "id long, h long, n_words long, sequence string, prefix array<long>, start array<int>, windows array<int>"
@@ -257,7 +247,11 @@ def substring_dedup(
     wanted = stored(
         runs.join(shared, "prefix").groupBy("id", "h", "hot").agg(F.collect_list(F.struct("prefix", "start", "windows")).alias("runs")), "wanted"
     )
-    sought = lambda hot: wanted.where("hot" if hot else "not hot").join(texts, ["id", "h"]).select("id", "h", "text", "runs")
+
+    def sought(hot: bool) -> DataFrame:
+        own = wanted.where("hot" if hot else "not hot")
+        near = maybe_in(texts, F.col("id"), own, F.col("id")).where("_maybe").select("id", "h", "text")
+        return own.hint("merge").join(near, ["id", "h"]).select("id", "h", "text", "runs")
 
     suffixes = sought(False).mapInArrow(_suffixes(window), "prefix long, id long, h long, start int, words binary")
     spans = suffixes.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_trees(window), "id long, h long, start int, windows int")
@@ -268,6 +262,34 @@ def substring_dedup(
         spans = spans.union(marked.select("id", "h", "start", F.lit(1).alias("windows")))
     repeats = spans.groupBy("id", "h").agg(F.collect_set(F.struct("start", "windows")).alias("spans"), F.lit(False).alias("whole"))
     empty = F.array().cast("array<struct<start:int,windows:int>>")
-    decided = stored(repeats.union(whole.select("id", "h", empty.alias("spans"), F.lit(True).alias("whole"))), "repeats")
-    found = texts.join(decided, ["id", "h"], "left").select("id", "h", "text", F.coalesce("whole", F.lit(False)).alias("whole"), "spans")
-    return found.mapInArrow(_removal(window, joined), "id long, h long, n_words long, n_removed long, kept_text string").withColumnRenamed("id", id_col)
+    return stored(repeats.union(whole.select("id", "h", empty.alias("spans"), F.lit(True).alias("whole"))), "repeats")
+
+
+def substring_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, gram: int = 16, joined: bool = False,
+    tree_suffixes: int = 50_000, row_col: str | None = None,
+) -> DataFrame:
+    """(id, n_words, n_removed, kept_text) for each row of ``docs``; with ``row_col``, that column (a struct of others, say)
+    in the id's place.
+
+    A word goes if a window over it also starts in a document with a smaller id, as the input has them. What stays
+    keeps its layout, or with ``joined`` is the kept words with one space between. Null and empty texts have no
+    words and an empty kept_text. Rows that share an id are one document: they don't remove from each other. A
+    row without an id is kept whole and removes nothing. Texts of any length are taken whole; other columns are not read.
+
+    ``tree_suffixes`` bounds the suffixes of one tree.
+    """
+    if not 1 <= gram <= window:
+        raise ValueError("gram must be between 1 and window")
+    name = row_col or id_col
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"), F.col(name).alias("row")
+    )
+    decided = find_repeats(rows.select("id", "h", "text"), window, gram, tree_suffixes)
+    tested = maybe_in(rows, F.col("id"), decided, F.col("id"))
+    plain = decided.schema["spans"].dataType
+    free = tested.where("not _maybe").select("row", "text", F.lit(False).alias("whole"), F.lit(None).cast(plain).alias("spans"))
+    hit = tested.where("_maybe").join(decided.hint("merge"), ["id", "h"], "left")
+    hit = hit.select("row", "text", F.coalesce("whole", F.lit(False)).alias("whole"), "spans")
+    schema = T.StructType([rows.schema["row"], *(T.StructField(c, T.LongType()) for c in ("n_words", "n_removed")), T.StructField("kept_text", T.StringType())])
+    return free.union(hit).mapInArrow(_removal(window, joined), schema).withColumnRenamed("row", name)
