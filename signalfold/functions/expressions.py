@@ -37,10 +37,6 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
-def percent_change(new: Column, old: Column) -> Column:
-    return F.try_divide((new - old).cast("double"), old.cast("double")) * 100
-
-
 def bucket_start(days: Column, width: int) -> Column:
     """First day of the ``width``-day bucket that holds ``days`` (days >= 0)."""
     return (F.floor(days / F.lit(width)) * width).cast("int")

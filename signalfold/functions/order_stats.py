@@ -8,16 +8,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS_PER_OCTAVE = 1024
+LEAST_OCTAVE, MOST_OCTAVE = -1075, 1025  # beyond the binary exponents of doubles
 
 
 def magnitude_bucket(value: Column) -> Column:
-    """Bucket number that never falls as ``value`` rises; about 0.07 % of the value wide."""
-    octaves = F.log2(F.abs(value) + F.lit(1.0))
-    return (F.signum(value) * F.floor(octaves * F.lit(BUCKETS_PER_OCTAVE))).cast("bigint")
+    """Bucket number that never falls as ``value`` rises; about 0.07 % of the value wide, near zero as
+    elsewhere. Zero has a bucket of its own, and so has either infinity. ``value`` is not NaN."""
+    octaves = F.least(F.log2(F.abs(value.cast("double"))), F.lit(float(MOST_OCTAVE)))
+    above_zero = F.floor((octaves - F.lit(float(LEAST_OCTAVE))) * F.lit(BUCKETS_PER_OCTAVE))
+    return F.when(value == 0, F.lit(0)).otherwise(F.signum(value) * above_zero).cast("bigint")
 
 
 def values_at(df: DataFrame, keys: Sequence[str], value: str, positions: Mapping[str, str]) -> DataFrame:
-    """Exact value at given 0-based positions of each group's sorted non-null values.
+    """Exact value at given 0-based positions of each group's sorted values; null and NaN are no values.
 
     ``positions`` maps an output column to a SQL expression over ``n``, the group's value count.
     One row per group; a position outside ``0 .. n-1`` gives null.
@@ -28,7 +31,7 @@ def values_at(df: DataFrame, keys: Sequence[str], value: str, positions: Mapping
     """
     keys = list(keys)
     counts = (
-        df.where(F.col(value).isNotNull())
+        df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
         .groupBy(*keys, F.col(value).alias("_value"))
         .agg(F.count("*").alias("_count"))
         .withColumn("_bucket", magnitude_bucket(F.col("_value")))

@@ -53,6 +53,7 @@ def segment_population(events: DataFrame) -> DataFrame:
     return events.groupBy(*SEGMENT).agg(F.countDistinct("device_id").alias("total_devices"))
 
 
-def top_crash_segments(analysis: DataFrame, n: int = 50) -> DataFrame:
-    """The ``n`` segments with most crashes; ties go by segment."""
-    return analysis.orderBy(F.desc("crash_count"), *SEGMENT).limit(n)
+def top_crash_segments(analysis: DataFrame, n: int | None = None) -> DataFrame:
+    """Segments by crashes, most first; ties go by segment. All of them, or the first ``n``."""
+    ranked = analysis.orderBy(F.desc("crash_count"), *SEGMENT)
+    return ranked if n is None else ranked.limit(n)

@@ -60,11 +60,6 @@ def ranking_from_activity(feature_df: DataFrame) -> DataFrame:
     return _totals(feature_df, "feature_name").withColumn("rank", F.row_number().over(order))
 
 
-def with_overall_adoption(ranking: DataFrame, devices: DataFrame) -> DataFrame:
-    """Ranking plus ``adoption_rate``, the share of all devices that ever used the feature."""
-    return ranking.withColumn("adoption_rate", ratio(F.col("unique_users"), device_total(devices)))
-
-
 def device_total(devices: DataFrame):
     return devices.agg(F.count("*").alias("devices")).scalar()
 

@@ -15,20 +15,34 @@ _ALERTS = AlertSettings()
 INFINITE = "+Inf"
 
 
+def _filled(counts: DataFrame, keys: Sequence[str], numbers: Sequence[str], width: str) -> DataFrame:
+    """``counts`` by ``window_start`` and ``keys``, with a row of zeros for each window between the first
+    and the last of all that has none.
+
+    There is a row per key and window of the time range, whatever the number of events; the range itself is a
+    scalar subquery over the counts.
+    """
+    first = counts.agg(F.min("window_start").alias("first")).scalar()
+    last = counts.agg(F.max("window_start").alias("last")).scalar()
+    series = F.explode(F.sequence(first, last, F.expr(f"INTERVAL {width}"))).alias("window_start")
+    kinds = counts.select(*keys).distinct() if keys else counts.limit(1).select(F.lit(1).alias("_one"))
+    zeros = [F.lit(0).cast("bigint").alias(n) for n in numbers]
+    silent = kinds.select(*keys, series).select("window_start", *keys, *zeros)
+    return counts.union(silent).groupBy("window_start", *keys).agg(*[F.max(n).alias(n) for n in numbers])
+
+
 def event_rate(events: DataFrame, width: str = "1 minute", seconds: int = 60) -> DataFrame:
     """``window_start, topic, event_type, event_count, events_per_second``; ``seconds`` is the
-    length of ``width``."""
-    return (
-        events.groupBy(F.window("timestamp", width), topic_of().alias("topic"), "event_type")
+    length of ``width``. A type that occurs at all has a row for every window of the time range."""
+    counts = (
+        events.where(F.col("timestamp").isNotNull())
+        .groupBy(F.window("timestamp", width), topic_of().alias("topic"), "event_type")
         .agg(F.count("*").alias("event_count"))
-        .select(
-            F.col("window.start").alias("window_start"),
-            "topic",
-            "event_type",
-            "event_count",
-            (F.col("event_count") / F.lit(float(seconds))).alias("events_per_second"),
-        )
+        .select(F.col("window.start").alias("window_start"), "topic", "event_type", "event_count")
     )
+    rate = (F.col("event_count") / F.lit(float(seconds))).alias("events_per_second")
+    filled = _filled(counts, ["topic", "event_type"], ["event_count"], width)
+    return filled.select("window_start", "topic", "event_type", "event_count", rate)
 
 
 def throughput_status(
@@ -38,12 +52,18 @@ def throughput_status(
     width: str = "1 minute",
     seconds: int = 60,
 ) -> DataFrame:
-    """``window_start, events_per_second, status, low_throughput``."""
+    """``window_start, events_per_second, status, low_throughput``; a silent window has a row with rate 0, so
+    that an outage is seen."""
     rate = F.col("n") / F.lit(float(seconds))
-    return (
-        events.groupBy(F.window("timestamp", width))
+    counts = (
+        events.where(F.col("timestamp").isNotNull())
+        .groupBy(F.window("timestamp", width))
         .agg(F.count("*").alias("n"))
-        .select(F.col("window.start").alias("window_start"), rate.alias("events_per_second"))
+        .select(F.col("window.start").alias("window_start"), "n")
+    )
+    return (
+        _filled(counts, [], ["n"], width)
+        .select("window_start", rate.alias("events_per_second"))
         .withColumn("status", step_label(F.col("events_per_second"), steps))
         .withColumn("low_throughput", F.col("events_per_second") < F.lit(float(low)))
     )
@@ -55,18 +75,17 @@ def error_rate(
     width: str = "5 minutes",
     seconds: int = 300,
 ) -> DataFrame:
-    """``window_start, error_count, errors_per_second, status``; a window without errors has a row
-    as long as it has events."""
-    return (
-        events.groupBy(F.window("timestamp", width))
+    """``window_start, error_count, errors_per_second, status``; a window without errors, or without any
+    event, has a row too."""
+    counts = (
+        events.where(F.col("timestamp").isNotNull())
+        .groupBy(F.window("timestamp", width))
         .agg(F.count_if(is_type("crash_event")).alias("error_count"))
-        .select(
-            F.col("window.start").alias("window_start"),
-            "error_count",
-            (F.col("error_count") / F.lit(float(seconds))).alias("errors_per_second"),
-        )
-        .withColumn("status", step_label(F.col("errors_per_second"), steps))
+        .select(F.col("window.start").alias("window_start"), "error_count")
     )
+    rate = (F.col("error_count") / F.lit(float(seconds))).alias("errors_per_second")
+    filled = _filled(counts, [], ["error_count"], width).select("window_start", "error_count", rate)
+    return filled.withColumn("status", step_label(F.col("errors_per_second"), steps))
 
 
 def _cumulative(df: DataFrame, keys: Sequence[Column | str], value: Column, bounds: Sequence[float]) -> DataFrame:
@@ -141,9 +160,11 @@ def run_latency_summary(events: DataFrame, run: str, latency: Column, error: Col
     """Per run: ``total_events, errors, error_rate, p50_ms, p95_ms, p99_ms``.
 
     p50 is the median (mean of the middle two); p95 and p99 are the sorted value at 0-based index
-    ``int(n * p)``. All are exact; a run without latencies has 0.
+    ``int(n * p)``. All are exact; a run without latencies has 0. A latency that is no number (NaN) is no latency
+    and counts as an error.
     """
-    rows = events.select(F.col(run).alias("run"), latency.alias("latency"), error.alias("error"))
+    bad = F.coalesce(F.isnan(latency.cast("double")), F.lit(False))
+    rows = events.select(F.col(run).alias("run"), latency.alias("latency"), (error | bad).alias("error"))
     totals = rows.groupBy("run").agg(
         F.count("*").alias("total_events"), F.count_if(F.col("error")).alias("errors")
     )

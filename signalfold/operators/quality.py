@@ -14,6 +14,9 @@ from signalfold.schema import (
 from signalfold.sources.wire import parse
 
 
+UNEXPECTED = "unexpected"
+
+
 def _joined(failures: Sequence[Column]) -> Column:
     """The failures' names with commas between, null if there are none."""
     return F.nullif(F.concat_ws(",", *failures), F.lit(""))
@@ -71,18 +74,19 @@ def split_malformed(messages: DataFrame, *keep: str, value: str = "value") -> tu
 
 def check_messages(messages: DataFrame, *keep: str, value: str = "value") -> DataFrame:
     """Typed events (payload as a map of text) with the columns ``keep``, the message's ``text`` where
-    it is no event, and ``reason``: ``malformed``, or every envelope and payload rule that is broken,
+    it is quarantined, and ``reason``: ``malformed``, or every envelope and payload rule that is broken,
     or null for a valid event. Takes batch and streaming input."""
     text = F.col(value).cast("string").alias("_text")
     parsed = parse(messages.select(*keep, text), *keep, "_text", value="_text")
     checked = parsed.withColumn("timestamp", F.col("timestamp").try_cast("timestamp"))
     rules = F.nullif(F.concat_ws(",", envelope_reason(), payload_reason()), F.lit(""))
+    reason = F.when(F.col("malformed"), "malformed").otherwise(rules)
     return checked.select(
         *keep,
         *ENVELOPE_FIELDS,
         "payload",
-        F.when(F.col("malformed"), F.col("_text")).alias("text"),
-        F.when(F.col("malformed"), "malformed").otherwise(rules).alias("reason"),
+        F.when(reason.isNotNull(), F.col("_text")).alias("text"),
+        reason.alias("reason"),
     )
 
 
@@ -110,7 +114,8 @@ def os_device_check(events: DataFrame) -> DataFrame:
 
 def event_mix(events: DataFrame, expected: Mapping[str, float] = EXPECTED_MIX) -> DataFrame:
     """``event_type, event_count, share, expected_share, drift``, one row per expected type, also
-    for a type that does not occur. Counted in one pass as a single row."""
+    for a type that does not occur, and one row ``unexpected`` for all other types and null; the shares
+    add up to 1. Counted in one pass as a single row."""
     kinds = list(expected)
     counted = events.agg(
         F.count("*").alias("_all"),
@@ -124,6 +129,12 @@ def event_mix(events: DataFrame, expected: Mapping[str, float] = EXPECTED_MIX) -
         )
         for i, kind in enumerate(kinds)
     ]
+    rest = F.col("_all")
+    for i in range(len(kinds)):
+        rest = rest - F.col(f"_n{i}")
+    rows.append(
+        F.struct(F.lit(UNEXPECTED).alias("event_type"), rest.alias("event_count"), F.lit(0.0).alias("expected_share"))
+    )
     share = ratio(F.col("event_count"), F.col("_all"))
     return counted.select("_all", F.inline(F.array(*rows))).select(
         "event_type", "event_count", share.alias("share"), "expected_share",
@@ -132,8 +143,10 @@ def event_mix(events: DataFrame, expected: Mapping[str, float] = EXPECTED_MIX) -
 
 
 def region_coverage(events: DataFrame, expected: Sequence[str] = REGIONS, minimum: int = 4) -> DataFrame:
-    """``region, event_count, present, regions_present, covered``, one row per expected region."""
+    """``region, event_count, present, regions_present, covered``, one row per expected region, and one row
+    ``unexpected`` for all other regions and null, which is not counted in ``regions_present``."""
     counted = events.agg(
+        F.count("*").alias("_all"),
         *[F.count_if(F.col("region") == region).alias(f"_n{i}") for i, region in enumerate(expected)]
     )
     present = F.lit(0)
@@ -143,6 +156,10 @@ def region_coverage(events: DataFrame, expected: Sequence[str] = REGIONS, minimu
         F.struct(F.lit(region).alias("region"), F.col(f"_n{i}").alias("event_count"))
         for i, region in enumerate(expected)
     ]
+    rest = F.col("_all")
+    for i in range(len(expected)):
+        rest = rest - F.col(f"_n{i}")
+    rows.append(F.struct(F.lit(UNEXPECTED).alias("region"), rest.alias("event_count")))
     return counted.select(present.alias("regions_present"), F.inline(F.array(*rows))).select(
         "region",
         "event_count",

@@ -22,16 +22,13 @@ def retention_cohorts(events: DataFrame, cohort_days: int = 7, ordered: bool = T
 
 
 def cohorts_from_activity(active: DataFrame, cohort_days: int = 7) -> DataFrame:
-    """The events are first reduced to distinct device-days. A device's days are then few, at most
-    one per calendar day, so its first day is a window over them and needs no join; bucketing and
-    de-duplicating per device reuse the window's partitioning."""
-    days = active.where(F.col("device_id").isNotNull()).select("device_id", "date").distinct()
-    first = F.min("date").over(Window.partitionBy("device_id"))
+    """One shuffle of the devices: each task gathers a device's distinct days, and these small sets, at most a
+    day per calendar day, are merged per device. First day and buckets follow from the set."""
+    days = active.where(F.col("device_id").isNotNull()).groupBy("device_id").agg(F.collect_set("date").alias("days"))
+    first = days.select(F.array_min("days").alias("first_seen"), "days").where("first_seen is not null")
+    buckets = F.transform("days", lambda day: bucket_start(F.datediff(day, F.col("first_seen")), cohort_days))
     return (
-        days.withColumn("first_seen", first)
-        .withColumn("cohort_bucket", bucket_start(F.datediff("date", "first_seen"), cohort_days))
-        .select("device_id", "first_seen", "cohort_bucket")
-        .distinct()
+        first.select("first_seen", F.explode(F.array_distinct(buckets)).alias("cohort_bucket"))
         .groupBy("first_seen", "cohort_bucket")
         .agg(F.count("*").alias("retained_users"))
     )

@@ -1,10 +1,9 @@
 """The batch layer: all reports of one set of events.
 
-Two roll-ups (device-days and feature-device-days) are made from the events once, and the reports
-that count devices and events run over those. Only sessions and performance percentiles, which the
-roll-ups do not hold, read the events again, each just the rows of its event type. The roll-ups are
-written to the shared work folder rather than cached: they outlive an executor, and a lost task
-re-reads a file instead of the events.
+Three roll-ups (device-days, feature-device-days and the sessions per day) are tables of the lake, with a folder
+per day. A run adds the days of its events, or replaces them, and leaves the other days as they are, so history is
+scanned once and not by every run. The reports that count devices and events run over the roll-ups. Only
+performance percentiles, which add up from no roll-up, read the events, and just the samples.
 """
 
 from __future__ import annotations
@@ -22,8 +21,8 @@ from signalfold.operators.usage import (
     daily_sessions, distinct_devices, regions_from_activity, usage_from_activity,
 )
 from signalfold.session import workspace
-from signalfold.settings import Settings
-from signalfold.sinks.batch import write_reports
+from signalfold.settings import LakeSettings, Settings
+from signalfold.sinks.batch import write_partitioned, write_reports
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -33,15 +32,35 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def reports(events: DataFrame, settings: Settings = Settings(), rolled_up: bool = True) -> dict[str, DataFrame]:
-    """The seven reports and the performance report by metric. With ``rolled_up`` they share stored
-    roll-ups, else each is a plan over the events."""
-    days, features = activity(events), feature_activity(events)
-    if rolled_up:
-        days = stored(device_days(days), "device-days")
-        features = stored(feature_days(features), "feature-days")
+def roll_ups(events: DataFrame) -> dict[str, DataFrame]:
+    """The roll-ups of some events, by name; each has a ``date``."""
     return {
-        "daily_trends": usage_from_activity(days, daily_sessions(events)),
+        "device_days": device_days(activity(events)),
+        "feature_days": feature_days(feature_activity(events)),
+        "session_days": daily_sessions(events),
+    }
+
+
+def extend_roll_ups(events: DataFrame, lake: LakeSettings) -> dict[str, DataFrame]:
+    """Store the roll-ups of the days that ``events`` have, whole days, in place of what is stored of these days, and
+    return the roll-ups of all days. Events without a date are a day of their own."""
+    spark, stored_days = events.sparkSession, {}
+    for name, table in roll_ups(events).items():
+        path = f"{lake.rollups}/{name}"
+        write_partitioned(table, path, "date", mode="overwrite")
+        stored_days[name] = spark.read.schema(table.schema).parquet(path).select(table.columns)
+    return stored_days
+
+
+def reports(events: DataFrame, settings: Settings = Settings(), rolled: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The seven reports and the performance report by metric. With stored roll-ups ``rolled``, the counting reports
+    are over those, else each is a plan over the events."""
+    if rolled:
+        days, features, sessions = rolled["device_days"], rolled["feature_days"], rolled["session_days"]
+    else:
+        days, features, sessions = activity(events), feature_activity(events), daily_sessions(events)
+    return {
+        "daily_trends": usage_from_activity(days, sessions),
         "regional_trends": regions_from_activity(days),
         "feature_adoption": adoption_from_activity(features, distinct_devices(days)),
         "feature_ranking": ranking_from_activity(features),
@@ -52,6 +71,10 @@ def reports(events: DataFrame, settings: Settings = Settings(), rolled_up: bool
     }
 
 
-def run_batch(events: DataFrame, settings: Settings = Settings()) -> None:
-    """Compute all reports and write each below the lake's batch folder."""
-    write_reports(reports(events, settings), settings.lake.batch)
+def run_batch(events: DataFrame, settings: Settings = Settings(), new_days: DataFrame | None = None) -> None:
+    """Compute all reports of ``events`` and write each below the lake's batch folder.
+
+    ``new_days`` are the events of the days that the roll-ups don't hold yet or hold in part; without it, all.
+    """
+    rolled = extend_roll_ups(events if new_days is None else new_days, settings.lake)
+    write_reports(reports(events, settings, rolled), settings.lake.batch)

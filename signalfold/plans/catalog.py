@@ -40,11 +40,12 @@ REPORT_COLUMNS = {
 # -----------------------------------------------------------------------------
 
 
-def register_lake(spark: SparkSession, lake: LakeSettings = LakeSettings()) -> list[str]:
+def register_lake(spark: SparkSession, lake: LakeSettings = LakeSettings(), checked: bool = False) -> list[str]:
     """Create the database, a view per raw topic, and an external Parquet table over each report.
 
     The raw views read the landing folder by its root, where a stream keeps its commit log, and so
-    see finished batches only; filters on ``event_date`` and the topic prune folders. Tables that
+    see finished batches only; filters on ``event_date`` and the topic prune folders. With ``checked`` the landing is
+    that of checked messages, and the views have the valid ones. Tables that
     exist are left as they are; the views are renewed.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {lake.database}")
@@ -53,7 +54,8 @@ def register_lake(spark: SparkSession, lake: LakeSettings = LakeSettings()) -> l
     for topic, table in RAW_TABLES.items():
         name = f"{lake.database}.{table}"
         spark.sql(
-            f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{lake.raw}` WHERE topic = '{topic}'"
+            f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{lake.raw}` "
+            f"WHERE topic = '{topic}'" + (" AND status = 'valid'" if checked else "")
         )
         names.append(name)
     for report, report_columns in REPORT_COLUMNS.items():

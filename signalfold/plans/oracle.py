@@ -42,6 +42,9 @@ FLAT = """select event_id, event_type, event_time, device_id, device_type, os, a
   launch_time_ms, is_cold_start, feature_name, duration_ms, interaction_count, crash_type, is_fatal,
   memory_usage_mb, metric_name, metric_value as value from telemetry"""
 
+PAYLOAD = """session_id, launch_time_ms, is_cold_start, feature_name, duration_ms, interaction_count, crash_type,
+  is_fatal, memory_usage_mb, metric_name, metric_value as value"""
+
 DAILY = """select date, count(distinct device_id) as daily_active_users, count(*) as total_events,
   count(distinct case when event_type = 'app_open' then session_id end) as total_sessions
   from telemetry{where} group by date"""
@@ -139,6 +142,12 @@ def _t(select: str) -> str:
     return f"{TELEMETRY}\n{select}"
 
 
+def _series(width: str) -> str:
+    """All windows from the first to the last event, as ``window_start``."""
+    ends = f"time_bucket(interval '{width}', min(event_time)), time_bucket(interval '{width}', max(event_time)), interval '{width}'"
+    return f"(select unnest(generate_series({ends})) as window_start from telemetry) series"
+
+
 def _closed(windows: str) -> str:
     """Windows that end 10 seconds or more before the newest event, with their day."""
     return _t(
@@ -180,9 +189,27 @@ ORACLE: dict[str, str] = {
         )
     ),
     "sink_roundtrip": _t(REGIONAL),
-    "publish_keyed": _t("select topic, device_id as key, event_id, event_type, region from telemetry"),
-    "raw_landing": _t("select event_id, topic, date as event_date, event_type, device_id, region from telemetry"),
+    "publish_keyed": _t(f"select topic, device_id as key, event_id, event_type, region, {PAYLOAD} from telemetry"),
+    "raw_landing": _t(f"select event_id, topic, date as event_date, event_type, device_id, region, {PAYLOAD} from telemetry"),
     "archive_split": _t(ARCHIVED),
+    "archive_two_runs": _t(
+        "select *, case when date < date '2024-01-11' then 'before 2024-01-11' "
+        f"when date < date '2024-01-16' then 'before 2024-01-16' else 'served' end as tier from ({REGIONAL})"
+    ),
+    "stored_daily_trends": _t(DAILY.format(where="")),
+    "stored_regional_trends": _t(REGIONAL),
+    "stored_feature_adoption": _t(ADOPTION),
+    "stored_feature_ranking": _t(RANKED),
+    "stored_retention_cohorts": _t(COHORTS),
+    "stored_device_performance": _t(PERFORMANCE.format(keys=SEGMENT)),
+    "stored_performance_by_metric": _t(PERFORMANCE.format(keys=f"{SEGMENT}, metric_name")),
+    "stored_crash_analysis": _t(CRASHES),
+    "pipeline_end_to_end": _t(
+        "select date, null::varchar as feature_name, count(distinct device_id) as users, count(*) as events, "
+        "count(distinct session_id) as total_sessions from telemetry where event_id::bigint % 10 not in (7, 9) group by date "
+        "union all select date, feature_name, count(distinct device_id), count(*), null from telemetry "
+        "where event_id::bigint % 10 not in (7, 9) and event_type = 'feature_used' group by date, feature_name"
+    ),
     # expressions
     "expr_daily_projection": _t(
         "select event_id, date, case when is_cold_start then session_id end as cold_session_id, launch_time_ms "
@@ -234,25 +261,34 @@ ORACLE: dict[str, str] = {
         "from telemetry group by 1, 2, os, app_version) where crash_count > 0"
     ),
     # serving and BI
-    "serve_usage": _t(DAILY.format(where=USAGE_RANGE) + " order by date limit 100"),
+    "serve_usage": _t(DAILY.format(where=USAGE_RANGE) + " order by date"),
     "serve_usage_filtered": _t(
-        DAILY.format(where=f"{USAGE_RANGE} and region = 'ASIA' and device_type = 'mobile'") + " order by date limit 100"
+        DAILY.format(where=f"{USAGE_RANGE} and region = 'ASIA' and device_type = 'mobile'") + " order by date"
     ),
     "serve_usage_hourly": _t(
         "select date_trunc('hour', event_time) as hour, count(distinct device_id) as daily_active_users, "
         "count(*) as total_events, count(distinct case when event_type = 'app_open' then session_id end) as total_sessions "
-        f"from telemetry{USAGE_RANGE} and region = 'ASIA' group by 1 order by 1 limit 100"
+        f"from telemetry{USAGE_RANGE} and region = 'ASIA' group by 1 order by 1"
     ),
-    "serve_crashes": _t(f"select * from ({CRASHES}) where os = 'Android' order by crash_count desc, {SEGMENT} limit 50"),
+    "serve_crashes": _t(f"select * from ({CRASHES}) where os = 'Android' order by crash_count desc, {SEGMENT}"),
     "serve_adoption": _t(f"{RANKED} order by rank limit 5"),
     "serve_performance": _t(
-        f"select * from ({PERFORMANCE.format(keys=SEGMENT)}) where device_type = 'mobile' order by {SEGMENT} limit 50"
+        f"select * from ({PERFORMANCE.format(keys=SEGMENT)}) where device_type = 'mobile' order by {SEGMENT}"
     ),
     "realtime_snapshot": _t(
         "select max(event_time) as snapshot_time, count(distinct device_id) as active_users_1m, "
         "count(*) / 60 as events_per_second, count(*) filter (event_type = 'crash_event') / count(*) as error_rate "
         "from telemetry where event_time > (select max(event_time) from telemetry) - interval '1 minute'"
     ),
+    "snapshot_from_speed_layer": _t(
+        "select m + interval '1 minute' as snapshot_time, sum(users)::bigint as active_users_1m, sum(n) / 60 as events_per_second, "
+        "sum(crashes) / sum(n) as error_rate from (select m, region, device_type, count(distinct device_id) as users, "
+        "count(*) as n, count(*) filter (event_type = 'crash_event') as crashes from "
+        "(select *, time_bucket(interval '1 minute', event_time) as m from telemetry) group by 1, 2, 3) "
+        "where m = (select max(time_bucket(interval '1 minute', event_time)) from telemetry "
+        "where time_bucket(interval '1 minute', event_time) + interval '70 seconds' <= (select max(event_time) from telemetry)) "
+        "group by m"
+    ),
     "bi_top_features": _t(
         "select feature_name, total_usage, unique_users, unique_users / (select count(*) from "
         f"(select distinct device_id from telemetry)) as adoption_rate from ({RANKED}) order by rank limit 10"
@@ -268,19 +304,23 @@ ORACLE: dict[str, str] = {
     ),
     # observability
     "event_rate_per_minute": _t(
-        "select time_bucket(interval '1 minute', event_time) as window_start, topic, event_type, "
-        "count(*) as event_count, count(*) / 60 as events_per_second from telemetry group by 1, 2, 3"
+        "select window_start, k.topic, k.event_type, count(event_time) as event_count, "
+        f"count(event_time) / 60 as events_per_second from {_series('1 minute')} "
+        "cross join (select distinct topic, event_type from telemetry) k left join "
+        "(select time_bucket(interval '1 minute', event_time) as m, * from telemetry) t "
+        "on m = window_start and t.topic = k.topic and t.event_type = k.event_type group by window_start, k.topic, k.event_type"
     ),
     "throughput_status": _t(
         "select window_start, n / 60 as events_per_second, "
         "case when n >= 3 then 'green' when n >= 2 then 'yellow' else 'red' end as status, n < 2 as low_throughput "
-        "from (select time_bucket(interval '1 minute', event_time) as window_start, count(*) as n from telemetry group by 1)"
+        f"from (select window_start, count(event_time) as n from {_series('1 minute')} left join "
+        "(select time_bucket(interval '1 minute', event_time) as m, * from telemetry) on m = window_start group by 1)"
     ),
     "error_rate_5m": _t(
         "select window_start, n as error_count, n / 300 as errors_per_second, "
         "case when n >= 2 then 'red' when n >= 1 then 'yellow' else 'green' end as status "
-        "from (select time_bucket(interval '5 minutes', event_time) as window_start, "
-        "count(*) filter (event_type = 'crash_event') as n from telemetry group by 1)"
+        f"from (select window_start, count(event_time) filter (event_type = 'crash_event') as n from {_series('5 minutes')} "
+        "left join (select time_bucket(interval '5 minutes', event_time) as m, * from telemetry) on m = window_start group by 1)"
     ),
     "histogram_buckets": _t(
         f"select metric_name, le, count(*) filter ({SECONDS} <= bound) as bucket_count "
@@ -332,13 +372,19 @@ ORACLE: dict[str, str] = {
         "expected_share, round(coalesce(n, 0) / (select count(*) from telemetry) - expected_share, 6) as drift from "
         "(values ('app_open', 0.25::double), ('feature_used', 0.50::double), ('crash_event', 0.05::double), "
         "('performance_metric', 0.20::double)) x(event_type, expected_share) "
-        "left join (select event_type, count(*) as n from telemetry group by 1) using (event_type)"
+        "left join (select event_type, count(*) as n from telemetry group by 1) using (event_type) "
+        "union all select 'unexpected', count(*), count(*) / (select count(*) from telemetry), 0::double, "
+        "round(count(*) / (select count(*) from telemetry), 6) from telemetry where event_type not in "
+        "('app_open', 'feature_used', 'crash_event', 'performance_metric')"
     ),
     "dq_region_coverage": _t(
         "select region, coalesce(n, 0) as event_count, n is not null as present, "
         "cast(count(n) over () as int) as regions_present, count(n) over () >= 4 as covered from "
         "(values ('AFRICA'), ('AMERICA'), ('ANTARCTICA'), ('ASIA'), ('EUROPE'), ('MIDDLE EAST')) x(region) "
-        "left join (select region, count(*) as n from telemetry group by 1) using (region)"
+        "left join (select region, count(*) as n from telemetry group by 1) using (region) "
+        "union all select 'unexpected', count(*) filter (r is null), count(*) filter (r is null) > 0, "
+        "cast(count(distinct r) as int), count(distinct r) >= 4 from (select case when region in "
+        "('AFRICA', 'AMERICA', 'ANTARCTICA', 'ASIA', 'EUROPE', 'MIDDLE EAST') then region end as r from telemetry)"
     ),
     "dq_malformed": _t(
         "select event_id as key, cast(event_id as bigint) % 10 in (3, 7) as malformed from telemetry"

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from signalfold.functions.expressions import bucket_start, event_date, is_fatal, is_type
 from signalfold.operators import crashes, features, observe, performance, quality, retention, serving, usage, windows
 from signalfold.plans import catalog
-from signalfold.plans.batch import run_batch, stored
+from signalfold.plans.batch import extend_roll_ups, run_batch, stored
 from signalfold.schema import PAYLOAD_TYPES, event_schema, normalise
 from signalfold.session import workspace
 from signalfold.settings import AlertSettings, LakeSettings, Settings, StreamSettings
@@ -49,6 +49,10 @@ REPORT_TOTALS = {
     "performance_by_metric": "sample_count",
     "crash_analysis": "affected_devices",
 }
+STREAM_SLICES = 4  # event-time slices in which the table is replayed as a stream
+FILES_PER_FOLDER = 1  # of a landed topic-day of the test tables
+SPLIT_DAY = "2024-01-15"  # first day of the second landing
+AS_OF_DATES = (date(2024, 1, 26), date(2024, 1, 31))
 # -----------------------------------------------------------------------------
 
 def _full(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,19 +119,20 @@ def table_raw_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, DataFrame]:
-    """Telemetry as a stream over the events table, in a session with streaming settings."""
-    session = jobs.streaming_session(spark)
-    schema = table(session, sf_dir, "events").schema
-    # a glob, because the file source takes a folder or a pattern but not one plain file
-    facts = wire.read_file_stream(session, f"{sf_dir}/events.parque[t]", schema)
-    return session, telemetry(session, sf_dir, events=facts)
+    """Telemetry as a stream over the events table, in a session with streaming settings. The table is a backlog, so it is
+    replayed in slices of event time, one per micro-batch: state holds one slice, and no row is late."""
+    session = jobs.streaming_session(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    facts, staged = table(session, sf_dir, "events"), workspace(spark, "event-slices")
+    wire.stage_in_order(facts, staged, "ts", STREAM_SLICES)
+    sliced = wire.read_file_stream(session, staged, facts.schema, max_files_per_trigger=1)
+    return session, telemetry(session, sf_dir, events=sliced)
 
 
 def _landed(spark: SparkSession, events: DataFrame) -> DataFrame:
     """A stream of events, landed to its end and read back."""
     path, checkpoint = workspace(spark, "landing"), workspace(spark, "landing-checkpoint")
     query = jobs.land_raw_stream(
-        events, path, checkpoint, trigger=None, files_per_folder=jobs.backlog_files(spark)
+        events, path, checkpoint, trigger=None, files_per_folder=FILES_PER_FOLDER
     )
     jobs.run_to_end(query)
     return spark.read.parquet(path)
@@ -148,7 +153,44 @@ def stream_all_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, events = _event_stream(spark, sf_dir)
-    return _landed(spark, events).select("event_id", "topic", "event_date", "event_type", "device_id", "region")
+    landed = _landed(spark, events)
+    return landed.select(
+        "event_id", "topic", "event_date", "event_type", "device_id", "region", *_payload(),
+    )
+
+
+def _payload() -> list:
+    """The payload fields that the tables give."""
+    return [F.col(f"payload.{n}").alias(n) for n in PAYLOAD_TYPES if n not in ("stack_trace", "unit", "screen_name")]
+
+
+def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages, of which some are cut short or no object, checked and landed in two runs, split by day; what was
+    landed as valid gives the daily trends and the use of each feature."""
+    events, path = _full(spark, sf_dir), workspace(spark, "checked-landing")
+    # the tables give no stack trace or unit, which the rules ask for
+    given = events.withColumn(
+        "payload", F.col("payload").withField("stack_trace", F.lit("at top")).withField("unit", F.lit("ms"))
+    )
+    day = F.col("timestamp") < F.lit(SPLIT_DAY).cast("timestamp_ntz")
+    for part in (given.where(day), given.where(~day)):
+        n = F.col("event_id").cast("bigint")
+        messages = wire.encode(part.withColumn("device_id", F.when(n % 10 != 9, F.col("device_id"))))
+        number = F.get_json_object("value", "$.event_id").cast("bigint")
+        faulty = messages.withColumn("value", F.when(number % 10 == 7, F.substring("value", 1, 20)).otherwise(F.col("value")))
+        sinks.write_checked(quality.check_messages(faulty), path)
+    landed = raw.load_raw_events(spark, path, fmt="parquet", checked=True)
+    trends = usage.daily_usage_trends(landed, ordered=False)
+    adopted = features.feature_adoption_rates(landed, ordered=False)
+    return trends.select(
+        F.col("date"), F.lit(None).cast("string").alias("feature_name"), F.col("daily_active_users").alias("users"),
+        F.col("total_events").alias("events"), "total_sessions",
+    ).unionByName(
+        adopted.select(
+            "date", "feature_name", F.col("unique_users").alias("users"), F.col("total_usage").alias("events"),
+            F.lit(None).cast("bigint").alias("total_sessions"),
+        )
+    )
 
 
 def _closed_windows(name: str) -> Query:
@@ -165,10 +207,35 @@ def _closed_windows(name: str) -> Query:
     return query
 
 
+_LAKES: dict[tuple[str, str], LakeSettings] = {}
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> LakeSettings:
+    """A lake with all reports of the tables; one run of the batch layer serves the queries of an application. The
+    roll-ups are extended in two steps, by days."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        lake, events = LakeSettings(root=workspace(spark, "lake")), _full(spark, sf_dir)
+        first = F.col("timestamp") < F.lit(SPLIT_DAY).cast("timestamp_ntz")
+        extend_roll_ups(events.where(first), lake)
+        run_batch(events, Settings(lake=lake), new_days=events.where(~first))
+        _LAKES[key] = lake
+    return _LAKES[key]
+
+
+def _stored_report(report: str) -> Query:
+    """A stored report, all columns."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = spark.read.parquet(f"{_lake(spark, sf_dir).batch}/{report}")
+        return _rounded(df, *[c for c in ("avg_metric_value",) if c in df.columns])
+
+    return query
+
+
 def batch_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All reports over stored roll-ups, written and read back: the rows and one total of each."""
-    lake = LakeSettings(root=workspace(spark, "lake"))
-    run_batch(_full(spark, sf_dir), Settings(lake=lake))
+    lake = _lake(spark, sf_dir)
     summaries = [
         spark.read.parquet(f"{lake.batch}/{report}").agg(
             F.lit(report).alias("report"),
@@ -189,8 +256,11 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark, "published")
     sinks.publish(_full(spark, sf_dir), path)
-    body = F.from_json("value", "event_id string, event_type string, region string")
-    return spark.read.parquet(path).select("topic", "key", body.alias("v")).select("topic", "key", "v.*")
+    body = F.from_json("value", event_schema(timestamp=T.StringType()))
+    sent = spark.read.parquet(path).select("topic", "key", body.alias("v"))
+    return sent.select("topic", "key", "v.event_id", "v.event_type", "v.region", "v.payload").select(
+        "topic", "key", "event_id", "event_type", "region", *_payload()
+    )
 
 
 def archive_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,6 +271,19 @@ def archive_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return old.unionByName(spark.read.parquet(active).withColumn("tier", F.lit("active")))
 
 
+def archive_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored report archived on two days, with the report served in between and after."""
+    lake = LakeSettings(root=workspace(spark, "archive-lake"), archive_after_days=ARCHIVE_DAYS)
+    trends = usage.daily_trends_by_region(_regions(spark, sf_dir), ordered=False)
+    sinks.write_reports({"regional_trends": trends}, lake.batch)
+    for as_of in AS_OF_DATES:
+        sinks.archive_report(spark, "regional_trends", as_of, workspace(spark, "active"), lake)
+    old = spark.read.parquet(f"{lake.historical}/regional_trends")
+    old = old.withColumn("tier", F.concat(F.lit("before "), F.col("archived_before"))).drop("archived_before")
+    served = spark.read.parquet(f"{lake.batch}/regional_trends").withColumn("tier", F.lit("served"))
+    return old.unionByName(served)
+
+
 # --- expressions --------------------------------------------------------------
 
 
@@ -314,6 +397,17 @@ def realtime_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.realtime_snapshot(_no_dims(spark, sf_dir))
 
 
+def snapshot_from_speed_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest minute that the speed layer has stored."""
+    _, events = _event_stream(spark, sf_dir)
+    events = wire.with_event_time(events, StreamSettings().watermark)
+    output, checkpoints = workspace(spark, "metrics"), workspace(spark, "metrics-checkpoints")
+    for query in jobs.start_speed_layer(events, events, output, checkpoints, available_now=True):
+        jobs.run_to_end(query)
+    snapshot = serving.MetricsStore(spark, output, metrics_path=output).get_realtime_snapshot()
+    return _naive(snapshot, "snapshot_time")
+
+
 def bi_top_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _no_dims(spark, sf_dir)
     return catalog.top_features(spark, features.feature_ranking(events, ordered=False), usage.distinct_devices(events))
@@ -496,10 +590,13 @@ QUERIES: dict[str, Query] = {
     "stream_active_users": _closed_windows("active_users"),
     "stream_feature_usage": _closed_windows("feature_usage"),
     "batch_layer": batch_layer,
+    **{f"stored_{report}": _stored_report(report) for report in REPORT_TOTALS},
+    "pipeline_end_to_end": pipeline_end_to_end,
     "sink_roundtrip": sink_roundtrip,
     "publish_keyed": publish_keyed,
     "raw_landing": raw_landing,
     "archive_split": archive_split,
+    "archive_two_runs": archive_two_runs,
     # expressions
     "expr_daily_projection": expr_daily_projection,
     "expr_payload_lookup": expr_payload_lookup,
@@ -535,6 +632,7 @@ QUERIES: dict[str, Query] = {
     "serve_adoption": serve_adoption,
     "serve_performance": serve_performance,
     "realtime_snapshot": realtime_snapshot,
+    "snapshot_from_speed_layer": snapshot_from_speed_layer,
     "bi_top_features": bi_top_features,
     "bi_crash_rates": bi_crash_rates,
     "bi_region_usage": bi_region_usage,

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+SHUFFLE_PARTITIONS = 1024
 
-def build_session(app_name: str = "signalfold", master: str | None = None, **conf: object) -> SparkSession:
+
+def build_session(
+    app_name: str = "signalfold", master: str | None = None, shuffle_partitions: int = SHUFFLE_PARTITIONS, **conf: object
+) -> SparkSession:
     """A session with UTC time, AQE and skew-join splitting on. Executor sizes are left to
     spark-submit; ``conf`` keys may use ``__`` for ``.``.
 
-    Unless set, shuffles start with three partitions per core, so that they stay small on a large
-    cluster; AQE merges what turns out too small.
+    Shuffles start with ``shuffle_partitions`` parts, a fixed number and not one of the cores that happen
+    to be registered; AQE merges what turns out too small. Raise it for shuffles of many terabytes.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -21,32 +24,19 @@ def build_session(app_name: str = "signalfold", master: str | None = None, **con
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         # fewer, larger scan tasks over very large tables
         .config("spark.sql.files.maxPartitionBytes", "256m")
-        # percentile sketches of up to this many groups are kept in a hash map before rows are sorted
-        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "512")
     )
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), str(value))
-    spark = builder.getOrCreate()
-    if spark.sparkContext.getConf().get("spark.sql.shuffle.partitions", None) is None:
-        spark.conf.set("spark.sql.shuffle.partitions", str(3 * spark.sparkContext.defaultParallelism))
-    return spark
+    return builder.getOrCreate()
 
 
 def workspace(spark: SparkSession, purpose: str) -> str:
-    """A new, empty path in the shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local master may go without the setting; a machine-local folder on a cluster would be
-    lost with its machine.
-    """
-    context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not base:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="signalfold-"))
-        base = context.getCheckpointDir()
+    """A new, empty path in the shared folder named by ``spark.checkpoint.dir``, or else in the
+    warehouse, which is always set and which all executors of a cluster share too."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -5,7 +5,9 @@ Override with ``dataclasses.replace(Settings(), ...)``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import os
+from collections.abc import Mapping
+from dataclasses import dataclass, field, fields, is_dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -18,6 +20,7 @@ class KafkaSettings:
     batch_size: int = 16384
     linger_ms: int = 10
     compression: str = "lz4"
+    max_offsets_per_trigger: int = 5_000_000  # the most messages of one micro-batch
 
 
 @dataclass(frozen=True)
@@ -26,6 +29,11 @@ class StreamSettings:
     usage_window: str = "1 minute"
     error_window: str = "30 seconds"
     trigger: str = "10 seconds"
+    state_partitions: int = 200  # a stream keeps this number for the life of its checkpoint
+    max_files_per_trigger: int = 1000
+    max_bytes_per_trigger: str = "16g"
+    landed_file_rows: int = 4_000_000  # rows of one file when landed days are compacted
+    slice_hours: int = 24  # of event time, in which a backlog is replayed
 
 
 @dataclass(frozen=True)
@@ -56,6 +64,14 @@ class LakeSettings:
     def batch(self) -> str:
         return f"{self.root}/processed/batch"
 
+    @property
+    def rollups(self) -> str:
+        return f"{self.root}/processed/rollups"
+
+    @property
+    def quarantine(self) -> str:
+        return f"{self.root}/quarantine"
+
     @property
     def metrics(self) -> str:
         return f"{self.root}/processed/metrics"
@@ -72,3 +88,36 @@ class Settings:
     alerts: AlertSettings = field(default_factory=AlertSettings)
     lake: LakeSettings = field(default_factory=LakeSettings)
     cohort_days: int = 7
+
+    @classmethod
+    def from_env(cls, env: Mapping[str, str] | None = None, prefix: str = "SIGNALFOLD_") -> Settings:
+        """Defaults overridden by variables such as ``SIGNALFOLD_LAKE_ROOT`` or
+        ``SIGNALFOLD_KAFKA_BOOTSTRAP_SERVERS`` (lists with commas). A name that fits no field raises."""
+        env = os.environ if env is None else env
+        settings, left = cls(), {k for k in env if k.startswith(prefix)}
+        for part in fields(cls):
+            section = getattr(settings, part.name)
+            if not is_dataclass(section):
+                if (key := f"{prefix}{part.name.upper()}") in left:
+                    settings = replace(settings, **{part.name: _typed(section, env[key])})
+                    left.discard(key)
+                continue
+            given = {f.name: f"{prefix}{part.name.upper()}_{f.name.upper()}" for f in fields(section)}
+            found = {name: _typed(getattr(section, name), env[key]) for name, key in given.items() if key in left}
+            settings = replace(settings, **{part.name: replace(section, **found)})
+            left -= set(given.values())
+        if left:
+            raise ValueError(f"no such settings: {', '.join(sorted(left))}")
+        return settings
+
+
+def _typed(default: object, text: str) -> object:
+    """``text`` as a value of the default's type."""
+    if isinstance(default, bool):
+        return text.strip().lower() in ("1", "true", "yes")
+    if isinstance(default, tuple):
+        if default and not isinstance(default[0], (str, int, float)):
+            raise ValueError("this setting can't be given as text")
+        kind = type(default[0]) if default else str
+        return tuple(kind(x.strip()) for x in text.split(",") if x.strip())
+    return type(default)(text)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 
@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from signalfold.functions.expressions import event_date
 from signalfold.operators.quality import status_of, with_topic
-from signalfold.settings import KafkaSettings, LakeSettings
+from signalfold.schema import normalise, typed_payload
+from signalfold.session import workspace
+from signalfold.settings import KafkaSettings, LakeSettings, StreamSettings
 from signalfold.sources.wire import encode, kafka_sink_options
 
 
@@ -32,25 +34,74 @@ def write_reports(reports: Mapping[str, DataFrame], path: str) -> None:
         list(pool.map(inheritable_thread_target(session)(write), reports.items()))
 
 
-def write_partitioned(df: DataFrame, path: str, *columns: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, *columns: str, fmt: str = "parquet", mode: str = "append") -> None:
     """Folders by ``columns``. The rebalance hint gathers a folder's rows into files of the advisory
-    size: small folders get one file, and one that holds a third of all rows is split over tasks."""
-    df.hint("rebalance", *columns).write.mode(mode).format(fmt).partitionBy(*columns).save(path)
+    size: small folders get one file, and one that holds a third of all rows is split over tasks.
 
+    ``append`` adds files; ``overwrite`` replaces exactly the folders that ``df`` has rows for, and leaves the others.
+    """
+    writer = df.hint("rebalance", *columns).write.mode(mode).format(fmt).partitionBy(*columns)
+    writer.option("partitionOverwriteMode", "dynamic").save(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there, in any file system that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _not_streamed(spark: SparkSession, path: str) -> None:
+    """A stream's commit log names the files that count: a batch write next to it would not be read, or would delete it."""
+    if exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"a stream lands in {path}; give the batch a folder of its own")
 
-def land_raw(events: DataFrame, path: str) -> None:
-    """Events as Parquet by topic and day."""
-    write_partitioned(with_topic(events).withColumn("event_date", event_date()), path, "topic", "event_date")
+
+def land_raw(events: DataFrame, path: str, replace_days: bool = False) -> None:
+    """Events as Parquet by topic and day, in the form the loader reads, beside what is there. With
+    ``replace_days`` the topic-days of ``events``, and no others, are replaced, so a backfill can run again."""
+    _not_streamed(events.sparkSession, path)
+    landed = with_topic(normalise(events)).withColumn("event_date", event_date())
+    write_partitioned(landed, path, "topic", "event_date", mode="overwrite" if replace_days else "append")
+
+
+def checked_rows(checked: DataFrame, reason: str = "reason") -> DataFrame:
+    """Checked events with the ``status``, ``topic`` and ``event_date`` they are stored by, and a typed payload."""
+    typed = typed_payload(checked.schema["payload"].dataType).alias("payload")
+    rest = [c for c in checked.columns if c != "payload"]
+    return with_topic(checked.select(*rest, typed)).withColumns({"event_date": event_date(), "status": status_of(reason)})
 
 
 def write_checked(checked: DataFrame, path: str, reason: str = "reason") -> None:
     """Valid rows and quarantined rows (those with a ``reason``) in one pass, in the folders
-    ``status=valid`` and ``status=quarantined``."""
-    write_partitioned(checked.withColumn("status", status_of(reason)), path, "status")
+    ``status=valid`` and ``status=quarantined``, each by topic and day, beside what is there."""
+    _not_streamed(checked.sparkSession, path)
+    write_partitioned(checked_rows(checked, reason), path, "status", "topic", "event_date")
+
+
+def compact_days(spark: SparkSession, path: str, days: Sequence[date], file_rows: int = StreamSettings.landed_file_rows) -> None:
+    """Rewrite the landed topic-days of ``days`` as files of about ``file_rows`` rows.
+
+    The new files go to a staging folder first and then replace the days' folders; a run that fails can be run
+    again. Only for folders that batches land in: a stream's own folder is compacted by landing it anew.
+    """
+    _not_streamed(spark, path)
+    landed = spark.read.parquet(path).where(F.col("event_date").isin(*days))
+    staged = workspace(spark, "compacted")
+    landed.write.partitionBy("topic", "event_date").parquet(staged)
+    ready = spark.read.parquet(staged)
+    writer = ready.hint("rebalance", "topic", "event_date").write.mode("overwrite").option("maxRecordsPerFile", file_rows)
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("topic", "event_date").parquet(path)
+    remove(spark, staged)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote to the work folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def publish(events: DataFrame, path: str) -> None:
-    """Keyed JSON messages, one folder per topic."""
+    """Keyed JSON messages, one folder per topic, after those that are there."""
     write_partitioned(encode(events), path, "topic")
 
 
@@ -77,7 +128,37 @@ def archive(df: DataFrame, as_of: date, historical: str, active: str, days_old:
     df.where(~old).write.mode("overwrite").parquet(active)
 
 
+def _cutoffs(spark: SparkSession, historical: str) -> list[date]:
+    """The cut-offs of earlier archive runs, oldest first."""
+    if not exists(spark, historical):
+        return []
+    place = spark._jvm.org.apache.hadoop.fs.Path(historical)
+    listed = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    names = [f.getPath().getName() for f in listed]
+    return sorted(date.fromisoformat(n.removeprefix("archived_before=")) for n in names if n.startswith("archived_before="))
+
+
 def archive_report(spark: SparkSession, report: str, as_of: date, active: str, lake: LakeSettings = LakeSettings()) -> None:
-    """:func:`archive` for a stored report with a ``date``, by the lake's folders and age limit."""
-    stored = spark.read.parquet(f"{lake.batch}/{report}")
-    archive(stored, as_of, f"{lake.historical}/{report}", active, lake.archive_after_days)
+    """Move the old rows of a stored report with a ``date`` to the archive, by the lake's folders and age limit.
+
+    A run archives the days between the last run's cut-off and its own, so tiers and runs share no row; the report
+    may have been rewritten with all its history in between. Then the report itself becomes the active
+    rows, by way of the new path ``active``. Running again for the same day replaces that run's folder; a run for an
+    earlier day than the last one raises.
+    """
+    cutoff = archive_cutoff(as_of, lake.archive_after_days)
+    historical, served = f"{lake.historical}/{report}", f"{lake.batch}/{report}"
+    before = [c for c in _cutoffs(spark, historical) if c != cutoff]
+    if before and before[-1] > cutoff:
+        raise ValueError(f"{report} is archived up to {before[-1]} already")
+    stored = spark.read.parquet(served)
+    if before:
+        stored = stored.where(F.col("date").isNull() | (F.col("date") >= F.lit(before[-1])))
+    if exists(spark, f"{historical}/archived_before={cutoff}"):
+        # the run is repeated: what it has archived may have left the report already
+        done = spark.read.parquet(f"{historical}/archived_before={cutoff}")
+        stored = stored.where(F.col("date").isNull() | (F.col("date") >= F.lit(cutoff))).unionByName(done)
+        stored.write.parquet(staged := workspace(spark, "archive"))
+        stored = spark.read.parquet(staged)
+    archive(stored, as_of, historical, active, lake.archive_after_days)
+    spark.read.parquet(active).write.mode("overwrite").parquet(served)

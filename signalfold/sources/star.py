@@ -17,8 +17,7 @@ TABLES = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "region": "r_regionkey int, r_name string",
 }
-# props is always {"k": <number>}; a pattern reads this flat form several times faster than a parser
-K = r"""try_cast(regexp_extract(props, '"k"\\s*:\\s*(-?\\d+)', 1) AS int)"""
+K = "try_cast(get_json_object(props, '$.k') AS int)"
 EVENT_TYPE = """CASE event_type WHEN 'signup' THEN 'app_open' WHEN 'error' THEN 'crash_event'
     WHEN 'purchase' THEN 'performance_metric' ELSE 'feature_used' END"""
 DEVICE_TYPE = """CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'mobile'

@@ -73,6 +73,7 @@ def kafka_source_options(settings: KafkaSettings, topics: Sequence[str]) -> dict
         "subscribe": ",".join(topics),
         "startingOffsets": settings.starting_offsets,
         "failOnDataLoss": str(settings.fail_on_data_loss).lower(),
+        "maxOffsetsPerTrigger": str(settings.max_offsets_per_trigger),
     }
 
 
@@ -93,10 +94,32 @@ def read_kafka_stream(
     kafka: KafkaSettings = KafkaSettings(),
     stream: StreamSettings = StreamSettings(),
 ) -> DataFrame:
-    """Typed event stream of one topic or of several. Needs the Kafka connector on the class path."""
+    """Typed event stream of one topic or of several, without the messages that are no events: those are for
+    :func:`signalfold.operators.quality.check_messages` over :func:`read_kafka_messages`. Needs the Kafka
+    connector on the class path."""
+    return events_of(read_kafka_messages(spark, topic, kafka), stream)
+
+
+def read_kafka_messages(
+    spark: SparkSession, topic: str | Sequence[str], kafka: KafkaSettings = KafkaSettings()
+) -> DataFrame:
+    """Messages as they are: ``topic, partition, offset, key, value`` and the broker's time."""
     topics = [topic] if isinstance(topic, str) else list(topic)
-    messages = spark.readStream.format("kafka").options(**kafka_source_options(kafka, topics)).load()
-    return with_event_time(decode(messages), stream.watermark)
+    return spark.readStream.format("kafka").options(**kafka_source_options(kafka, topics)).load()
+
+
+def read_message_files(
+    spark: SparkSession, path: str, stream: StreamSettings = StreamSettings(), max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Messages from text files, one per line, as ``value``."""
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    return read_file_stream(spark, path, schema, "text", max_files_per_trigger or stream.max_files_per_trigger)
+
+
+def events_of(messages: DataFrame, stream: StreamSettings = StreamSettings()) -> DataFrame:
+    """The typed events among the messages, with a watermark."""
+    parsed = parse(messages)
+    return with_event_time(typed(parsed.where(~F.col("malformed"))), stream.watermark)
 
 
 def read_file_stream(
@@ -104,15 +127,33 @@ def read_file_stream(
     path: str,
     schema: T.StructType,
     fmt: str = "parquet",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = StreamSettings.max_files_per_trigger,
 ) -> DataFrame:
-    """Stream of the files under ``path``; new files become new micro-batches."""
+    """Stream of the files under ``path``; new files become new micro-batches of a bounded number of files. The
+    watermark moves between micro-batches, so files must come in event-time order, up to the watermark's delay; a
+    backlog that isn't is first put into slices by :func:`stage_in_order`."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
 
 
+def stage_in_order(facts: DataFrame, path: str, column: str, slices: int) -> None:
+    """A bounded backlog as ``slices`` files of disjoint, rising ranges of ``column``, for a stream that takes one
+    file per micro-batch: no row is late, and state holds one slice.
+
+    The file source goes by modification time, so the files get rising ones, in the order of their ranges.
+    """
+    spark = facts.sparkSession
+    facts.repartitionByRange(slices, column).write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((f for f in system.listStatus(place) if f.getPath().getName().startswith("part-")), key=lambda f: f.getPath().getName())
+    newest = max((f.getModificationTime() for f in files), default=0)
+    for k, f in enumerate(files):
+        system.setTimes(f.getPath(), newest - 1000 * (len(files) - k), -1)
+
+
 def with_event_time(events: DataFrame, watermark: str) -> DataFrame:
     """Watermark on the event time. Spark takes no zone-less timestamps here, hence the cast."""
     if isinstance(events.schema["timestamp"].dataType, T.TimestampNTZType):

@@ -7,19 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from signalfold.functions.expressions import event_date
-from signalfold.operators.quality import status_of, with_topic
+from signalfold.operators.quality import with_topic
 from signalfold.operators.windows import active_users_per_minute, error_spikes, feature_usage
+from signalfold.schema import normalise
 from signalfold.settings import StreamSettings
+from signalfold.sinks.batch import checked_rows
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def streaming_session(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
-    """A session of the same application with its own SQL settings: state in RocksDB, off the heap,
-    and as many state partitions as the cluster has cores. A stream keeps that number for the life
-    of its checkpoint, so it does not come from the batch setting."""
+    """A session of the same application with its own SQL settings: state in RocksDB, off the heap, and a fixed
+    number of state partitions. A stream keeps that number for the life of its checkpoint, so it comes neither
+    from the batch setting nor from the cores that happen to be there."""
     session = spark.newSession()
-    partitions = shuffle_partitions or spark.sparkContext.defaultParallelism
+    partitions = shuffle_partitions or StreamSettings.state_partitions
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
@@ -57,13 +59,13 @@ def land_raw_stream(
     trigger: str | None = StreamSettings.trigger,
     files_per_folder: int | None = None,
 ) -> StreamingQuery:
-    """Events as Parquet by topic and day, for the batch layer to read.
+    """Events as Parquet by topic and day, with the typed payload that the batch layer reads.
 
     A micro-batch of fresh events touches few folders and is written as it comes. A backlog of many
     days would have every task write a file per folder; ``files_per_folder`` gathers each folder's
     rows into that many files, spread by event id so that no folder depends on one task.
     """
-    landed = with_topic(events).withColumn("event_date", event_date())
+    landed = with_topic(normalise(events)).withColumn("event_date", event_date())
     if files_per_folder:
         slot = F.pmod(F.xxhash64("event_id"), F.lit(files_per_folder))
         landed = landed.repartition("topic", "event_date", slot)
@@ -73,13 +75,9 @@ def land_raw_stream(
 def land_checked_stream(
     checked: DataFrame, path: str, checkpoint: str, trigger: str | None = StreamSettings.trigger
 ) -> StreamingQuery:
-    """Checked messages in one pass to the folders ``status=valid`` and ``status=quarantined``."""
-    return _start(checked.withColumn("status", status_of()), "checked_landing", path, checkpoint, trigger, "status")
-
-
-def backlog_files(spark: SparkSession) -> int:
-    """``files_per_folder`` for landing a backlog: an eighth of the cluster's cores."""
-    return max(1, spark.sparkContext.defaultParallelism // 8)
+    """Checked messages in one pass to the folders ``status=valid`` and ``status=quarantined``, each by topic and
+    day; the loader reads the valid ones (``checked=True``)."""
+    return _start(checked_rows(checked), "checked_landing", path, checkpoint, trigger, "status", "topic", "event_date")
 
 
 def _start(df: DataFrame, name: str, path: str, checkpoint: str, trigger: str | None, *columns: str) -> StreamingQuery:

@@ -9,14 +9,16 @@ from types import SimpleNamespace
 import pytest
 from conftest import SF_DIR, rows
 
-from signalfold.operators.usage import daily_usage_trends
+from signalfold.operators.usage import daily_trends_by_region, daily_usage_trends
 from signalfold.operators.serving import MetricsStore
 from signalfold.plans import catalog
-from signalfold.plans.batch import run_batch
+from signalfold.plans.batch import extend_roll_ups, roll_ups, run_batch
 from signalfold.session import workspace
 from signalfold.settings import LakeSettings, Settings
 from signalfold.sinks import batch as sinks
+from signalfold.sources.raw import load_raw_events
 from signalfold.sources.star import telemetry
+from signalfold.sources.wire import decode, encode
 
 
 @pytest.fixture(scope="module")
@@ -103,18 +105,80 @@ def test_rebalanced_folders(spark, tmp_path):
 
 
 def test_archive_of_a_stored_report(spark, lake, tmp_path):
-    sinks.archive_report(spark, "regional_trends", date(2024, 2, 10), str(tmp_path / "active"), lake)
     before = spark.read.parquet(f"{lake.batch}/regional_trends").count()
+    sinks.archive_report(spark, "regional_trends", date(2024, 2, 10), str(tmp_path / "active"), lake)
+    assert spark.read.parquet(f"{lake.batch}/regional_trends").agg({"date": "min"}).first()[0] == date(2024, 1, 11)
     old = spark.read.parquet(f"{lake.historical}/regional_trends")
     assert old.agg({"date": "max"}).first()[0] == date(2024, 1, 10)
-    assert old.count() + spark.read.parquet(str(tmp_path / "active")).count() == before
+    archived = old.count()
+    assert archived + spark.read.parquet(str(tmp_path / "active")).count() == before
+    # again for the same day, then for a later one, also after a full rewrite of the report
+    report = f"{lake.batch}/regional_trends"
+    sinks.archive_report(spark, "regional_trends", date(2024, 2, 10), str(tmp_path / "active2"), lake)
+    assert spark.read.parquet(f"{lake.historical}/regional_trends").count() == archived
+    sinks.write_reports({"regional_trends": daily_trends_by_region(telemetry(spark, SF_DIR), ordered=False)}, lake.batch)
+    sinks.archive_report(spark, "regional_trends", date(2024, 2, 15), str(tmp_path / "active3"), lake)
+    tiers = spark.read.parquet(f"{lake.historical}/regional_trends").drop("archived_before").unionByName(spark.read.parquet(report))
+    assert tiers.count() == before and tiers.distinct().count() == before
+    with pytest.raises(ValueError, match="archived up to"):
+        sinks.archive_report(spark, "regional_trends", date(2024, 2, 1), str(tmp_path / "active4"), lake)
+
+
+def test_workspace_without_the_setting_is_in_the_warehouse():
+    conf = {"spark.sql.warehouse.dir": "hdfs://namenode/warehouse/"}
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)))
+    assert workspace(cluster, "x").startswith("hdfs://namenode/warehouse/x-")
+
+
+def test_landing_keeps_what_is_there(spark, tmp_path):
+    events, path = telemetry(spark, SF_DIR), str(tmp_path / "raw")
+    days = [events.where(f"to_date(timestamp) = date '2024-01-0{d}'") for d in (2, 3)]
+    counts = [d.count() for d in days]
+    for day in days:
+        sinks.land_raw(day, path)
+    assert spark.read.parquet(path).count() == sum(counts)
+    sinks.land_raw(days[1], path, replace_days=True)
+    landed = load_raw_events(spark, path, fmt="parquet")
+    assert landed.count() == sum(counts) and load_raw_events(spark, path, date="2024-01-02", fmt="parquet").count() == counts[0]
+    sinks.compact_days(spark, path, [date(2024, 1, 2)])
+    assert load_raw_events(spark, path, date="2024-01-02", fmt="parquet").count() == counts[0]
+    assert load_raw_events(spark, path, fmt="parquet").count() == sum(counts)
+
+
+def test_batch_does_not_land_beside_a_stream(spark, tmp_path):
+    (tmp_path / "raw" / "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError, match="stream"):
+        sinks.land_raw(telemetry(spark, SF_DIR), str(tmp_path / "raw"))
+
+
+def test_landed_map_payload_reaches_the_reports(spark, tmp_path):
+    events = telemetry(spark, SF_DIR)
+    sinks.land_raw(decode(encode(events), timestamp_type="timestamp_ntz"), str(tmp_path / "raw"))
+    landed = load_raw_events(spark, str(tmp_path / "raw"), fmt="parquet")
+    assert sorted(map(str, rows(daily_usage_trends(landed)))) == sorted(map(str, rows(daily_usage_trends(events))))
+
+
+def test_serving_prunes_days(spark, tmp_path):
+    sinks.land_raw(telemetry(spark, SF_DIR), str(tmp_path / "raw"))
+    landed = load_raw_events(spark, str(tmp_path / "raw"), fmt="parquet")
+    store = MetricsStore(spark, str(tmp_path), landed)
+    frames = [
+        store.get_usage_metrics(region="ASIA", start_date="2024-01-10", end_date="2024-01-11"),
+        store.get_crash_metrics(start_date="2024-01-10", end_date="2024-01-10"),
+        store.get_realtime_snapshot(),
+    ]
+    for df in frames:
+        assert re.search(r"PartitionFilters: \[[^\]]*event_date", df._jdf.queryExecution().toString())
+    assert rows(frames[2].drop("snapshot_time")) == rows(MetricsStore(spark, "", telemetry(spark, SF_DIR)).get_realtime_snapshot().drop("snapshot_time"))
 
 
-def test_workspace_needs_a_shared_folder_on_a_cluster():
-    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
-    cluster = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        workspace(cluster, "x")
+def test_roll_ups_extended_by_day_equal_one_run(spark, tmp_path):
+    events = telemetry(spark, SF_DIR)
+    lake = LakeSettings(root=str(tmp_path))
+    for days in ("< '2024-01-11'", ">= '2024-01-11'", ">= '2024-01-20'"):
+        rolled = extend_roll_ups(events.where(f"to_date(timestamp) {days}"), lake)
+    for name, whole in roll_ups(events).items():
+        assert whole.exceptAll(rolled[name]).isEmpty() and rolled[name].exceptAll(whole).isEmpty(), name
 
 
 def test_workspace_is_in_the_shared_folder(spark):

@@ -6,8 +6,8 @@ from oracle_compare import connect, differences
 
 import __spark_entry__ as entry_module
 
-ORACLE = entry_module.oracle_sql()
-QUERIES = entry_module.queries()
+from signalfold.plans.oracle import ORACLE  # noqa: E402
+from signalfold.plans.registry import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -12,7 +12,7 @@ from signalfold.schema import PAYLOAD_STRUCT, event_schema, normalise
 from signalfold.settings import KafkaSettings
 from signalfold.sinks.batch import write_checked
 from signalfold.sources import wire
-from signalfold.sources.raw import load_raw_events
+from signalfold.sources.raw import corrupt_records, load_raw_events
 
 GOOD = (
     '{"event_id":"1","event_type":"crash_event","timestamp":"2024-01-01T00:00:07.179575","device_id":"d",'
@@ -83,7 +83,8 @@ def test_raw_json_scan_does_not_infer(spark, tmp_path):
     messages(spark, GOOD, "{broken", GOOD.replace('"1"', '"2"').replace("01-01T", "01-02T")).select("value").write.text(path)
     df = load_raw_events(spark, path)
     assert df.schema == event_schema()
-    assert df.count() == 3 and df.select("payload.session_id").first()[0] is None
+    assert df.count() == 2 and df.select("payload.session_id").first()[0] is None
+    assert [r.value for r in corrupt_records(spark, path).collect()] == ["{broken"]
     assert [r.event_id for r in load_raw_events(spark, path, date="2024-01-02").collect()] == ["2"]
 
 
@@ -118,7 +119,7 @@ def test_checked_messages(spark):
         None, "missing:crash_type,missing:stack_trace", "malformed", "invalid:device_type,invalid:memory_usage_mb",
         "missing:timestamp",
     ]
-    assert [r.text for r in checked] == [None, None, "{", None, None]
+    assert [r.text for r in checked] == [None, *texts[1:]]
     assert checked[0].timestamp == datetime(2024, 1, 1, 0, 0, 7, 179575)
 
 
@@ -126,7 +127,7 @@ def test_kafka_options():
     source = wire.kafka_source_options(KafkaSettings(bootstrap_servers=("a:1", "b:2")), ["app_events", "crashes"])
     assert source == {
         "kafka.bootstrap.servers": "a:1,b:2", "subscribe": "app_events,crashes",
-        "startingOffsets": "latest", "failOnDataLoss": "false",
+        "startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "5000000",
     }
     assert wire.kafka_sink_options(KafkaSettings())["kafka.compression.type"] == "lz4"
 
