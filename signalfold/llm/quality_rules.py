@@ -12,17 +12,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalfold.llm.components import stored
-from signalfold.llm.stats import COUNTS, FEATURES, document_stats, features
+from signalfold.llm.stats import COUNTS, document_stats, features
+
+# length and repetition are the base rules' part; what they let through may be long, short or repetitive
+FEATURES = ("word_length", "symbols", "line_words", "upper", "digits", "marks", "bangs", "bars", "short")
+
+
+def _looked_at() -> list[Column]:
+    return [c.alias(n) for n, c in features().items() if n in FEATURES]
 
 
 @dataclass(frozen=True)
 class Forest:
-    trees: int = 100
-    sample: int = 256  # documents per tree: the sample that defines the method; trees * sample rows reach the driver
+    trees: int = 200
+    sample: int = 64  # documents per tree: the sample that defines the method; trees * sample rows reach the driver
     seed: int = 3
 
 
@@ -30,7 +37,7 @@ class Forest:
 class Limit:
     """The highest share of labelled good documents that the limit may reject, and the steps in which scores are binned."""
 
-    lost: float = 0.01
+    lost: float = 0.005
     bins: int = 2000
 
 
@@ -86,7 +93,7 @@ def path_scores(points: np.ndarray, trees: list[np.ndarray], sample: int) -> np.
 
 def fit_forest(stats: DataFrame, rule: Forest) -> list[np.ndarray]:
     """Trees on a sample drawn by a hash of the statistics' row, a bounded number of rows."""
-    seen = stats.select(*[c.alias(n) for n, c in features().items()], F.xxhash64("_id", *COUNTS, F.lit(rule.seed)).alias("_draw"))
+    seen = stats.select(*_looked_at(), F.xxhash64("_id", *COUNTS, F.lit(rule.seed)).alias("_draw"))
     drawn = seen.orderBy("_draw").limit(rule.trees * rule.sample).select(*FEATURES).toPandas().to_numpy(dtype=np.float64)
     if len(drawn) < 2:
         return []
@@ -143,7 +150,7 @@ def quality_rules(
     columns = ["_id", *COUNTS]
     kind = stats.schema["_id"].dataType.simpleString()
     schema = ", ".join([f"_id {kind}", *(f"{c} long" for c in COUNTS), "base_failed boolean", "anomaly double"])
-    told = stats.select(*columns, failed.alias("base_failed"), *[c.alias(n) for n, c in features().items()])
+    told = stats.select(*columns, failed.alias("base_failed"), *_looked_at())
     scored = told.mapInArrow(_scorer(trees, size), schema)
     cut = calibrate(scored.where("not base_failed"), labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label")), limit)
     kept = ~F.col("base_failed") & (F.col("anomaly") < cut)
