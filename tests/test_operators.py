@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from signalfold.operators import crashes, features, observe, performance, quality, retention, serving, usage, windows
 from signalfold.operators.activity import activity, device_days
 from signalfold.plans import catalog
-from signalfold.plans.batch import reports
+from signalfold.plans.batch import reports, roll_ups
 from signalfold.sources.raw import on_date, union_topics
 
 OPEN, USE, CRASH, PERF = "app_open", "feature_used", "crash_event", "performance_metric"
@@ -122,7 +122,7 @@ def test_reports_over_roll_ups_equal_reports_over_events(spark, make_events):
         dict(event_type=PERF, metric_name="m", value=4.0), dict(event_type=CRASH, device_id=None, region=None),
         dict(event_type=OPEN, session_id=None, device_id="d3"), dict(timestamp=None, feature_name="b"),
     )
-    rolled, plain = reports(events), reports(events, rolled_up=False)
+    rolled, plain = reports(events, rolled=roll_ups(events)), reports(events)
     for name in plain:
         assert set(rows(rolled[name])) == set(rows(plain[name])), name
     assert set(rows(plain["daily_trends"])) == set(rows(usage.daily_usage_trends(events)))
@@ -189,12 +189,12 @@ def test_week_over_week_counts_rows_not_days(spark):
 
 def test_serving_filters_and_limits(spark):
     trends = spark.sql("select date_add(date '2024-01-01', cast(id as int)) date, id daily_active_users, id total_events, id total_sessions from range(150)")
-    assert serving.usage(trends).count() == 100
+    assert serving.usage(trends).count() == 150 and serving.usage(trends, limit=100).count() == 100
     assert [r.date.day for r in serving.usage(trends, "2024-01-03", "2024-01-04").collect()] == [3, 4]
     segments = spark.sql("select 'mobile' device_type, concat('os', id) os, '1' app_version, id % 2 crash_count from range(60)")
-    assert serving.crashes(segments).count() == 50
+    assert serving.crashes(segments).count() == 60 and serving.crashes(segments, limit=50).count() == 50
     assert rows(serving.crashes(segments, os="os3").select("crash_count")) == [(1,)]
-    assert serving.crashes(segments, os="").count() == 50  # an empty filter filters nothing
+    assert serving.crashes(segments, os="").count() == 60  # an empty filter filters nothing
     assert serving.crashes(segments, device_type="tablet").count() == 0
 
 
@@ -234,12 +234,12 @@ def test_os_rule(make_events):
 def test_mix_and_coverage_list_what_is_absent(make_events):
     events = make_events(dict(event_type=OPEN), dict(event_type=OPEN), dict(event_type="x"), dict(event_type=CRASH))
     mix = {r.event_type: (r.event_count, r.share) for r in quality.event_mix(events).collect()}
-    assert mix == {OPEN: (2, 0.5), USE: (0, 0.0), CRASH: (1, 0.25), PERF: (0, 0.0)}
+    assert mix == {OPEN: (2, 0.5), USE: (0, 0.0), CRASH: (1, 0.25), PERF: (0, 0.0), "unexpected": (1, 0.25)}
     coverage = quality.region_coverage(events).collect()
     assert [(r.region, r.event_count) for r in coverage if r.present] == [("us-east", 4)]
-    assert len(coverage) == 6 and not coverage[0].covered and coverage[0].regions_present == 1
+    assert len(coverage) == 7 and coverage[-1][:2] == ("unexpected", 0) and not coverage[0].covered and coverage[0].regions_present == 1
     empty = quality.event_mix(events.limit(0)).collect()
-    assert [r.share for r in empty] == [None] * 4
+    assert [r.share for r in empty] == [None] * 5
 
 
 def test_reconcile_both_ways(spark):
@@ -262,7 +262,8 @@ def test_histogram_quantile_interpolates(spark):
 def test_throughput_and_error_steps(make_events):
     events = make_events(*[dict(event_type=CRASH) for _ in range(3)], dict(timestamp="2024-01-01T00:05:00"))
     status = observe.throughput_status(events, ((0, "red"), (3, "green")), low=2, seconds=1).orderBy("window_start")
-    assert rows(status.select("status", "low_throughput")) == [("green", False), ("red", True)]
+    silent = [("red", True)] * 4  # minutes without an event
+    assert rows(status.select("status", "low_throughput")) == [("green", False), *silent, ("red", True)]
     errors = observe.error_rate(events, seconds=1).orderBy("window_start")
     assert rows(errors.select("error_count", "status")) == [(3, "yellow"), (0, "green")]
 
