@@ -20,8 +20,10 @@ part, so that no link is lost.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,6 @@ from signalfold.llm.grouped import group_runs
 from signalfold.llm.text import distinct, find_words, mix, shingle_sets, sliced, word_runs
 
 LEVEL = 1.5  # sizes of one level differ by this factor at most
-WEAK = 2  # a segment of fewer n-grams says little, and is used only where a set has many such
 
 
 @dataclass(frozen=True)
@@ -61,6 +62,22 @@ class Jaccard:
         return size * self.den // self.num
 
 
+@lru_cache(maxsize=16)
+def _spare(rule: Jaccard) -> tuple[int, float]:
+    """(weak, share): a segment of fewer than ``weak`` n-grams says little, and ``share`` times the differences is how many more
+    segments there are for it. Segments hold at least so many n-grams on average that single ones can count as weak
+    too, or else only empty ones do. The share is the least that nearly every set can do with; results don't depend on it.
+    """
+    least = (rule.den + rule.num) / (2 * LEVEL * max(rule.den - rule.num, 1e-9))
+    weak = 2 if least >= 5 else 1
+    for share in (0.05, 0.1, 0.17, 0.25, 0.4, 0.6, 1.0):
+        held = least / (1 + share)
+        chance = math.exp(-held) * (1 if weak == 1 else 1 + held)
+        if 1.3 * chance <= share / (1 + share):
+            return weak, share
+    return weak, 1.0
+
+
 def _level(size: int) -> int:
     """The level of a set size: its lower end is at least ``LEVEL ** level``."""
     level = int(np.log(size) / np.log(LEVEL))
@@ -88,16 +105,17 @@ def block_keys(ordered: np.ndarray, rule: Jaccard) -> np.ndarray:
         apart = rule.differ(2 * top)
         if not apart:
             continue  # only equal sets are linked, and those are one class
-        spare = 2 + 8 * apart * (rule.den - rule.num) ** 2 // rule.num**2
+        weakest, share = _spare(rule)
+        spare = 2 + int(apart * share)
         cells = apart + 1 + spare
         cell = ((ordered >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)
         starts = np.flatnonzero(np.diff(cell, prepend=np.uint64(cells)))
         held = np.diff(np.append(starts, size))
         sums = np.add.reduceat(mix(ordered), starts)
         key = mix(sums ^ mix(cell[starts] + np.uint64(1) + np.uint64(level << 40)))
-        weak = int((held < WEAK).sum()) + cells - len(starts)
+        weak = int((held < weakest).sum()) + cells - len(starts)
         if weak <= spare:
-            keys.append(key[held >= WEAK])
+            keys.append(key[held >= weakest])
         else:
             empty = np.setdiff1d(np.arange(cells, dtype=np.uint64), cell[starts])
             keys += [key, mix(mix(empty + np.uint64(1) + np.uint64(level << 40)))]
@@ -225,9 +243,11 @@ def _tries(rule: Jaccard):
 def _compare(parts: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Jaccard) -> DataFrame:
     """Links (u, v) of nodes within each part; ``parts`` has (star, salt, node, probes), ``nodes`` an id of a text for each node."""
     placed = parts.join(nodes.select("node", "id"), "node")
-    near = maybe_in(texts, F.col("id"), placed, F.col("id")).where("_maybe").select("id", F.xxhash64("text").alias("h"), "text")
-    # an id on several rows brings several texts; sets tell them apart in the part
-    full = placed.hint("merge").join(near.dropDuplicates(["id", "h"]), "id").select("star", "salt", "node", "text", "probes")
+    near = maybe_in(texts, F.col("id"), placed, F.col("id")).where("_maybe")
+    # an id on several rows brings its different texts; the grouping is by the join's key, so texts move once
+    near = near.groupBy("id").agg(F.collect_set("text").alias("texts"))
+    full = placed.hint("merge").join(near, "id").select("star", "salt", "node", "probes", F.explode("texts").alias("text"))
+    full = full.select("star", "salt", "node", "text", "probes")
     dealt = full.repartition("star", "salt").sortWithinPartitions("star", "salt")
     return dealt.mapInArrow(_tries(rule), "u long, v long")
 
