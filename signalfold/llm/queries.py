@@ -18,7 +18,7 @@ from signalfold.llm.packing import pack_documents
 from signalfold.llm.quality_classifier import learn_quality, quality_stats, score_quality
 from signalfold.llm.quality_rules import quality_rules
 from signalfold.llm.ship import ship
-from signalfold.llm.simhash import fingerprint_documents
+from signalfold.llm.simhash import fingerprint_documents, with_near_counts
 from signalfold.llm.substring_dedup import substring_dedup
 from signalfold.llm.tokens import token_counts
 
@@ -50,7 +50,8 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = fingerprint_documents(read(spark, sf_dir, "documents"))
-    return prints.withColumn("edited_sha256", F.sha2(F.col("edited_text").cast("binary"), 256)).drop("edited_text")
+    prints = prints.withColumn("edited_sha256", F.sha2(F.col("edited_text").cast("binary"), 256)).drop("edited_text")
+    return with_near_counts(stored(prints, "fingerprints"), F.col("doc_id") % 100 == 0)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,10 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalfold.llm.components import stored
+from signalfold.llm.filters import maybe_in
 from signalfold.llm.text import constants, find_words, mix, window_hashes
 
 BITS = 256
@@ -142,24 +142,35 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def near_fingerprints(queries: DataFrame, prints: DataFrame, radius: int, id_col: str = "doc_id") -> DataFrame:
-    """(query, query_id, found, distance): every fingerprint of ``prints`` within ``radius`` bits of one of ``queries``.
+    """(query_id, fingerprint, found, distance): every fingerprint of ``prints`` within ``radius`` bits of one of ``queries``.
 
     Both have ``id_col`` and a hexadecimal ``fingerprint``. The bits are cut into radius + 1 blocks; two fingerprints
-    within the radius have one block in common, so each of the radius + 1 tables, in which that block is
-    moved to the front as the key, holds the pair. Searched are distinct fingerprints; ``found`` is one, and the
-    documents that have it are found by joining ``prints`` again, so copies are not multiplied. Rows with a null
-    fingerprint find nothing and aren't found.
+    within the radius have one block in common, so of the radius + 1 tables, in each of which another block is moved to
+    the front as the key, one holds the pair. Table rows whose block no query has are left out before the shuffle.
+    Searched are distinct fingerprints; ``found`` is one, and the documents that have it are found by joining
+    ``prints`` again, so copies are not multiplied. Rows with a null fingerprint find nothing and aren't found.
     """
-    spans = np.linspace(0, BITS // 4, radius + 2).astype(int)  # in hexadecimal digits
-    if radius + 1 > BITS // 4:
+    if not 0 <= radius < BITS // 4:
         raise ValueError(f"the radius must be below {BITS // 4}")
-    blocks = F.array(*[F.concat(F.lit(f"{k}:"), F.substring("fingerprint", int(lo) + 1, int(hi - lo))) for k, (lo, hi) in enumerate(zip(spans, spans[1:]))])
-    table = prints.where("fingerprint is not null").select("fingerprint").distinct().select(F.col("fingerprint").alias("found"), F.explode(blocks).alias("block"))
+    spans = np.linspace(0, BITS // 4, radius + 2).astype(int)  # in hexadecimal digits
+    blocks = F.array(
+        *[F.xxhash64(F.lit(k), F.substring("fingerprint", int(lo) + 1, int(hi - lo))) for k, (lo, hi) in enumerate(zip(spans, spans[1:], strict=False))]
+    )
     asked = queries.where("fingerprint is not null").select("fingerprint").distinct().select("fingerprint", F.explode(blocks).alias("block"))
+    table = prints.where("fingerprint is not null").select("fingerprint").distinct().select(F.col("fingerprint").alias("found"), F.explode(blocks).alias("block"))
+    table = maybe_in(table, F.col("block"), asked, F.col("block")).where("_maybe").select("found", "block")
     words = [(16 * k + 1, 16) for k in range(BITS // 64)]
-    apart = sum(
-        (F.bit_count(F.conv(F.substring("fingerprint", a, n), 16, -10).cast("long").bitwiseXOR(F.conv(F.substring("found", a, n), 16, -10).cast("long"))) for a, n in words),
-        F.lit(0),
-    )
+    half = lambda c, a, n: F.conv(F.substring(c, a, n), 16, -10).cast("long")
+    apart = sum((F.bit_count(half("fingerprint", a, n).bitwiseXOR(half("found", a, n))) for a, n in words), F.lit(0))
     pairs = asked.join(table, "block").select("fingerprint", "found", apart.alias("distance")).where(F.col("distance") <= radius).distinct()
-    return queries.select(F.col(id_col).alias("query_id"), "fingerprint").join(pairs, "fingerprint").select("query_id", "found", "distance")
+    return queries.select(F.col(id_col).alias("query_id"), "fingerprint").distinct().join(pairs, "fingerprint").select("query_id", "fingerprint", "found", "distance")
+
+
+def with_near_counts(prints: DataFrame, asks: Column, radius: int = 7, id_col: str = "doc_id") -> DataFrame:
+    """``prints`` with ``n_near``: for rows that ``asks``, how many other rows have a fingerprint within ``radius`` bits; null for the
+    others. ``prints`` is read several times, so it should be a stored table."""
+    copies = prints.groupBy("fingerprint").agg(F.count("*").alias("_copies")).withColumnRenamed("fingerprint", "found")
+    found = near_fingerprints(prints.where(asks), prints, radius, id_col).join(copies, "found")
+    near = found.groupBy(F.col("query_id").alias("_id"), F.col("fingerprint").alias("_print")).agg((F.sum("_copies") - 1).alias("n_near"))
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("fingerprint") == F.col("_print"))
+    return prints.join(near, same, "left").drop("_id", "_print")

@@ -1,6 +1,7 @@
 """N-gram Jaccard join, substring dedup and fingerprints against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -189,7 +190,11 @@ def test_search_finds_all_within_the_radius(spark):
             d = int(np.bitwise_count(np.frombuffer(bytes.fromhex(by[q]), np.uint8) ^ np.frombuffer(bytes.fromhex(p), np.uint8)).sum())
             if d <= 3:
                 expected.add((q, p, d))
-    assert rows_hex and {tuple(r) for r in found} == expected
+    assert rows_hex and {(r.query_id, r.found, r.distance) for r in found} == expected
+    counted = {r.doc_id: r.n_near for r in simhash.with_near_counts(df, F.col("doc_id") % 4 == 0, 3).collect()}
+    held = Counter(by.values())
+    sums = {k: sum(held[p] for q, p, _ in expected if q == k) - 1 for k in by if k % 4 == 0}
+    assert counted == {k: sums.get(k) for k, _ in rows}
 
 
 def test_filter_has_no_false_negatives(spark):
