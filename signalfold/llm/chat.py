@@ -136,7 +136,7 @@ def conversation_table(rows: DataFrame) -> DataFrame:
     )
 
 
-def format_chats(conversations: DataFrame, tokenizer: str, pack_chars: int = 1 << 20) -> DataFrame:
+def format_chats(conversations: DataFrame, tokenizer: str, pack_chars: int = 1 << 17) -> DataFrame:
     """Packs of the distinct conversations in ``conversation_table`` form.
 
     One row per tree, or, of a tree longer than ``pack_chars`` as its conversations stand, per share of them: a
