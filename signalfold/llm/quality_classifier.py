@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalfold.llm.stats import COUNTS, FEATURES, document_stats, features
+from signalfold.llm.stats import COUNTS, bounded_sample, document_stats, features
 Condition = tuple[int, bool, float]  # feature, whether above (else at most), value
 
 
@@ -132,8 +132,9 @@ def fit_rules(points: np.ndarray, good: np.ndarray, rule: Ensemble) -> RuleModel
 def learn_quality(stats: DataFrame, labels: DataFrame, rule: Ensemble = Ensemble()) -> RuleModel:
     """A model from ``stats`` (_id, ``COUNTS``) and ``labels`` (_id, _label); ids with several labels count as the lowest."""
     told = labels.where("_label is not null and _id is not null").groupBy("_id").agg(F.min("_label").alias("_label"))
-    rows = stats.join(told, "_id").select((F.col("_label") > 0).cast("double").alias("_good"), *[c.alias(n) for n, c in features().items()], F.xxhash64("_id", *COUNTS, F.lit(rule.seed)).alias("_draw"))
-    drawn = rows.orderBy("_draw").limit(rule.sample).drop("_draw").toPandas().to_numpy(dtype=np.float64)
+    drawn = bounded_sample(stats.join(told, "_id"), F.struct("_id", *COUNTS), rule.sample, rule.seed)
+    rows = drawn.select((F.col("_label") > 0).cast("double").alias("_good"), *[c.alias(n) for n, c in features().items()])
+    drawn = rows.toPandas().to_numpy(dtype=np.float64)
     return fit_rules(drawn[:, 1:], drawn[:, 0], rule)
 
 

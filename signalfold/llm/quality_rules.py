@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalfold.llm.components import stored
-from signalfold.llm.stats import COUNTS, document_stats, features
+from signalfold.llm.stats import COUNTS, bounded_sample, document_stats, features
 
 # length and repetition are the base rules' part; what they let through may be long, short or repetitive
 FEATURES = ("word_length", "symbols", "line_words", "upper", "digits", "marks", "bangs", "bars", "short")
@@ -93,8 +93,8 @@ def path_scores(points: np.ndarray, trees: list[np.ndarray], sample: int) -> np.
 
 def fit_forest(stats: DataFrame, rule: Forest) -> list[np.ndarray]:
     """Trees on a sample drawn by a hash of the statistics' row, a bounded number of rows."""
-    seen = stats.select(*_looked_at(), F.xxhash64("_id", *COUNTS, F.lit(rule.seed)).alias("_draw"))
-    drawn = seen.orderBy("_draw").limit(rule.trees * rule.sample).select(*FEATURES).toPandas().to_numpy(dtype=np.float64)
+    drawn = bounded_sample(stats, F.struct("_id", *COUNTS), rule.trees * rule.sample, rule.seed)
+    drawn = drawn.select(*_looked_at()).toPandas()[list(FEATURES)].to_numpy(dtype=np.float64)
     if len(drawn) < 2:
         return []
     rng = np.random.default_rng(rule.seed)

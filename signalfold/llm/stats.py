@@ -136,3 +136,15 @@ FEATURES = tuple(FORMULAS)
 def features() -> dict[str, Column]:
     """What the models look at, by name, as columns over the statistics; 0 where there are no words."""
     return {name: F.expr(formula) for name, formula in FORMULAS.items()}
+
+
+def bounded_sample(frame: DataFrame, key: Column, most: int, seed: int) -> DataFrame:
+    """``most`` rows of ``frame`` (all, if it has fewer), drawn by a hash of ``key``; the same rows on every run.
+
+    Only rows whose hash is in a share of the range that holds a few more than ``most`` are put in order, so the driver gets
+    about ``most`` rows from all tasks together.
+    """
+    draw = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 40))
+    wanted = 1.2 * most + 200
+    n = max(frame.count(), 1)
+    return frame.where(draw < int(min(1.0, wanted / n) * (1 << 40))).orderBy(draw).limit(most)
