@@ -21,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from signalfold.llm.components import stored
 from signalfold.llm.filters import maybe_in
@@ -203,25 +202,23 @@ def _cut(words: Words, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _removal(window: int, joined: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            whole, spans = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for row, data, offsets in sliced(batch.column(1)):
-                words = find_words(data, offsets)
-                n = len(words)
-                gone = _removed_words(words, row, whole, spans, window)
-                data, offsets = (_joined if joined else _cut)(words, ~gone)
-                kept = pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
-                total = np.concatenate([[0], np.cumsum(gone)])
-                yield pa.record_batch(
-                    [
-                        batch.column(0).slice(row, n), pa.array(words.counts, pa.int64()),
-                        pa.array(np.diff(total[words.first]), pa.int64()), kept.cast(pa.string()),
-                    ],
-                    names=["row", "n_words", "n_removed", "kept_text"],
-                )
+    """(text, whole, spans): (n_words, n_removed, kept_text)."""
 
-    return run
+    @F.arrow_udf("n_words long, n_removed long, kept_text string")
+    def removed(texts: pa.Array, wholes: pa.Array, found: pa.Array) -> pa.Array:
+        whole, spans, parts = wholes.to_pylist(), found.to_pylist(), []
+        for row, data, offsets in sliced(texts):
+            words = find_words(data, offsets)
+            gone = _removed_words(words, row, whole, spans, window)
+            data, offsets = (_joined if joined else _cut)(words, ~gone)
+            kept = pa.Array.from_buffers(pa.large_string(), len(words), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+            total = np.concatenate([[0], np.cumsum(gone)])
+            counts = pa.array(words.counts, pa.int64()), pa.array(np.diff(total[words.first]), pa.int64())
+            parts.append(pa.StructArray.from_arrays([*counts, kept.cast(pa.string())], ["n_words", "n_removed", "kept_text"]))
+        empty = pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
+        return pa.concat_arrays([pa.array([], empty), *parts])
+
+    return removed
 
 
 def find_repeats(texts: DataFrame, window: int, gram: int, tree_suffixes: int) -> DataFrame:
@@ -257,9 +254,11 @@ def find_repeats(texts: DataFrame, window: int, gram: int, tree_suffixes: int) -
     spans = suffixes.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_trees(window), "id long, h long, start int, windows int")
     if not wanted.where("hot").isEmpty():
         leaves = stored(sought(True).mapInArrow(_whole_windows(window), "node long, id long, h long, start int"), "leaves")
-        nodes = leaves.groupBy("node").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("node", "least")
-        marked = leaves.join(nodes, "node").where("id > least")
-        spans = spans.union(marked.select("id", "h", "start", F.lit(1).alias("windows")))
+        nodes = leaves.groupBy("node").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+        # tables of their own: Spark splits a hot node's join only where both sides come straight from a shuffle
+        nodes = stored(nodes.select("node", "least"), "nodes")
+        marked = stored(leaves.join(nodes, "node").where("id > least").select("id", "h", "start", F.lit(1).alias("windows")), "marked")
+        spans = spans.union(marked)
     repeats = spans.groupBy("id", "h").agg(F.collect_set(F.struct("start", "windows")).alias("spans"), F.lit(False).alias("whole"))
     empty = F.array().cast("array<struct<start:int,windows:int>>")
     return stored(repeats.union(whole.select("id", "h", empty.alias("spans"), F.lit(True).alias("whole"))), "repeats")
@@ -291,5 +290,5 @@ def substring_dedup(
     free = tested.where("not _maybe").select("row", "text", F.lit(False).alias("whole"), F.lit(None).cast(plain).alias("spans"))
     hit = tested.where("_maybe").join(decided.hint("merge"), ["id", "h"], "left")
     hit = hit.select("row", "text", F.coalesce("whole", F.lit(False)).alias("whole"), "spans")
-    schema = T.StructType([rows.schema["row"], *(T.StructField(c, T.LongType()) for c in ("n_words", "n_removed")), T.StructField("kept_text", T.StringType())])
-    return free.union(hit).mapInArrow(_removal(window, joined), schema).withColumnRenamed("row", name)
+    told = free.union(hit).select(F.col("row").alias(name), _removal(window, joined)("text", "whole", "spans").alias("_told"))
+    return told.select(name, "_told.*")
