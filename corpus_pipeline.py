@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from signalfold.llm.components import stored
 from signalfold.llm.filters import without
-from signalfold.llm.langid import UNKNOWN, learn_profiles, predict_language
+from signalfold.llm.langid import UNKNOWN, language_column, learn_profiles
 from signalfold.llm.mixing import mixed_documents
 from signalfold.llm.ngram_join import Jaccard, ngram_jaccard_join
 from signalfold.llm.packing import pack_documents
@@ -33,8 +33,8 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     profiles = learn_profiles(docs)
     if not profiles.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    told = predict_language(docs.select(F.struct(*docs.columns).alias("_row"), "text"), profiles, "_row")
-    return told.where(F.col("lang_pred") != UNKNOWN).select("_row.*")
+    told = docs.select(F.struct(*docs.columns).alias("_row"), language_column(F.col("text"), profiles).alias("_told"))
+    return told.where(F.col("_told.lang_pred") != UNKNOWN).select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

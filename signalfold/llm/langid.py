@@ -15,7 +15,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from signalfold.llm.tokens import decoded
 
@@ -76,7 +75,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         langs = np.array(batch.column(1).to_pylist(), dtype=object)
-        for row, texts, _ in decoded(batch.column(0), 1 << 20):
+        for row, texts, _ in decoded(batch.column(0), 1 << 17):
             own = langs[row : row + len(texts)]
             for lang in sorted(set(own)):
                 grams, n = _counted(np.concatenate([gram_codes(t) for t, o in zip(texts, own, strict=True) if o == lang]))
@@ -120,17 +119,17 @@ def classify(text: str, profiles: Profiles) -> tuple[str, float]:
     return profiles.languages[order[0]], second / (best + second) if second else 0.5
 
 
-def _classifier(profiles: Profiles):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, texts, _ in decoded(batch.column(0), 1 << 20):
-                found = [classify(t, profiles) for t in texts]
-                yield pa.record_batch(
-                    [*(c.slice(row, len(texts)) for c in batch.columns[1:]), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                    names=[*batch.schema.names[1:], "lang_pred", "score"],
-                )
+def language_column(text: Column, profiles: Profiles) -> Column:
+    """A struct (lang_pred, score) for each text; the texts are all that the Python workers see of the rows."""
 
-    return run
+    @F.arrow_udf("lang_pred string, score double")
+    def told(texts: pa.Array) -> pa.Array:
+        found = [classify(t, profiles) for _, some, _ in decoded(texts, 1 << 17) for t in some]
+        return pa.StructArray.from_arrays(
+            [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["lang_pred", "score"]
+        )
+
+    return told(text)
 
 
 def fold(id_column: Column, folds: int) -> Column:
@@ -141,7 +140,5 @@ def fold(id_column: Column, folds: int) -> Column:
 def predict_language(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) for each row. ``und`` with score 0: null, empty or without a letter, or nothing was
     learned. Equal distances go to the first language by code point. Whole texts of any length; repeated rows
-    and null ids are rows like any other; no other column is read. The id may be a struct of all columns, to carry them."""
-    rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("id"))
-    schema = T.StructType([rows.schema["id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(_classifier(profiles), schema).withColumnRenamed("id", id_col)
+    and null ids are rows like any other; no other column is read."""
+    return docs.select(id_col, language_column(F.col(text_col), profiles).alias("_told")).select(id_col, "_told.*")

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18  # the arrays made of a slice take some fifty times as much memory
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -105,6 +105,7 @@ def sliced(column: pa.Array | pa.ChunkedArray, most: int = SLICE_BYTES) -> Itera
         stop = min(max(stop, row + 1), len(column))
         yield row, data[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row]
         row = stop
+    pa.default_memory_pool().release_unused()
 
 
 def word_runs(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> Iterator[tuple[int, Words]]:

@@ -6,7 +6,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -58,11 +58,7 @@ class Encoder:
             self.pieces = sentencepiece.SentencePieceProcessor(model_file=path)
             return
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.full = Tokenizer.from_file(path)
-        self.full.no_truncation()
-        self.full.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
         special = {a["content"]: a["id"] for a in model["added_tokens"]}
@@ -75,6 +71,16 @@ class Encoder:
             ranks = {bytes(letters[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
             self.rank = tiktoken.Encoding("file", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens=special)
 
+    @cached_property
+    def full(self):
+        """The file's own library; only loaded where a text needs it."""
+        from tokenizers import Tokenizer
+
+        full = Tokenizer.from_file(self.path)
+        full.no_truncation()
+        full.no_padding()
+        return full
+
     def parts(self, text: str) -> Iterator[str]:
         """The text in pieces that are encoded alike alone: byte-level words never reach over a space that follows a
         character which isn't white space."""
