@@ -35,6 +35,7 @@ from signalfold.llm.filters import maybe_in
 from signalfold.llm.grouped import group_runs
 from signalfold.llm.text import distinct, find_words, mix, shingle_sets, sliced, word_runs
 
+HELD_KEYS = 500_000
 LEVEL = 1.5  # sizes of one level differ by this factor at most
 
 
@@ -144,6 +145,31 @@ def _sketches(rule: Jaccard, keys: bool):
     return run
 
 
+def _block_ends(rule: Jaccard):
+    """Rows (id, text): (key, lo, hi), each block key with its least and greatest node, added up over many texts at once, so
+    that a hot key is few rows before it is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _sketches(rule, True)(batches)
+        held: list[pa.RecordBatch] = []
+        while True:
+            batch = next(rows, None)
+            if batch is not None:
+                held.append(batch)
+            if held and (batch is None or sum(b.num_rows for b in held) > HELD_KEYS):
+                key, node = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("key", "node"))
+                order = np.lexsort((node, key))
+                key, node = key[order], node[order]
+                first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else order
+                last = np.append(first[1:], len(key)) - 1 if len(key) else order
+                yield pa.record_batch([pa.array(key[first]), pa.array(node[first]), pa.array(node[last])], names=["key", "lo", "hi"])
+                held = []
+            if batch is None:
+                return
+
+    return run
+
+
 class _Part:
     """The ordered sets of one part of a star, as a trie, and the forest of links found in it."""
 
@@ -253,7 +279,7 @@ def _compare(parts: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Jaccard
 
 
 def ngram_jaccard_join(
-    docs: DataFrame, rule: Jaccard = Jaccard(), id_col: str = "doc_id", text_col: str = "text", part_shingles: int = 2_000_000
+    docs: DataFrame, rule: Jaccard = Jaccard(), id_col: str = "doc_id", text_col: str = "text", part_shingles: int = 1_000_000
 ) -> DataFrame:
     """(id, n_shingles, component_id) for each row of ``docs``: the size of its set, and the smallest id that links reach.
 
@@ -272,7 +298,10 @@ def ngram_jaccard_join(
     nodes = stored(filled.groupBy("node").agg(F.min("id").alias("id")), "nodes")
 
     keyed = named.mapInArrow(_sketches(rule, True), "key long, node long, n_shingles long")
-    blocks = keyed.groupBy("key").agg(F.min("node").alias("star"), F.max("node").alias("last")).where("star < last").select("key", "star")
+    # the keys are added up before the shuffle in Python, in portions, as a map of a task's keys would take most of the heap
+    width = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ends = named.mapInArrow(_block_ends(rule), "key long, lo long, hi long").repartition(width, "key")
+    blocks = ends.groupBy("key").agg(F.min("lo").alias("star"), F.max("hi").alias("last")).where("star < last").select("key", "star")
     blocks = stored(blocks, "blocks")
     shared = maybe_in(keyed, F.col("key"), blocks, F.col("key")).where("_maybe").select("key", "node", "n_shingles")
     spokes = stored(shared.join(blocks, "key").select("star", "node", "n_shingles").distinct(), "stars")
