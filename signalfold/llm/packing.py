@@ -122,6 +122,7 @@ def _packer(tokenizer: str, rule: Packing):
                         yield flush(False)
         if pieces:
             yield flush(True)
+        encoder.cache_clear()  # the worker lives on, and other stages need the memory
 
     return run
 
