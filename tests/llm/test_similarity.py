@@ -197,6 +197,55 @@ def test_search_finds_all_within_the_radius(spark):
     assert counted == {k: sums.get(k) for k, _ in rows}
 
 
+def edited_pairs(n_pairs: int = 120) -> list[tuple[list[str], list[str]]]:
+    """Texts of 40 to 400 words, and each as far edited by changed, lost and new words as 0.8 of the 5-word shingles allow."""
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    pairs = []
+    while len(pairs) < n_pairs:
+        base = rng.choices(vocabulary, k=rng.randrange(40, 400))
+        near = base
+        while True:
+            more, k = list(near), rng.randrange(len(near))
+            more[k : k + rng.choice([0, 1, 1, 1])] = [rng.choice(vocabulary)] * rng.choice([0, 1, 1, 1])
+            a, b = shingles(base), shingles(more)
+            if len(a & b) < 0.8 * len(a | b):
+                break
+            near = more
+        if near != base:
+            pairs.append((base, near))
+    return pairs
+
+
+def test_near_counts_find_edited_texts(spark):
+    """The share of real near copies that is found, against brute force: all pairs are at 5-word Jaccard 0.8 or a little above."""
+    pairs = edited_pairs()
+    rows = [(100 * k, " ".join(a)) for k, (a, _) in enumerate(pairs)] + [(100 * k + 1, " ".join(b)) for k, (_, b) in enumerate(pairs)]
+    prints = simhash.fingerprint_documents(table(spark, rows)).select("doc_id", "fingerprint").localCheckpoint()
+    found = {r.doc_id: r.n_near for r in simhash.with_near_counts(prints, F.col("doc_id") % 100 == 0).collect()}
+    assert all(found[i] is None for i, _ in rows if i % 100)
+    assert np.mean([found[100 * k] == 1 for k in range(len(pairs))]) >= 0.9
+
+
+@pytest.mark.parametrize("radius", [0, 7, 13, 32, 63])
+def test_search_at_any_radius_and_in_parts_equals_brute_force(spark, radius):
+    rng = np.random.default_rng(radius)
+    prints = []
+    for b in rng.integers(0, 256, (5, 32), dtype=np.uint8):
+        for flips in [0, 0, *rng.integers(0, radius + 4, 30)]:
+            bits = np.unpackbits(b)
+            bits[rng.choice(256, flips, replace=False)] ^= 1
+            prints.append(np.packbits(bits))
+    df = spark.createDataFrame([(k, p.tobytes().hex()) for k, p in enumerate(prints)], "doc_id long, fingerprint string")
+    apart = np.array([[int(np.bitwise_count(p ^ q).sum()) for q in prints] for p in prints])
+    counted = {r.doc_id: r.n_near for r in simhash.with_near_counts(df, F.col("doc_id") % 2 == 0, radius, most=20).collect()}
+    assert counted == {k: int((apart[k] <= radius).sum()) - 1 if k % 2 == 0 else None for k in range(len(prints))}
+    pairs = sorted((r.query_id, r.found, r.distance) for r in simhash.near_fingerprints(df.where("doc_id % 2 = 0"), df, radius, most=20).collect())
+    texts = [p.tobytes().hex() for p in prints]
+    assert pairs == sorted({(k, texts[j], int(apart[k, j])) for k in range(0, len(prints), 2) for j in range(len(prints)) if apart[k, j] <= radius})
+
+
 def test_filter_has_no_false_negatives(spark):
     wanted = spark.range(0, 3000, 3).select((F.col("id") * 7919).alias("w"))
     frame = spark.range(0, 3000).select((F.col("id") * 7919).alias("x"), F.lit(1).alias("_slot2"))
