@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,9 @@ from signalfold.session import workspace
 from signalfold.settings import KafkaSettings, LakeSettings, StreamSettings
 from signalfold.sources.wire import encode, kafka_sink_options
 
+# what tells the rows of the stored reports with a date apart
+REPORT_KEYS = {"daily_trends": ("date",), "regional_trends": ("date", "region"), "feature_adoption": ("date", "feature_name")}
+
 
 def write_reports(reports: Mapping[str, DataFrame], path: str) -> None:
     """Each report to its own folder, replacing what is there. Reports are small and read back with
@@ -138,27 +143,53 @@ def _cutoffs(spark: SparkSession, historical: str) -> list[date]:
     return sorted(date.fromisoformat(n.removeprefix("archived_before=")) for n in names if n.startswith("archived_before="))
 
 
-def archive_report(spark: SparkSession, report: str, as_of: date, active: str, lake: LakeSettings = LakeSettings()) -> None:
+def _without(rows: DataFrame, gone: DataFrame, columns: Sequence[str], how: str = "left_anti") -> DataFrame:
+    """The rows that equal none of ``gone`` in ``columns``, nulls being equal; with ``left_semi`` the others."""
+    named = gone.select(*(F.col(c).alias(f"_{c}") for c in columns))
+    return rows.join(named, reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns)), how)
+
+
+def archive_report(
+    spark: SparkSession, report: str, as_of: date, active: str, lake: LakeSettings = LakeSettings(), keys: Sequence[str] | None = None
+) -> None:
     """Move the old rows of a stored report with a ``date`` to the archive, by the lake's folders and age limit.
 
-    A run archives the days between the last run's cut-off and its own, so tiers and runs share no row; the report
-    may have been rewritten with all its history in between. Then the report itself becomes the active
-    rows, by way of the new path ``active``. Running again for the same day replaces that run's folder; a run for an
-    earlier day than the last one raises.
+    A run archives the days between the last run's cut-off and its own, and of the older ones those that came late or
+    have other figures than in the archive; the row of the same ``keys`` (else those in ``REPORT_KEYS``) then leaves the earlier
+    run's folder. So tiers and runs share no row; the report may have been rewritten with all its history in between. A row that
+    is in the archive and no longer in the report stays archived. Then the report itself becomes the active
+    rows, by way of the new path ``active``. Running again for the same day, also after a failure, replaces that run's folder; a
+    run for an earlier day than the last one raises.
     """
+    keys = list(keys or REPORT_KEYS.get(report, ()))
+    if not keys:
+        raise ValueError(f"no keys are known of {report}")
     cutoff = archive_cutoff(as_of, lake.archive_after_days)
     historical, served = f"{lake.historical}/{report}", f"{lake.batch}/{report}"
     before = [c for c in _cutoffs(spark, historical) if c != cutoff]
     if before and before[-1] > cutoff:
         raise ValueError(f"{report} is archived up to {before[-1]} already")
     stored = spark.read.parquet(served)
+    columns = stored.columns
+    repeated = exists(spark, f"{historical}/archived_before={cutoff}")
     if before:
-        stored = stored.where(F.col("date").isNull() | (F.col("date") >= F.lit(before[-1])))
-    if exists(spark, f"{historical}/archived_before={cutoff}"):
-        # the run is repeated: what it has archived may have left the report already
+        due = F.col("date").isNull() | (F.col("date") >= F.lit(before[-1]))
+        earlier = spark.read.parquet(*(f"{historical}/archived_before={c}" for c in before))
+        fresh = stored.where(due).unionByName(_without(stored.where(~due), earlier, columns))
+    else:
+        fresh = stored
+    if repeated:
+        # what the run has archived may have left the report already
         done = spark.read.parquet(f"{historical}/archived_before={cutoff}")
-        stored = stored.where(F.col("date").isNull() | (F.col("date") >= F.lit(cutoff))).unionByName(done)
-        stored.write.parquet(staged := workspace(spark, "archive"))
-        stored = spark.read.parquet(staged)
-    archive(stored, as_of, historical, active, lake.archive_after_days)
+        fresh = fresh.unionByName(_without(done, stored, keys))
+    if before or repeated:
+        fresh.write.parquet(staged := workspace(spark, "archive"))
+        fresh = spark.read.parquet(staged)
+    archive(fresh, as_of, historical, active, lake.archive_after_days)
+    for c in before:
+        place = f"{historical}/archived_before={c}"
+        rows, late = spark.read.parquet(place), fresh.where(F.col("date") < F.lit(c))
+        if not _without(rows, late, keys, "left_semi").isEmpty():
+            _without(rows, late, keys).write.parquet(rest := workspace(spark, "archive"))
+            spark.read.parquet(rest).write.mode("overwrite").parquet(place)
     spark.read.parquet(active).write.mode("overwrite").parquet(served)

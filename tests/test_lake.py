@@ -124,6 +124,34 @@ def test_archive_of_a_stored_report(spark, lake, tmp_path):
         sinks.archive_report(spark, "regional_trends", date(2024, 2, 1), str(tmp_path / "active4"), lake)
 
 
+def test_archive_of_late_and_corrected_days(spark, tmp_path):
+    lake = LakeSettings(root=str(tmp_path), archive_after_days=10)
+    days = lambda *rows: spark.createDataFrame([(date(2024, 1, d) if d else None, r, n, 1) for d, r, n in rows], "date date, region string, daily_active_users long, total_events long")
+    n = 0
+
+    def run(as_of, *rows):
+        nonlocal n
+        if rows:
+            sinks.write_reports({"regional_trends": days(*rows)}, lake.batch)
+        sinks.archive_report(spark, "regional_trends", as_of, str(tmp_path / f"active{(n := n + 1)}"), lake)
+        old = spark.read.parquet(f"{lake.historical}/regional_trends")
+        served = spark.read.parquet(f"{lake.batch}/regional_trends")
+        told = lambda df: sorted((r.date.day if r.date else 0, r.region or "", r.daily_active_users) for r in df.collect())
+        return {d.archived_before.day: told(old.where(old.archived_before == d.archived_before)) for d in old.select("archived_before").distinct().collect()}, told(served)
+
+    first = [(1, "A", 1), (2, "A", 1), (2, None, 1), (6, "A", 1), (None, "A", 1)]
+    assert run(date(2024, 1, 15), *first) == ({5: [(1, "A", 1), (2, "", 1), (2, "A", 1)]}, [(0, "A", 1), (6, "A", 1)])
+    # a late day and region, corrected figures, and a row as it is archived; of day 1 nothing is said again
+    second = [(2, "A", 7), (2, None, 1), (2, "B", 2), (3, "A", 3), (6, "A", 1), (9, "A", 1)]
+    expected = ({5: [(1, "A", 1), (2, "", 1)], 8: [(2, "A", 7), (2, "B", 2), (3, "A", 3), (6, "A", 1)]}, [(9, "A", 1)])
+    assert run(date(2024, 1, 18), *second) == expected
+    assert run(date(2024, 1, 18)) == expected and run(date(2024, 1, 18), *second) == expected
+    # late for a run that is repeated
+    assert run(date(2024, 1, 18), (4, "A", 4), (6, "A", 8), (9, "A", 1)) == (
+        {5: [(1, "A", 1), (2, "", 1)], 8: [(2, "A", 7), (2, "B", 2), (3, "A", 3), (4, "A", 4), (6, "A", 8)]}, [(9, "A", 1)]
+    )
+
+
 def test_workspace_without_the_setting_is_in_the_warehouse():
     conf = {"spark.sql.warehouse.dir": "hdfs://namenode/warehouse/"}
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)))
