@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from signalfold.llm.components import stored
 from signalfold.llm.stats import COUNTS, bounded_sample, document_stats, features
 
-# length and repetition are the base rules' part; what they let through may be long, short or repetitive
-FEATURES = ("word_length", "symbols", "line_words", "upper", "digits", "marks", "bangs", "bars", "short")
+# without log_words and repeats: n_words and n_repeat_words are what the base rules read (README: what they would cost)
+FEATURES = ("word_length", "symbols", "dup_lines", "line_words", "upper", "digits", "marks", "bangs", "bars", "short")
 
 
 def _looked_at() -> list[Column]:

@@ -1,6 +1,7 @@
 """Language ID, quality rules and classifier, chat formatting, the pipeline, and every registered query."""
 
 import hashlib
+import itertools
 import random
 import sys
 import zlib
@@ -187,6 +188,24 @@ def test_forest_scores():
     assert np.allclose(quality_rules._expected([1, 2]), [0, 1]) and quality_rules.path_scores(points, [], 2)[0] == 0.5
 
 
+def test_forest_sees_repeated_lines(spark):
+    """Texts in which one short line alternates with unique ones, against texts that differ from them in nothing else that is counted."""
+    rng = np.random.default_rng(2)
+    short = [" ".join(p) for p in itertools.permutations("Read more about this page".split())]
+
+    def text(repeated: bool) -> str:
+        between = [short[0]] * 12 if repeated else [short[k] for k in rng.permutation(len(short))[:12]]
+        return "\n".join(f"{line}\n" + " ".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(9)) for line in between)
+
+    docs = [(k, text(repeated=k < 12)) for k in range(240)]
+    labels = [(k, int(k >= 12)) for k in range(240) if k >= 12 or k % 2]
+    found = quality_rules.quality_rules(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"))
+    rows = {r.doc_id: r for r in found.collect()}
+    assert all(len({r[c] for r in rows.values()}) == 1 for c in stats.COUNTS if c != "n_dup_lines")
+    assert not any(r.base_failed for r in rows.values())
+    assert [k for k in sorted(rows) if not rows[k].kept] == list(range(12))
+
+
 def test_quality_rules_of_odd_tables(spark):
     docs = spark.createDataFrame([(1, "a b " * 30, 1), (None, None, 1), (1, "w " * 15, 2)], "doc_id long, text string, kept int")
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 0), (2, None)], "doc_id long, quality int")
