@@ -15,8 +15,11 @@ from signalfold.llm.langid import fold, learn_profiles, predict_language
 from signalfold.llm.mixing import mix_counts
 from signalfold.llm.ngram_join import Jaccard, ngram_jaccard_join
 from signalfold.llm.packing import pack_documents
+from signalfold.llm.pivot_index import embedding_near_duplicates
 from signalfold.llm.quality_classifier import learn_quality, quality_stats, score_quality
 from signalfold.llm.quality_rules import quality_rules
+from signalfold.llm.ranked_search import ranked_search
+from signalfold.llm.resampling import resample
 from signalfold.llm.ship import ship
 from signalfold.llm.simhash import fingerprint_documents, with_near_counts
 from signalfold.llm.substring_dedup import substring_dedup
@@ -90,11 +93,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "documents"), k=10)
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), percent=5, least_words=20, seed=42)
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_ngram_jaccard_join, op2_token_counts, op3_packing, op4_fingerprints, op5_mixing,
         op6_language_id, op7_quality_rules, op8_chat_formatting, op9_quality_classifier, op10_substring_dedup,
+        op11_ranked_search, op12_resampling, op13_embedding_near_dedup,
     )
 }
 
@@ -160,8 +176,80 @@ SELECT worded.doc_id, len(w) AS n_words, len(w) - coalesce(kept.n, 0) AS n_remov
 FROM worded LEFT JOIN kept ON worded.doc_id = kept.doc_id
 """
 
+# terms: ASCII letters and digits and all characters beyond ASCII, A-Z lower-cased
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP11_SQL = rf"""
+WITH said AS (
+    SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS w FROM documents
+), told AS (
+    SELECT row, doc_id, len(w)::BIGINT AS n, w FROM said WHERE len(w) > 0
+), totals AS (
+    SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS length FROM told
+), asked AS (
+    SELECT item, item_id, term, count(*)::BIGINT AS times
+    FROM (SELECT row_number() OVER () AS item, item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL
+), counted AS (
+    SELECT row, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT row, doc_id, n, unnest(w) AS term FROM told)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weighed AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), totals
+), scored AS (
+    SELECT item, item_id, row, doc_id,
+        sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // length))))::BIGINT AS score
+    FROM asked JOIN weighed USING (term) JOIN counted USING (term), totals GROUP BY ALL
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10
+"""
+
+# CRC-32 by its rule: the table of a byte is made by eight steps, a text goes through it byte by byte
+OP12_SQL = rf"""
+WITH steps AS MATERIALIZED (
+    SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t
+), words AS MATERIALIZED (
+    SELECT 'd' AS side, row_number() OVER () AS row, doc_id AS id, {_TERMS} AS w FROM documents
+    UNION ALL SELECT 'b', -row_number() OVER (), NULL, {_TERMS} FROM benchmark
+), features AS MATERIALIZED (
+    SELECT side, row, unnest(list_concat(w,
+        list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+        list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f
+    FROM words
+), distincts AS (
+    SELECT f, hex(f) AS h FROM (SELECT DISTINCT f FROM features)
+), hashed AS MATERIALIZED (
+    SELECT f, xor(list_reduce(list_transform(range(0, len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+    FROM distincts, steps
+), placed AS MATERIALIZED (
+    SELECT side, row, bucket, count(*) AS n FROM features JOIN hashed USING (f) GROUP BY ALL
+), sides AS (
+    SELECT coalesce(sum(n) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 'b'), 0)::DOUBLE AS t FROM placed
+), gains AS (
+    SELECT bucket, floor(1000 * ln((sum(CASE WHEN side = 'b' THEN n ELSE 0 END) + 1)::DOUBLE * (any_value(s) + 10000)
+        / ((sum(CASE WHEN side = 'd' THEN n ELSE 0 END) + 1)::DOUBLE * (any_value(t) + 10000))))::BIGINT AS gain
+    FROM placed, sides GROUP BY bucket
+), weights AS (
+    SELECT row, sum(n * gain)::BIGINT AS weight, sum(n)::BIGINT AS n_features FROM placed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY row
+), scored AS (
+    SELECT row, id AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+            / 4294967296)))::BIGINT AS score
+    FROM words LEFT JOIN weights USING (row) WHERE side = 'd'
+), ranks AS (
+    SELECT row, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS eligible FROM scored WHERE n_words >= 20
+)
+SELECT doc_id, n_words, n_features, weight, score, CASE WHEN rank <= 5 * eligible // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranks USING (row)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard_join": OP1_SQL,
     "op8_chat_formatting": OP8_SQL,
     "op10_substring_dedup": OP10_SQL,
+    "op11_ranked_search": OP11_SQL,
+    "op12_resampling": OP12_SQL,
 }
