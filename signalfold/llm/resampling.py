@@ -198,7 +198,9 @@ def gumbel(key: Column) -> Column:
 
 def ranked(rows: DataFrame, order: list[Column], purpose: str) -> DataFrame:
     """``rows`` with ``_place`` (1, 2, 3 ...) in the given order over all rows, without gathering them: ranges of the order are
-    sorted and written, and a row's place is that in its range after the sizes of the ranges before."""
+    sorted and written, and a row's place is that in its range after the sizes of the ranges before. The rows are written
+    first, as Spark reads them twice to find the ranges."""
+    rows = stored(rows, f"{purpose}-rows")
     number = F.monotonically_increasing_id()  # the range above 33 bits, the place in it below
     ranges = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     put = stored(rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_number", number), purpose)
