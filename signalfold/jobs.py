@@ -22,6 +22,7 @@ from signalfold.settings import Settings
 from signalfold.sources.raw import load_raw_events
 from signalfold.sources.wire import events_of, read_kafka_messages, read_message_files
 from signalfold.streaming import jobs
+from signalfold.streaming.dedup import ARRIVAL, first_arrivals, with_arrival
 
 
 def batch(spark: SparkSession, settings: Settings = Settings(), since: str | None = None) -> list[str]:
@@ -36,7 +37,8 @@ def batch(spark: SparkSession, settings: Settings = Settings(), since: str | Non
 def stream(
     session: SparkSession, checkpoints: str, settings: Settings = Settings(), files: str | None = None, available_now: bool = False
 ) -> list[StreamingQuery]:
-    """Start the checked landing and the speed layer, on Kafka or on text files of messages below ``files``.
+    """Start the checked landing and the speed layer, on Kafka or on text files of messages below ``files``. A message that
+    the producer has sent twice is landed and counted once.
 
     ``session`` is one of :func:`signalfold.streaming.jobs.streaming_session`. The queries read the source each for
     itself, from their own checkpoints, so one that fails holds up no other.
@@ -44,13 +46,13 @@ def stream(
 
     def messages() -> DataFrame:
         if files:
-            return read_message_files(session, files, settings.stream)
-        return read_kafka_messages(session, TOPICS, settings.kafka)
+            return with_arrival(read_message_files(session, files, settings.stream))
+        return with_arrival(read_kafka_messages(session, TOPICS, settings.kafka), "timestamp")
 
     trigger = None if available_now else settings.stream.trigger
-    checked = check_messages(messages())
+    checked = first_arrivals(check_messages(messages(), ARRIVAL), within=settings.stream.dedup_within).drop(ARRIVAL)
     landing = jobs.land_checked_stream(checked, settings.lake.raw, f"{checkpoints}/checked_landing", trigger)
-    events = events_of(messages(), settings.stream)
+    events = first_arrivals(events_of(messages(), settings.stream), arrival="timestamp", watermark=False)
     return [landing, *jobs.start_speed_layer(events, events, settings.lake.metrics, checkpoints, settings.stream, available_now)]
 
 

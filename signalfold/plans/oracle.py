@@ -397,6 +397,17 @@ ORACLE: dict[str, str] = {
         "when event_type = 'performance_metric' then 'missing:unit' end as reason from telemetry)"
     ),
     "route_topic": _t("select event_id, event_type, topic from telemetry"),
+    "stream_dedup": _t("select event_id, topic, event_type, date as event_date, device_id from telemetry"),
+    # the produced side has crashes and app opens; what arrives comes event_id % 180 seconds later
+    "stream_reconcile": _t(
+        "select event_id, status from (select event_id, case event_type when 'performance_metric' then 'unexpected' "
+        "when 'crash_event' then case when is_fatal then 'missing' else 'matched' end else 'matched' end as status, "
+        "case when event_type = 'performance_metric' then event_time + to_seconds(event_id::bigint % 180) else event_time end as seen "
+        "from telemetry where event_type <> 'feature_used') where seen < (select least("
+        "max(event_time) filter (event_type in ('crash_event', 'app_open')), "
+        "max(event_time + to_seconds(event_id::bigint % 180)) filter (event_type in ('app_open', 'performance_metric') "
+        "or (event_type = 'crash_event' and not coalesce(is_fatal, false)))) - interval '1 hour' from telemetry)"
+    ),
     "reconcile_ids": _t(
         "select event_id, case event_type when 'performance_metric' then 'unexpected' "
         "when 'crash_event' then case when is_fatal then 'missing' else 'matched' end else 'matched' end as status "

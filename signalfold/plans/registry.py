@@ -23,7 +23,8 @@ from signalfold.settings import AlertSettings, LakeSettings, Settings, StreamSet
 from signalfold.sinks import batch as sinks
 from signalfold.sources import raw, wire
 from signalfold.sources.star import K, table, telemetry
-from signalfold.streaming import jobs
+from signalfold.streaming import dedup, jobs
+from signalfold.streaming.reconcile import reconcile_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,8 +50,11 @@ REPORT_TOTALS = {
     "performance_by_metric": "sample_count",
     "crash_analysis": "affected_devices",
 }
-STREAM_SLICES = 4  # event-time slices in which the table is replayed as a stream
-FILES_PER_FOLDER = 1  # of a landed topic-day of the test tables
+STAGED_ROWS = 25_000  # rows of a file, as which the table is replayed as a stream
+FILES_PER_TRIGGER = 2  # such files of a micro-batch
+LANDED_ROWS = 25_000  # rows of a file of a landed topic-day
+REPEATED_AFTER = "INTERVAL 5 MINUTES"  # when a message comes again
+CLOSED = "INTERVAL 1 HOUR"  # before the end of the streams, by when all verdicts are out
 SPLIT_DAY = "2024-01-15"  # first day of the second landing
 AS_OF_DATES = (date(2024, 1, 26), date(2024, 1, 31))
 # -----------------------------------------------------------------------------
@@ -120,21 +124,22 @@ def table_raw_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, DataFrame]:
     """Telemetry as a stream over the events table, in a session with streaming settings. The table is a backlog, so it is
-    replayed in slices of event time, one per micro-batch: state holds one slice, and no row is late."""
+    replayed in files of rising event time, some per micro-batch: state holds those, and no row is late."""
     session = jobs.streaming_session(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    facts, staged = table(session, sf_dir, "events"), workspace(spark, "event-slices")
-    wire.stage_in_order(facts, staged, "ts", STREAM_SLICES)
-    sliced = wire.read_file_stream(session, staged, facts.schema, max_files_per_trigger=1)
-    return session, telemetry(session, sf_dir, events=sliced)
+    return session, telemetry(session, sf_dir, events=_replayed(table(session, sf_dir, "events"), "ts"))
+
+
+def _replayed(facts: DataFrame, column: str) -> DataFrame:
+    staged = workspace(facts.sparkSession, "event-files")
+    wire.stage_in_order(facts, staged, column, STAGED_ROWS)
+    return wire.read_file_stream(facts.sparkSession, staged, facts.schema, max_files_per_trigger=FILES_PER_TRIGGER)
 
 
 def _landed(spark: SparkSession, events: DataFrame) -> DataFrame:
     """A stream of events, landed to its end and read back."""
     path, checkpoint = workspace(spark, "landing"), workspace(spark, "landing-checkpoint")
-    query = jobs.land_raw_stream(
-        events, path, checkpoint, trigger=None, files_per_folder=FILES_PER_FOLDER
-    )
-    jobs.run_to_end(query)
+    per_folder = -(-FILES_PER_TRIGGER * STAGED_ROWS // LANDED_ROWS)
+    jobs.run_to_end(jobs.land_raw_stream(events, path, checkpoint, trigger=None, files_per_folder=per_folder))
     return spark.read.parquet(path)
 
 
@@ -193,6 +198,40 @@ def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which every tenth comes again five minutes later, landed through the dedup state."""
+    session = jobs.streaming_session(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    facts = table(session, sf_dir, "events").withColumn("arrival", F.col("ts").cast("timestamp"))
+    again = facts.where("event_id % 10 = 0").withColumn("arrival", F.col("arrival") + F.expr(REPEATED_AFTER))
+    sent = _replayed(facts.unionAll(again), "arrival")
+    arrival = sent.select("event_id", "ts", "user_id", "event_type", "value", "props", F.col("arrival").alias(dedup.ARRIVAL))
+    once = dedup.first_arrivals(arrival).drop(dedup.ARRIVAL)
+    landed = _landed(spark, telemetry(session, sf_dir, events=once))
+    return landed.select("event_id", "topic", "event_type", "event_date", "device_id")
+
+
+def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`reconcile_ids` on two streams, as far as they have closed: what arrives does so within three minutes."""
+    session = jobs.streaming_session(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    facts = telemetry(session, sf_dir, device=False, region=False).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    produced, consumed = _two_sides(facts.select("event_id", "event_type", "timestamp", "payload.is_fatal"))
+    lag = F.make_dt_interval(secs=F.pmod(F.col("event_id").cast("bigint"), F.lit(180)).cast("decimal(18,6)"))
+    consumed = consumed.withColumn("timestamp", F.col("timestamp") + lag)
+    verdicts = reconcile_streams(_replayed(produced, "timestamp"), _replayed(consumed, "timestamp"))
+    path, checkpoint = workspace(spark, "reconciled"), workspace(spark, "reconciled-checkpoint")
+    jobs.run_to_end(jobs.write_rows_stream(verdicts, "reconcile", path, checkpoint, None))
+    ends = [side.agg(F.max("timestamp").alias("t")) for side in (produced, consumed)]
+    closed = ends[0].unionAll(ends[1]).agg((F.min("t") - F.expr(CLOSED)).alias("t")).scalar()
+    return spark.read.schema(verdicts.schema).parquet(path).where(F.col("event_time") < closed).select("event_id", "status")
+
+
+def _two_sides(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Crashes and app opens were produced; all but fatal crashes, and performance samples, arrived."""
+    both = is_type("crash_event", "app_open")
+    arrived = (both & ~F.coalesce(F.col("is_fatal"), F.lit(False))) | is_type("performance_metric")
+    return events.where(both), events.where(arrived)
+
+
 def _closed_windows(name: str) -> Query:
     """A speed-layer aggregate through the streaming sink, read back: the windows that the watermark
     has closed."""
@@ -564,14 +603,8 @@ def route_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crashes and app opens were produced; all but fatal crashes, and performance samples, arrived."""
-    events = _no_dims(spark, sf_dir)
-    produced = events.where(is_type("crash_event", "app_open"))
-    consumed = events.where(
-        (is_type("crash_event", "app_open") & ~F.coalesce(F.col("payload.is_fatal"), F.lit(False)))
-        | is_type("performance_metric")
-    )
-    return quality.reconcile_ids(produced, consumed)
+    events = _no_dims(spark, sf_dir).select("event_id", "event_type", "payload.is_fatal")
+    return quality.reconcile_ids(*_two_sides(events))
 
 
 def _over(source: Query, operator: Callable[..., DataFrame], *args: object, **kwargs: object) -> Query:
@@ -586,6 +619,8 @@ QUERIES: dict[str, Query] = {
     "scan_by_date": scan_by_date,
     "table_raw_by_topic": table_raw_by_topic,
     "stream_all_topics": stream_all_topics,
+    "stream_dedup": stream_dedup,
+    "stream_reconcile": stream_reconcile,
     "sink_stream_parquet": _closed_windows("error_spikes"),
     "stream_active_users": _closed_windows("active_users"),
     "stream_feature_usage": _closed_windows("feature_usage"),

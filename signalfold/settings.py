@@ -31,9 +31,9 @@ class StreamSettings:
     trigger: str = "10 seconds"
     state_partitions: int = 200  # a stream keeps this number for the life of its checkpoint
     max_files_per_trigger: int = 1000
-    max_bytes_per_trigger: str = "16g"
-    landed_file_rows: int = 4_000_000  # rows of one file when landed days are compacted
-    slice_hours: int = 24  # of event time, in which a backlog is replayed
+    landed_file_rows: int = 4_000_000  # rows of one landed or staged file
+    dedup_within: str = "10 minutes"  # of arrival, in which a producer may send again
+    reconcile_within: str = "10 minutes"  # between the two sides of a reconciliation
 
 
 @dataclass(frozen=True)

@@ -138,20 +138,22 @@ def read_file_stream(
     return reader.load(path)
 
 
-def stage_in_order(facts: DataFrame, path: str, column: str, slices: int) -> None:
-    """A bounded backlog as ``slices`` files of disjoint, rising ranges of ``column``, for a stream that takes one
-    file per micro-batch: no row is late, and state holds one slice.
+def stage_in_order(facts: DataFrame, path: str, column: str, file_rows: int = StreamSettings.landed_file_rows) -> int:
+    """A bounded backlog as files of about ``file_rows`` rows, in disjoint, rising ranges of ``column``; the number of files.
 
-    The file source goes by modification time, so the files get rising ones, in the order of their ranges.
+    A stream that takes some files per micro-batch, in their order, has no late rows, and its state holds as many files'
+    time. The file source goes by modification time, so the files get rising ones, in the order of their ranges.
     """
     spark = facts.sparkSession
-    facts.repartitionByRange(slices, column).write.parquet(path)
+    count = max(1, -(-facts.count() // file_rows))
+    facts.repartitionByRange(count, column).write.parquet(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
     files = sorted((f for f in system.listStatus(place) if f.getPath().getName().startswith("part-")), key=lambda f: f.getPath().getName())
     newest = max((f.getModificationTime() for f in files), default=0)
     for k, f in enumerate(files):
         system.setTimes(f.getPath(), newest - 1000 * (len(files) - k), -1)
+    return len(files)
 
 
 def with_event_time(events: DataFrame, watermark: str) -> DataFrame:

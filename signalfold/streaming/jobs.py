@@ -63,7 +63,8 @@ def land_raw_stream(
 
     A micro-batch of fresh events touches few folders and is written as it comes. A backlog of many
     days would have every task write a file per folder; ``files_per_folder`` gathers each folder's
-    rows into that many files, spread by event id so that no folder depends on one task.
+    rows into that many files, spread by event id so that no folder depends on one task. With the most rows that a micro-batch
+    may have, over the rows of a file, a folder with all of them is still spread well.
     """
     landed = with_topic(normalise(events)).withColumn("event_date", event_date())
     if files_per_folder:
@@ -80,6 +81,13 @@ def land_checked_stream(
     return _start(checked_rows(checked), "checked_landing", path, checkpoint, trigger, "status", "topic", "event_date")
 
 
+def write_rows_stream(
+    rows: DataFrame, name: str, path: str, checkpoint: str, trigger: str | None = StreamSettings.trigger
+) -> StreamingQuery:
+    """Rows as Parquet in one folder, as they come."""
+    return _start(rows, name, path, checkpoint, trigger)
+
+
 def _start(df: DataFrame, name: str, path: str, checkpoint: str, trigger: str | None, *columns: str) -> StreamingQuery:
     writer = (
         df.writeStream.queryName(name)

@@ -29,7 +29,7 @@ def test_stream_and_batch_jobs_run_to_their_end(spark, tmp_path):
     events = telemetry(spark, SF_DIR).where(event_date() < F.lit("2024-01-04").cast("date"))
     given = events.withColumn("payload", F.col("payload").withField("stack_trace", F.lit("t")).withField("unit", F.lit("ms")))
     messages = encode(given).select("value").union(spark.createDataFrame([("{broken",), ("",)], "value string"))
-    messages.coalesce(2).write.text(str(tmp_path / "in"))
+    messages.union(encode(given).select("value").limit(200)).coalesce(2).write.text(str(tmp_path / "in"))  # some come twice
     settings = replace(Settings(), lake=LakeSettings(root=str(tmp_path / "lake"), database="jobs_test"))
     session = streams.streaming_session(spark, 2)
     for query in jobs.stream(session, str(tmp_path / "ck"), settings, files=str(tmp_path / "in"), available_now=True):
@@ -47,7 +47,7 @@ def test_backlog_in_slices_drops_nothing_and_bounds_state(spark, tmp_path):
     """A table in files without any time order, replayed in slices."""
     facts = table(spark, SF_DIR, "events").withColumn("value", F.lit(0.0))
     facts.repartition(5).write.parquet(str(tmp_path / "unordered"))
-    stage_in_order(spark.read.parquet(str(tmp_path / "unordered")), str(tmp_path / "slices"), "ts", 4)
+    stage_in_order(spark.read.parquet(str(tmp_path / "unordered")), str(tmp_path / "slices"), "ts", 2500)
     session = streams.streaming_session(spark, 2)
     sliced = read_file_stream(session, str(tmp_path / "slices"), facts.schema, max_files_per_trigger=1)
     events = with_event_time(telemetry(session, SF_DIR, events=sliced), "10 seconds")
