@@ -65,6 +65,9 @@ COHORTS = f"""select f.first_seen, cast((date_diff('day', f.first_seen, t.date)
   count(distinct t.device_id) as retained_users
   from telemetry t join ({FIRST_SEEN}) f on t.device_id = f.device_id group by 1, 2"""
 
+RETENTION = f"""select c.*, s.cohort_size, c.retained_users / s.cohort_size as retention_rate from ({COHORTS}) c
+  join (select first_seen, count(*) as cohort_size from ({FIRST_SEEN}) group by 1) s using (first_seen)"""
+
 PERFORMANCE = """select {keys}, round(avg(metric_value), 6) as avg_metric_value, quantile_disc(metric_value, 0.5) as p50,
   quantile_disc(metric_value, 0.95) as p95, quantile_disc(metric_value, 0.99) as p99, count(*) as sample_count
   from telemetry where event_type = 'performance_metric' group by {keys}"""
@@ -234,9 +237,19 @@ ORACLE: dict[str, str] = {
     "feature_ranking": _t(RANKED),
     "device_first_seen": _t(FIRST_SEEN),
     "retention_cohorts": _t(COHORTS),
-    "retention_rates": _t(
-        f"select c.*, s.cohort_size, c.retained_users / s.cohort_size as retention_rate from ({COHORTS}) c "
-        f"join (select first_seen, count(*) as cohort_size from ({FIRST_SEEN}) group by 1) s using (first_seen)"
+    "retention_rates": _t(RETENTION),
+    "retention_from_bitmaps": _t(RETENTION),
+    "device_lifecycle": _t(
+        "select state, count(now) as devices from (values ('new'), ('retained'), ('returning'), ('lost'), ('gone')) s(state) left join ("
+        "select case when now then case when before then 'retained' when earlier then 'returning' else 'new' end "
+        "when before then 'lost' else 'gone' end as state, now from (select device_id, "
+        "bool_or(date between date '2024-01-14' and date '2024-01-20') as now, bool_or(date between date '2024-01-07' and date '2024-01-13') as before, "
+        "bool_or(date < date '2024-01-07') as earlier from telemetry where date <= date '2024-01-20' group by device_id)) using (state) group by state"
+    ),
+    "performance_from_sketches": _t(PERFORMANCE.format(keys=f"{SEGMENT}, metric_name")),
+    "active_devices_range": _t(
+        "select region, device_type, count(distinct device_id) as active_devices, count(*) as events from telemetry "
+        "where date between date '2024-01-05' and date '2024-01-20' group by region, device_type"
     ),
     "device_performance_report": _t(PERFORMANCE.format(keys=SEGMENT)),
     "performance_by_metric": _t(PERFORMANCE.format(keys=f"{SEGMENT}, metric_name")),

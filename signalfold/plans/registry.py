@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from signalfold.functions.expressions import bucket_start, event_date, is_fatal, is_type
-from signalfold.operators import crashes, features, observe, performance, quality, retention, serving, usage, windows
+from signalfold.operators import crashes, device_bitmaps, features, observe, performance, quality, retention, serving, sketches, usage, windows
 from signalfold.plans import catalog
-from signalfold.plans.batch import extend_roll_ups, run_batch, stored
-from signalfold.schema import PAYLOAD_TYPES, event_schema, normalise
+from signalfold.plans.batch import REPORT_ROLL_UPS, extend_bitmaps, extend_roll_ups, run_batch, stored
+from signalfold.schema import PAYLOAD_TYPES, SEGMENT, event_schema, normalise
 from signalfold.session import workspace
 from signalfold.settings import AlertSettings, LakeSettings, Settings, StreamSettings
 from signalfold.sinks import batch as sinks
@@ -56,6 +56,7 @@ LANDED_ROWS = 25_000  # rows of a file of a landed topic-day
 REPEATED_AFTER = "INTERVAL 5 MINUTES"  # when a message comes again
 CLOSED = "INTERVAL 1 HOUR"  # before the end of the streams, by when all verdicts are out
 SPLIT_DAY = "2024-01-15"  # first day of the second landing
+LIFECYCLE_DAY = date(2024, 1, 20)
 AS_OF_DATES = (date(2024, 1, 26), date(2024, 1, 31))
 # -----------------------------------------------------------------------------
 
@@ -246,32 +247,54 @@ def _closed_windows(name: str) -> Query:
     return query
 
 
-_LAKES: dict[tuple[str, str], LakeSettings] = {}
+def _lake(spark: SparkSession, sf_dir: str, *reports: str) -> LakeSettings:
+    """A new lake with the reports of the tables (all, or those named), whose roll-ups are extended in two steps, by days."""
+    lake, events = LakeSettings(root=workspace(spark, "lake")), _full(spark, sf_dir)
+    first, rest = _two_parts(events)
+    names = reports or tuple(REPORT_ROLL_UPS)
+    extend_roll_ups(first, lake, dict.fromkeys(r for name in names for r in REPORT_ROLL_UPS[name]))
+    run_batch(events, Settings(lake=lake), new_days=rest, names=names)
+    return lake
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> LakeSettings:
-    """A lake with all reports of the tables; one run of the batch layer serves the queries of an application. The
-    roll-ups are extended in two steps, by days."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAKES:
-        lake, events = LakeSettings(root=workspace(spark, "lake")), _full(spark, sf_dir)
-        first = F.col("timestamp") < F.lit(SPLIT_DAY).cast("timestamp_ntz")
-        extend_roll_ups(events.where(first), lake)
-        run_batch(events, Settings(lake=lake), new_days=events.where(~first))
-        _LAKES[key] = lake
-    return _LAKES[key]
+def _two_parts(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    first = F.col("timestamp") < F.lit(SPLIT_DAY).cast("timestamp_ntz")
+    return events.where(first), events.where(~first)
 
 
 def _stored_report(report: str) -> Query:
     """A stored report, all columns."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = spark.read.parquet(f"{_lake(spark, sf_dir).batch}/{report}")
+        df = spark.read.parquet(f"{_lake(spark, sf_dir, report).batch}/{report}")
         return _rounded(df, *[c for c in ("avg_metric_value",) if c in df.columns])
 
     return query
 
 
+def performance_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`performance_by_metric` from the quantile sketches of the days, added in two steps."""
+    lake = LakeSettings(root=workspace(spark, "sketches"))
+    for part in _two_parts(_devices(spark, sf_dir)):
+        days = extend_roll_ups(part, lake, ["performance_days"])["performance_days"]
+    return _rounded(sketches.performance_from_days(days, *SEGMENT, "metric_name"), "avg_metric_value")
+
+
+def active_devices_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active devices of a range of days by region and device type, from the distinct sketches of the days."""
+    lake = LakeSettings(root=workspace(spark, "sketches"))
+    for part in _two_parts(_full(spark, sf_dir)):
+        days = extend_roll_ups(part, lake, ["active_days"])["active_days"]
+    return sketches.active_devices_range(days, *RANGE, by=["region", "device_type"])
+
+
+def _bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = LakeSettings(root=workspace(spark, "bitmaps"))
+    for part in _two_parts(_no_dims(spark, sf_dir)):
+        words = extend_bitmaps(part.select("device_id", event_date().alias("date")), lake)
+    return words
+
+
 def batch_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All reports over stored roll-ups, written and read back: the rows and one total of each."""
     lake = _lake(spark, sf_dir)
@@ -626,6 +649,10 @@ QUERIES: dict[str, Query] = {
     "stream_feature_usage": _closed_windows("feature_usage"),
     "batch_layer": batch_layer,
     **{f"stored_{report}": _stored_report(report) for report in REPORT_TOTALS},
+    "performance_from_sketches": performance_from_sketches,
+    "active_devices_range": active_devices_range,
+    "retention_from_bitmaps": _over(_bitmaps, device_bitmaps.retention_from_bitmaps),
+    "device_lifecycle": _over(_bitmaps, device_bitmaps.lifecycle, LIFECYCLE_DAY),
     "pipeline_end_to_end": pipeline_end_to_end,
     "sink_roundtrip": sink_roundtrip,
     "publish_keyed": publish_keyed,
