@@ -12,6 +12,7 @@ from signalfold.functions.expressions import event_date, is_type, ratio
 from signalfold.operators.crashes import crash_analysis, top_crash_segments
 from signalfold.operators.usage import daily_usage_trends, hourly_usage_trends
 from signalfold.schema import SEGMENT
+from signalfold.sinks.versions import read_current
 
 TOP_FEATURES = 10
 
@@ -163,7 +164,7 @@ class MetricsStore:
         self._raw = events
 
     def _read(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._path}/{name}")
+        return read_current(self._spark, f"{self._path}/{name}")
 
     def _events(self, what: str) -> DataFrame:
         if self._raw is None:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from signalfold.schema import EVENT, TOPICS
 from signalfold.settings import LakeSettings
+from signalfold.sinks.versions import current
 
 RAW_TABLES = {topic: f"raw_{topic}" for topic in TOPICS}
 
@@ -39,14 +40,98 @@ REPORT_COLUMNS = {
 }
 # -----------------------------------------------------------------------------
 
+_DAYS = "start_date DATE DEFAULT NULL, end_date DATE DEFAULT NULL"
+_IN_DAYS = "(start_date IS NULL OR {day} >= start_date) AND (end_date IS NULL OR {day} <= end_date)"
+_SEGMENT = "device_type STRING, os STRING, app_version STRING"
+_NUMBERS = "avg_metric_value DOUBLE, p50 DOUBLE, p95 DOUBLE, p99 DOUBLE, sample_count BIGINT"
+
+# The serving queries as SQL table functions: name -> (tables read, parameters, columns, body). A parameter that is left out, or
+# null, filters nothing. Parameters are constants where the function is used, so the filters reach the scan.
+FUNCTIONS = {
+    "usage_metrics": (
+        ("daily_trends",), _DAYS, REPORT_COLUMNS["daily_trends"],
+        f"SELECT date, daily_active_users, total_events, total_sessions FROM {{daily_trends}} WHERE {_IN_DAYS.format(day='date')}",
+    ),
+    "usage_metrics_by": (
+        tuple(RAW_TABLES.values()), f"in_region STRING DEFAULT NULL, in_device_type STRING DEFAULT NULL, {_DAYS}", REPORT_COLUMNS["daily_trends"],
+        "SELECT event_date, count(DISTINCT device_id), count(*), "
+        "count(DISTINCT IF(event_type = 'app_open', payload.session_id, NULL)) FROM ("
+        + " UNION ALL ".join(f"SELECT event_date, event_type, device_id, region, device_type, payload FROM {{{t}}}" for t in RAW_TABLES.values())
+        + f") WHERE (in_region IS NULL OR region = in_region) AND (in_device_type IS NULL OR device_type = in_device_type) "
+        f"AND {_IN_DAYS.format(day='event_date')} GROUP BY event_date",
+    ),
+    "crash_metrics": (
+        ("crash_analysis",), "in_os STRING DEFAULT NULL, in_app_version STRING DEFAULT NULL, in_device_type STRING DEFAULT NULL",
+        REPORT_COLUMNS["crash_analysis"],
+        "SELECT device_type, os, app_version, crash_count, affected_devices, fatal_crashes, total_devices, crash_rate FROM {crash_analysis} "
+        "WHERE (in_os IS NULL OR os = in_os) AND (in_app_version IS NULL OR app_version = in_app_version) "
+        "AND (in_device_type IS NULL OR device_type = in_device_type)",
+    ),
+    # the ranks of one feature's rows are its own, so the limit is on the place among the rows that are left
+    "adoption_metrics": (
+        ("feature_ranking",), "in_feature STRING DEFAULT NULL, top_n INT DEFAULT 10", REPORT_COLUMNS["feature_ranking"],
+        "SELECT feature_name, unique_users, total_usage, avg_duration_ms, avg_interactions, rank FROM {feature_ranking} "
+        "WHERE (in_feature IS NULL OR feature_name = in_feature) AND (in_feature IS NOT NULL OR rank <= top_n)",
+    ),
+    "performance_metrics": (
+        ("device_performance", "performance_by_metric"),
+        "in_device_type STRING DEFAULT NULL, in_os STRING DEFAULT NULL, in_metric_name STRING DEFAULT NULL",
+        f"{_SEGMENT}, metric_name STRING, {_NUMBERS}",
+        "SELECT device_type, os, app_version, metric_name, avg_metric_value, p50, p95, p99, sample_count FROM ("
+        "SELECT device_type, os, app_version, CAST(NULL AS STRING) AS metric_name, avg_metric_value, p50, p95, p99, sample_count "
+        "FROM {device_performance} WHERE in_metric_name IS NULL UNION ALL "
+        "SELECT device_type, os, app_version, metric_name, avg_metric_value, p50, p95, p99, sample_count "
+        "FROM {performance_by_metric} WHERE metric_name = in_metric_name) "
+        "WHERE (in_device_type IS NULL OR device_type = in_device_type) AND (in_os IS NULL OR os = in_os)",
+    ),
+}
+
+
+def register_functions(spark: SparkSession, database: str, tables: Collection[str]) -> list[str]:
+    """The serving functions that need no other tables than those named, in the database; SQL users call them as
+    ``USE telemetry_db; SELECT * FROM crash_metrics(in_os => 'iOS')`` (Spark takes no database in front of a table function)."""
+    names = []
+    for name, (needed, parameters, columns, body) in FUNCTIONS.items():
+        if set(needed) <= set(tables):
+            full = {t: f"{database}.{t}" for t in needed}
+            spark.sql(f"CREATE OR REPLACE FUNCTION {database}.{name}({parameters}) RETURNS TABLE ({columns}) RETURN {body.format(**full)}")
+            names.append(f"{database}.{name}")
+    return names
+
+
+def register_reports(spark: SparkSession, lake: LakeSettings, reports: Collection[str] = tuple(REPORT_COLUMNS)) -> list[str]:
+    """An external Parquet table over the newest published version of each report, and the functions over them."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {lake.database}")
+    names = []
+    for report in reports:
+        name = f"{lake.database}.{report}"
+        place = current(spark, f"{lake.batch}/{report}") or f"{lake.batch}/{report}/none"
+        known = spark.catalog.tableExists(name)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({REPORT_COLUMNS[report]}) USING PARQUET LOCATION '{place}'")
+        if known:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+            spark.catalog.refreshTable(name)
+        names.append(name)
+    register_functions(spark, lake.database, reports)
+    return names
+
+
+def sql_session(spark: SparkSession, database: str) -> SparkSession:
+    """A session of the same application, with the same settings for SQL, that uses the database."""
+    session = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        session.conf.set(key, spark.conf.get(key))
+    session.sql(f"USE {database}")
+    return session
+
 
 def register_lake(spark: SparkSession, lake: LakeSettings = LakeSettings(), checked: bool = False) -> list[str]:
-    """Create the database, a view per raw topic, and an external Parquet table over each report.
+    """Create the database, a view per raw topic, an external Parquet table over each report, and the serving functions.
 
     The raw views read the landing folder by its root, where a stream keeps its commit log, and so
     see finished batches only; filters on ``event_date`` and the topic prune folders. With ``checked`` the landing is
-    that of checked messages, and the views have the valid ones. Tables that
-    exist are left as they are; the views are renewed.
+    that of checked messages, and the views have the valid ones. Each table is over the newest published version of its
+    report; one that exists is switched to it, which its readers see at once. The views and functions are renewed.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {lake.database}")
     names = []
@@ -58,12 +143,8 @@ def register_lake(spark: SparkSession, lake: LakeSettings = LakeSettings(), chec
             f"WHERE topic = '{topic}'" + (" AND status = 'valid'" if checked else "")
         )
         names.append(name)
-    for report, report_columns in REPORT_COLUMNS.items():
-        name = f"{lake.database}.{report}"
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({report_columns}) USING PARQUET LOCATION '{lake.batch}/{report}'"
-        )
-        names.append(name)
+    names += register_reports(spark, lake)
+    register_functions(spark, lake.database, [*RAW_TABLES.values(), *REPORT_COLUMNS])
     return names
 
 

@@ -288,6 +288,11 @@ ORACLE: dict[str, str] = {
     "serve_performance": _t(
         f"select * from ({PERFORMANCE.format(keys=SEGMENT)}) where device_type = 'mobile' order by {SEGMENT}"
     ),
+    "sql_usage": _t(DAILY.format(where=USAGE_RANGE)),
+    "sql_usage_by": _t(DAILY.format(where=f"{USAGE_RANGE} and region = 'ASIA' and device_type = 'mobile'")),
+    "sql_crashes": _t(f"select * from ({CRASHES}) where os = 'Android'"),
+    "sql_adoption": _t(f"select * from ({RANKED}) where rank <= 5"),
+    "sql_performance": _t(f"{PERFORMANCE.format(keys=f'{SEGMENT}, metric_name')} having device_type = 'mobile' and metric_name = 'metric_1'"),
     "realtime_snapshot": _t(
         "select max(event_time) as snapshot_time, count(distinct device_id) as active_users_1m, "
         "count(*) / 60 as events_per_second, count(*) filter (event_type = 'crash_event') / count(*) as error_rate "

@@ -6,7 +6,9 @@ the last bits, differs between engines and runs; the operators themselves do not
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,7 @@ from signalfold.schema import PAYLOAD_TYPES, SEGMENT, event_schema, normalise
 from signalfold.session import workspace
 from signalfold.settings import AlertSettings, LakeSettings, Settings, StreamSettings
 from signalfold.sinks import batch as sinks
+from signalfold.sinks.versions import read_current
 from signalfold.sources import raw, wire
 from signalfold.sources.star import K, table, telemetry
 from signalfold.streaming import dedup, jobs
@@ -266,7 +269,7 @@ def _stored_report(report: str) -> Query:
     """A stored report, all columns."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = spark.read.parquet(f"{_lake(spark, sf_dir, report).batch}/{report}")
+        df = read_current(spark, f"{_lake(spark, sf_dir, report).batch}/{report}")
         return _rounded(df, *[c for c in ("avg_metric_value",) if c in df.columns])
 
     return query
@@ -299,7 +302,7 @@ def batch_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All reports over stored roll-ups, written and read back: the rows and one total of each."""
     lake = _lake(spark, sf_dir)
     summaries = [
-        spark.read.parquet(f"{lake.batch}/{report}").agg(
+        read_current(spark, f"{lake.batch}/{report}").agg(
             F.lit(report).alias("report"),
             F.count("*").alias("row_count"),
             F.sum(total).cast("bigint").alias("total"),
@@ -312,7 +315,7 @@ def batch_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark, "reports")
     sinks.write_reports({"regional_trends": usage.daily_trends_by_region(_regions(spark, sf_dir), ordered=False)}, path)
-    return spark.read.parquet(f"{path}/regional_trends")
+    return read_current(spark, f"{path}/regional_trends")
 
 
 def publish_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,10 +342,10 @@ def archive_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     trends = usage.daily_trends_by_region(_regions(spark, sf_dir), ordered=False)
     sinks.write_reports({"regional_trends": trends}, lake.batch)
     for as_of in AS_OF_DATES:
-        sinks.archive_report(spark, "regional_trends", as_of, workspace(spark, "active"), lake)
-    old = spark.read.parquet(f"{lake.historical}/regional_trends")
+        sinks.archive_report(spark, "regional_trends", as_of, lake)
+    old = sinks.read_archive(spark, "regional_trends", lake)
     old = old.withColumn("tier", F.concat(F.lit("before "), F.col("archived_before"))).drop("archived_before")
-    served = spark.read.parquet(f"{lake.batch}/regional_trends").withColumn("tier", F.lit("served"))
+    served = read_current(spark, f"{lake.batch}/regional_trends").withColumn("tier", F.lit("served"))
     return old.unionByName(served)
 
 
@@ -455,6 +458,29 @@ def serve_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.performance(_rounded(report, "avg_metric_value"), device_type="mobile")
 
 
+def _sql_function(call: str, *reports: str) -> Query:
+    """A serving function of the lake's database, called in SQL over the stored reports."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lake = replace(_lake(spark, sf_dir, *reports), database=f"telemetry_{uuid.uuid4().hex}")
+        catalog.register_reports(spark, lake, reports)
+        df = catalog.sql_session(spark, lake.database).sql(f"SELECT * FROM {call}")
+        return _rounded(df, *[c for c in ("avg_metric_value",) if c in df.columns])
+
+    return query
+
+
+def sql_usage_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`serve_usage_filtered` in SQL, over the landed events."""
+    lake = LakeSettings(root=workspace(spark, "lake"), database=f"telemetry_{uuid.uuid4().hex}")
+    sinks.land_raw(_full(spark, sf_dir), lake.raw)
+    catalog.register_lake(spark, lake)
+    start, end = RANGE
+    return catalog.sql_session(spark, lake.database).sql(
+        f"SELECT * FROM usage_metrics_by('{REGION}', 'mobile', start_date => DATE '{start}', end_date => DATE '{end}')"
+    )
+
+
 def realtime_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.realtime_snapshot(_no_dims(spark, sf_dir))
 
@@ -693,6 +719,13 @@ QUERIES: dict[str, Query] = {
     "serve_crashes": serve_crashes,
     "serve_adoption": serve_adoption,
     "serve_performance": serve_performance,
+    "sql_usage": _sql_function(f"usage_metrics(DATE '{RANGE[0]}', DATE '{RANGE[1]}')", "daily_trends"),
+    "sql_usage_by": sql_usage_by,
+    "sql_crashes": _sql_function("crash_metrics(in_os => 'Android')", "crash_analysis"),
+    "sql_adoption": _sql_function("adoption_metrics(top_n => 5)", "feature_ranking"),
+    "sql_performance": _sql_function(
+        "performance_metrics('mobile', in_metric_name => 'metric_1')", "device_performance", "performance_by_metric"
+    ),
     "realtime_snapshot": realtime_snapshot,
     "snapshot_from_speed_layer": snapshot_from_speed_layer,
     "bi_top_features": bi_top_features,

@@ -17,6 +17,8 @@ from signalfold.operators.quality import status_of, with_topic
 from signalfold.schema import normalise, typed_payload
 from signalfold.session import workspace
 from signalfold.settings import KafkaSettings, LakeSettings, StreamSettings
+from signalfold.sinks.versions import exists, names_below, published, read_current, remove
+from signalfold.sinks.versions import publish as publish_version
 from signalfold.sources.wire import encode, kafka_sink_options
 
 # what tells the rows of the stored reports with a date apart
@@ -24,13 +26,13 @@ REPORT_KEYS = {"daily_trends": ("date",), "regional_trends": ("date", "region"),
 
 
 def write_reports(reports: Mapping[str, DataFrame], path: str) -> None:
-    """Each report to its own folder, replacing what is there. Reports are small and read back with
-    a sort, so they are written unsorted; they are submitted together, as no single one of them
-    fills a cluster. The first failure is raised."""
+    """Each report as the next version of its folder (:mod:`signalfold.sinks.versions`), so that the last one can be read until
+    the new one is whole. Reports are small and read back with a sort, so they are written unsorted; they are
+    submitted together, as no single one of them fills a cluster. The first failure is raised."""
 
     def write(item: tuple[str, DataFrame]) -> None:
         name, report = item
-        report.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+        publish_version(report, f"{path.rstrip('/')}/{name}")
 
     if not reports:
         return
@@ -49,12 +51,6 @@ def write_partitioned(df: DataFrame, path: str, *columns: str, fmt: str = "parqu
     writer.option("partitionOverwriteMode", "dynamic").save(path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path is there, in any file system that Spark reads."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
 def _not_streamed(spark: SparkSession, path: str) -> None:
     """A stream's commit log names the files that count: a batch write next to it would not be read, or would delete it."""
     if exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
@@ -99,12 +95,6 @@ def compact_days(spark: SparkSession, path: str, days: Sequence[date], file_rows
     remove(spark, staged)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder that this library wrote to the work folder."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def publish(events: DataFrame, path: str) -> None:
     """Keyed JSON messages, one folder per topic, after those that are there."""
     write_partitioned(encode(events), path, "topic")
@@ -135,12 +125,21 @@ def archive(df: DataFrame, as_of: date, historical: str, active: str, days_old:
 
 def _cutoffs(spark: SparkSession, historical: str) -> list[date]:
     """The cut-offs of earlier archive runs, oldest first."""
-    if not exists(spark, historical):
-        return []
-    place = spark._jvm.org.apache.hadoop.fs.Path(historical)
-    listed = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
-    names = [f.getPath().getName() for f in listed]
-    return sorted(date.fromisoformat(n.removeprefix("archived_before=")) for n in names if n.startswith("archived_before="))
+    names = names_below(spark, historical)
+    return [date.fromisoformat(n.removeprefix("archived_before=")) for n in names if n.startswith("archived_before=")]
+
+
+def read_archive(spark: SparkSession, report: str, lake: LakeSettings = LakeSettings()) -> DataFrame:
+    """The archived rows of a report, with ``archived_before``: the cut-off of the run that archived each."""
+    historical = f"{lake.historical}/{report}"
+    parts = [
+        read_current(spark, f"{historical}/archived_before={c}").withColumn("archived_before", F.lit(c))
+        for c in _cutoffs(spark, historical)
+        if published(spark, f"{historical}/archived_before={c}")
+    ]
+    if not parts:
+        return read_current(spark, f"{lake.batch}/{report}").where("false").withColumn("archived_before", F.lit(None).cast("date"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _without(rows: DataFrame, gone: DataFrame, columns: Sequence[str], how: str = "left_anti") -> DataFrame:
@@ -150,46 +149,50 @@ def _without(rows: DataFrame, gone: DataFrame, columns: Sequence[str], how: str
 
 
 def archive_report(
-    spark: SparkSession, report: str, as_of: date, active: str, lake: LakeSettings = LakeSettings(), keys: Sequence[str] | None = None
+    spark: SparkSession, report: str, as_of: date, lake: LakeSettings = LakeSettings(), keys: Sequence[str] | None = None
 ) -> None:
     """Move the old rows of a stored report with a ``date`` to the archive, by the lake's folders and age limit.
 
     A run archives the days between the last run's cut-off and its own, and of the older ones those that came late or
     have other figures than in the archive; the row of the same ``keys`` (else those in ``REPORT_KEYS``) then leaves the earlier
     run's folder. So tiers and runs share no row; the report may have been rewritten with all its history in between. A row that
-    is in the archive and no longer in the report stays archived. Then the report itself becomes the active
-    rows, by way of the new path ``active``. Running again for the same day, also after a failure, replaces that run's folder; a
-    run for an earlier day than the last one raises.
+    is in the archive and no longer in the report stays archived. Read the archive by :func:`read_archive`.
+
+    Each folder and the report get a new version, in this order: the run's own archive, the earlier ones that lose rows,
+    the report without the archived rows. Nothing is overwritten. A run that dies between two steps has lost no row; some are in
+    two tiers until it is run again, which ends as if it had not died. A run for an earlier day than the last one raises.
     """
     keys = list(keys or REPORT_KEYS.get(report, ()))
     if not keys:
         raise ValueError(f"no keys are known of {report}")
     cutoff = archive_cutoff(as_of, lake.archive_after_days)
     historical, served = f"{lake.historical}/{report}", f"{lake.batch}/{report}"
-    before = [c for c in _cutoffs(spark, historical) if c != cutoff]
+    folder = lambda c: f"{historical}/archived_before={c}"
+    runs = [c for c in _cutoffs(spark, historical) if published(spark, folder(c))]
+    before = [c for c in runs if c != cutoff]
     if before and before[-1] > cutoff:
         raise ValueError(f"{report} is archived up to {before[-1]} already")
-    stored = spark.read.parquet(served)
+    stored = read_current(spark, served)
     columns = stored.columns
-    repeated = exists(spark, f"{historical}/archived_before={cutoff}")
+    earlier = {c: read_current(spark, folder(c)) for c in before}
+    fresh = stored
     if before:
         due = F.col("date").isNull() | (F.col("date") >= F.lit(before[-1]))
-        earlier = spark.read.parquet(*(f"{historical}/archived_before={c}" for c in before))
-        fresh = stored.where(due).unionByName(_without(stored.where(~due), earlier, columns))
-    else:
-        fresh = stored
-    if repeated:
+        known = reduce(DataFrame.unionByName, earlier.values())
+        fresh = stored.where(due).unionByName(_without(stored.where(~due), known, columns))
+    if cutoff in runs:
         # what the run has archived may have left the report already
-        done = spark.read.parquet(f"{historical}/archived_before={cutoff}")
+        done = read_current(spark, folder(cutoff))
         fresh = fresh.unionByName(_without(done, stored, keys))
-    if before or repeated:
+    if before or cutoff in runs:
         fresh.write.parquet(staged := workspace(spark, "archive"))
-        fresh = spark.read.parquet(staged)
-    archive(fresh, as_of, historical, active, lake.archive_after_days)
-    for c in before:
-        place = f"{historical}/archived_before={c}"
-        rows, late = spark.read.parquet(place), fresh.where(F.col("date") < F.lit(c))
+        fresh = spark.read.schema(fresh.schema).parquet(staged)
+    old = F.coalesce(F.col("date") < F.lit(cutoff), F.lit(False))
+    publish_version(fresh.where(old), folder(cutoff))
+    for c, rows in earlier.items():
+        late = fresh.where(F.col("date") < F.lit(c))
         if not _without(rows, late, keys, "left_semi").isEmpty():
-            _without(rows, late, keys).write.parquet(rest := workspace(spark, "archive"))
-            spark.read.parquet(rest).write.mode("overwrite").parquet(place)
-    spark.read.parquet(active).write.mode("overwrite").parquet(served)
+            publish_version(_without(rows, late, keys), folder(c))
+    publish_version(fresh.where(~old), served)
+    if before or cutoff in runs:
+        remove(spark, staged)

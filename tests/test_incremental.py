@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from signalfold.operators import device_bitmaps, retention, sketches
 from signalfold.plans.batch import extend_bitmaps, extend_roll_ups, reports, run_batch
 from signalfold.settings import LakeSettings, Settings
+from signalfold.sinks.versions import read_current
 from signalfold.sources.star import telemetry
 
 
@@ -143,7 +144,7 @@ def test_two_steps_equal_one(spark, tmp_path):
     extend_bitmaps(events.where(cut).select("device_id", F.to_date("timestamp").alias("date")), two)
     run_batch(events, Settings(lake=two), new_days=events.where(~cut))
     for name in reports(events):
-        both = [spark.read.parquet(f"{lake.batch}/{name}") for lake in (one, two)]
+        both = [read_current(spark, f"{lake.batch}/{name}") for lake in (one, two)]
         both = [df.withColumns({c: F.round(c, 6) for c, t in df.dtypes if t == "double"}) for df in both]
         assert sorted(map(str, rows(both[0]))) == sorted(map(str, rows(both[1].select(both[0].columns)))), name
     maps = [spark.read.parquet(f"{lake.rollups}/device_bitmaps") for lake in (one, two)]
