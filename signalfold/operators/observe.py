@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from signalfold.functions.expressions import is_type, ratio, step_label, topic_of
@@ -13,29 +13,72 @@ from signalfold.settings import AlertSettings
 
 _ALERTS = AlertSettings()
 INFINITE = "+Inf"
+PLAUSIBLE_SINCE = "2000-01-01"  # no device has sent an event before
+
+
+def _seconds(width: str) -> int:
+    """The length of a window such as ``5 minutes``."""
+    number, unit = width.split()
+    return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}[unit.rstrip("s")]
+
+
+def _windows(spark: SparkSession, first: Column, last: Column, seconds: int) -> DataFrame:
+    """``window_start`` of every window from the day of ``first`` to that of ``last``: the days are spread over tasks, and the
+    windows that begin in a day are a short array, so no row holds the whole range."""
+    days = spark.range(1).select(F.explode(F.sequence(F.to_date(first), F.to_date(last), F.expr("INTERVAL 1 DAY"))).alias("day"))
+    # windows are counted from 1970 on, whatever part of a day they take
+    offset = F.pmod(-F.unix_date("day").cast("bigint") * 86_400, F.lit(seconds))
+    starts = days.repartition("day").select("day", F.explode(F.sequence(offset, F.lit(86_399).cast("bigint"), F.lit(seconds).cast("bigint"))).alias("s"))
+    return starts.select((F.col("day").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("s"))).alias("window_start"))
+
+
+def plausible(since: str = PLAUSIBLE_SINCE, ahead_days: int = 1) -> Column:
+    """Whether the event's clock is one a device can have: not before ``since``, not more than ``ahead_days`` after today."""
+    day = F.to_date("timestamp")
+    return F.coalesce((day >= F.lit(since).cast("date")) & (day <= F.date_add(F.current_date(), ahead_days)), F.lit(False))
+
+
+def implausible_clocks(events: DataFrame, since: str = PLAUSIBLE_SINCE, ahead_days: int = 1) -> DataFrame:
+    """``reason, event_count`` of the events that the rate panels leave out: ``missing``, ``early`` or ``ahead`` of the plausible range.
+    A reason without an event has a row with 0."""
+    day = F.to_date("timestamp")
+    reasons = {
+        "missing": F.col("timestamp").isNull(),
+        "early": day < F.lit(since).cast("date"),
+        "ahead": day > F.date_add(F.current_date(), ahead_days),
+    }
+    counted = events.agg(*[F.count_if(rule).alias(name) for name, rule in reasons.items()])
+    rows = [F.struct(F.lit(name).alias("reason"), F.col(name).alias("event_count")) for name in reasons]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def _filled(counts: DataFrame, keys: Sequence[str], numbers: Sequence[str], width: str) -> DataFrame:
     """``counts`` by ``window_start`` and ``keys``, with a row of zeros for each window between the first
     and the last of all that has none.
 
-    There is a row per key and window of the time range, whatever the number of events; the range itself is a
-    scalar subquery over the counts.
+    There is a row per key and window of the time range, whatever the number of events. The range is that of plausible
+    clocks, so one wrong clock does not stretch it; its ends are scalar subqueries over the counts.
     """
     first = counts.agg(F.min("window_start").alias("first")).scalar()
     last = counts.agg(F.max("window_start").alias("last")).scalar()
-    series = F.explode(F.sequence(first, last, F.expr(f"INTERVAL {width}"))).alias("window_start")
-    kinds = counts.select(*keys).distinct() if keys else counts.limit(1).select(F.lit(1).alias("_one"))
+    stamp = counts.schema["window_start"].dataType
+    series = _windows(counts.sparkSession, first, last, _seconds(width)).select(F.col("window_start").cast(stamp).alias("window_start"))
+    series = series.where((F.col("window_start") >= first) & (F.col("window_start") <= last))
     zeros = [F.lit(0).cast("bigint").alias(n) for n in numbers]
-    silent = kinds.select(*keys, series).select("window_start", *keys, *zeros)
-    return counts.union(silent).groupBy("window_start", *keys).agg(*[F.max(n).alias(n) for n in numbers])
+    if keys:
+        # a key has a row of its own with each window; the kinds of a panel are few
+        kinds = counts.select(*keys).distinct().agg(F.collect_list(F.struct(*keys)).alias("_kinds")).scalar()
+        silent = series.select("window_start", F.inline(kinds)).select("window_start", *keys, *zeros)
+    else:
+        silent = series.select("window_start", *zeros)
+    return counts.unionAll(silent).groupBy("window_start", *keys).agg(*[F.max(n).alias(n) for n in numbers])
 
 
 def event_rate(events: DataFrame, width: str = "1 minute", seconds: int = 60) -> DataFrame:
     """``window_start, topic, event_type, event_count, events_per_second``; ``seconds`` is the
     length of ``width``. A type that occurs at all has a row for every window of the time range."""
     counts = (
-        events.where(F.col("timestamp").isNotNull())
+        events.where(plausible())
         .groupBy(F.window("timestamp", width), topic_of().alias("topic"), "event_type")
         .agg(F.count("*").alias("event_count"))
         .select(F.col("window.start").alias("window_start"), "topic", "event_type", "event_count")
@@ -56,7 +99,7 @@ def throughput_status(
     that an outage is seen."""
     rate = F.col("n") / F.lit(float(seconds))
     counts = (
-        events.where(F.col("timestamp").isNotNull())
+        events.where(plausible())
         .groupBy(F.window("timestamp", width))
         .agg(F.count("*").alias("n"))
         .select(F.col("window.start").alias("window_start"), "n")
@@ -78,7 +121,7 @@ def error_rate(
     """``window_start, error_count, errors_per_second, status``; a window without errors, or without any
     event, has a row too."""
     counts = (
-        events.where(F.col("timestamp").isNotNull())
+        events.where(plausible())
         .groupBy(F.window("timestamp", width))
         .agg(F.count_if(is_type("crash_event")).alias("error_count"))
         .select(F.col("window.start").alias("window_start"), "error_count")

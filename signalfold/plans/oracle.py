@@ -176,6 +176,12 @@ ORACLE: dict[str, str] = {
     "sink_stream_parquet": _closed(ERROR_SPIKES),
     "stream_active_users": _closed(ACTIVE_USERS),
     "stream_feature_usage": _closed(FEATURE_USAGE),
+    # all rows, in the windows that the stream has closed by the rows that come in time
+    "repair_late_windows": _t(
+        f"select * from ({ACTIVE_USERS}) where window_end <= (select max(e) from ("
+        "select time_bucket(interval '1 minute', event_time) + interval '1 minute' as e from telemetry where event_id::bigint % 10 <> 3) "
+        "where e <= (select max(event_time) from telemetry where event_id::bigint % 10 <> 3) - interval '10 seconds')"
+    ),
     "batch_layer": _t(
         " union all ".join(
             f"select '{report}' as report, count(*) as row_count, cast(sum({total}) as bigint) as total from ({sql})"
@@ -378,6 +384,10 @@ ORACLE: dict[str, str] = {
     ),
     # quality and routing
     "dq_envelope": ENVELOPE_REASON,
+    "dq_clocks": (
+        "select reason, count(k) as event_count from (values (0, 'missing'), (1, 'early'), (2, 'ahead')) r(n, reason) "
+        "left join (select coalesce(cast(json_extract_string(props, '$.k') as int), 0) as k from events) on k % 25 = n group by reason"
+    ),
     "dq_payload": PAYLOAD_REASON,
     "dq_os_device": _t(
         "select device_type, os, count(*) as event_count, "

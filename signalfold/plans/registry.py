@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from signalfold.functions.expressions import bucket_start, event_date, is_fatal, is_type
 from signalfold.operators import crashes, device_bitmaps, features, observe, performance, quality, retention, serving, sketches, usage, windows
-from signalfold.plans import catalog
+from signalfold.plans import catalog, repair
 from signalfold.plans.batch import REPORT_ROLL_UPS, extend_bitmaps, extend_roll_ups, run_batch, stored
 from signalfold.schema import PAYLOAD_TYPES, SEGMENT, event_schema, normalise
 from signalfold.session import workspace
@@ -250,6 +250,25 @@ def _closed_windows(name: str) -> Query:
     return query
 
 
+def repair_late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The speed layer over the rows that come in time; a tenth of all is landed later, and the windows are repaired."""
+    settings = Settings(lake=LakeSettings(root=workspace(spark, "lake")))
+    session = jobs.streaming_session(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    facts = table(session, sf_dir, "events")
+    late = F.col("event_id") % 10 == 3
+    sent = telemetry(session, sf_dir, events=_replayed(facts.where(~late), "ts"))
+    sent = wire.with_event_time(sent, settings.stream.watermark)
+    for query in jobs.start_speed_layer(sent, sent, settings.lake.metrics, workspace(spark, "checkpoints"), settings.stream, True):
+        jobs.run_to_end(query)
+    for part in (facts.where(~late), facts.where(late)):
+        sinks.land_raw(telemetry(session, sf_dir, events=part).withColumn("timestamp", F.col("timestamp").cast("timestamp")), settings.lake.raw)
+        if not repair.last_mark(spark, settings.lake):
+            repair.set_mark(spark, settings.lake, repair.landed_since(spark, settings.lake, None).agg(F.max("file_time")).first()[0])
+    repair.repair_windows(spark, settings)
+    users = repair.repaired_windows(spark, "active_users", settings.lake).drop("window_date")
+    return _naive(users, "window_start", "window_end")
+
+
 def _lake(spark: SparkSession, sf_dir: str, *reports: str) -> LakeSettings:
     """A new lake with the reports of the tables (all, or those named), whose roll-ups are extended in two steps, by days."""
     lake, events = LakeSettings(root=workspace(spark, "lake")), _full(spark, sf_dir)
@@ -586,6 +605,14 @@ def _careless(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_clocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices whose clock is lost, at its start, or far ahead, for some ``k``."""
+    k = F.col("k")
+    clock = F.when(k % 25 == 1, F.lit("1970-01-01T00:00:07")).when(k % 25 == 2, F.lit("9999-12-31T23:59:59")).cast("timestamp_ntz")
+    events = _careless(spark, sf_dir).withColumn("timestamp", F.when(k % 25 != 0, F.coalesce(clock, F.col("timestamp"))))
+    return observe.implausible_clocks(events)
+
+
 def dq_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map payloads of which some ``k`` lack a field or hold text that is no number."""
     k = F.col("k")
@@ -673,6 +700,7 @@ QUERIES: dict[str, Query] = {
     "sink_stream_parquet": _closed_windows("error_spikes"),
     "stream_active_users": _closed_windows("active_users"),
     "stream_feature_usage": _closed_windows("feature_usage"),
+    "repair_late_windows": repair_late_windows,
     "batch_layer": batch_layer,
     **{f"stored_{report}": _stored_report(report) for report in REPORT_TOTALS},
     "performance_from_sketches": performance_from_sketches,
@@ -743,6 +771,7 @@ QUERIES: dict[str, Query] = {
     "run_latency_summary": run_latency_summary,
     # quality and routing
     "dq_envelope": dq_envelope,
+    "dq_clocks": dq_clocks,
     "dq_payload": dq_payload,
     "dq_os_device": dq_os_device,
     "dq_event_mix": dq_event_mix,

@@ -76,6 +76,10 @@ class LakeSettings:
     def metrics(self) -> str:
         return f"{self.root}/processed/metrics"
 
+    @property
+    def repaired(self) -> str:
+        return f"{self.root}/processed/repaired"
+
     @property
     def historical(self) -> str:
         return f"{self.root}/historical"

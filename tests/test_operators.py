@@ -272,3 +272,22 @@ def test_latency_alerts_are_exclusive(spark):
     df = spark.createDataFrame([("a", 5000.0), ("b", 5001.0), ("c", 1.0), ("c", 9000.0)], "k string, ms double")
     got = {r.k: (r.mean_breach, r.p95_breach) for r in observe.latency_alerts(df, ["k"], F.col("ms")).collect()}
     assert got == {"b": (True, True), "c": (False, True)}
+
+
+def test_wrong_clocks_do_not_stretch_the_panels(spark, make_events):
+    """One device at the start of its clock and one far ahead: the panels have the windows of the others, the check has them."""
+    day = [dict(timestamp=f"2024-01-01T00:{m:02d}:30") for m in (0, 5)]
+    events = make_events(*day, dict(timestamp="1970-01-01T00:00:00"), dict(timestamp="9999-12-31T23:59:59"), dict(timestamp=None))
+    assert observe.event_rate(events).count() == 6
+    assert observe.throughput_status(events).count() == 6
+    assert observe.error_rate(events).count() == 2
+    assert dict(rows(observe.implausible_clocks(events))) == {"missing": 1, "early": 1, "ahead": 1}
+    assert observe.event_rate(make_events(dict(timestamp=None))).count() == 0
+
+
+def test_filled_windows_are_aligned_with_counted_ones(spark, make_events):
+    """Seven minutes don't divide a day; each window occurs once, and none is off the grid."""
+    events = make_events(*[dict(timestamp=t) for t in ("2024-01-01T23:50:00", "2024-01-02T00:20:00", "2024-01-04T12:00:00")])
+    got = rows(observe.event_rate(events, "7 minutes", 420).select("window_start", "event_count").orderBy("window_start"))
+    assert sum(n for _, n in got) == 3 and len({t for t, _ in got}) == len(got)
+    assert {(b[0] - a[0]).total_seconds() for a, b in zip(got, got[1:])} == {420.0}
