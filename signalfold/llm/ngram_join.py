@@ -7,12 +7,14 @@ Exact, in three steps, none of which emits the pairs of a group:
    than D segments, so two linked sets hold the very same n-grams in at least one segment. Texts meet on the
    hash of a segment's n-grams. A common passage makes no hot block, as a segment also holds the
    text's own n-grams.
-2. *Stars.* The texts of a block are dealt to the block's smallest text; a text goes to each such star once. A star
-   is split by salt into parts of bounded size.
+2. *Groups.* Texts that meet in some block, at one remove or more, are a group; a group of bounded size is one part, to which
+   each of its texts moves once. In a larger one the texts of a block are dealt to the block's smallest text, its star,
+   once for each such star, and stars are split by salt into parts of bounded size.
 3. *Tries.* In each part, the ordered sets lie in a trie (sorted sets with the length of their common
-   prefix). A set walks the trie with one partial overlap per level, so that a shared prefix is counted once,
-   and leaves a subtree when the overlap so far plus what can remain is too little. Sets already in the
-   same component aren't compared. What comes out is a spanning forest of the part.
+   prefix). A set walks the trie with one partial overlap per level, so that a shared prefix is counted once. Where the overlap
+   so far plus what can remain is too little, the subtree is left: the sets below it are not entered, as the bound is looked
+   at before any of their n-grams. Sets already in the same component aren't compared. What comes out is a
+   spanning forest of the part.
 
 Where a star was split, texts that did not end up in the star's component are compared once more with every
 part, so that no link is lost.
@@ -21,7 +23,7 @@ part, so that no link is lost.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -36,6 +38,8 @@ from signalfold.llm.grouped import group_runs
 from signalfold.llm.text import distinct, find_words, mix, shingle_sets, sliced, word_runs
 
 HELD_KEYS = 500_000
+KEY_BYTES = 5  # of a packed key; the part it is in tells more
+MOST_BITS = 1 << 28  # 32 MB; where more keys are shared, more rows are let through that no other has
 LEVEL = 1.5  # sizes of one level differ by this factor at most
 
 
@@ -145,9 +149,18 @@ def _sketches(rule: Jaccard, keys: bool):
     return run
 
 
-def _block_ends(rule: Jaccard):
-    """Rows (id, text): (key, lo, hi), each block key with its least and greatest node, added up over many texts at once, so
-    that a hot key is few rows before it is shuffled."""
+def _low(key: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(part, low bits) of keys: what is kept of them to find the shared ones."""
+    return (key >> np.uint64(8 * KEY_BYTES)) % np.uint64(width), key & np.uint64((1 << 8 * KEY_BYTES) - 1)
+
+
+def _slots(part: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return mix(low ^ (part << np.uint64(8 * KEY_BYTES))) >> np.uint64(1)
+
+
+def _packed_keys(rule: Jaccard, width: int):
+    """Rows (id, text): (part, keys), the block keys of many texts at once as packed bytes. A key of two nodes or more is there
+    twice, others once, so a hot key is no load."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = _sketches(rule, True)(batches)
@@ -160,9 +173,17 @@ def _block_ends(rule: Jaccard):
                 key, node = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("key", "node"))
                 order = np.lexsort((node, key))
                 key, node = key[order], node[order]
-                first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else order
-                last = np.append(first[1:], len(key)) - 1 if len(key) else order
-                yield pa.record_batch([pa.array(key[first]), pa.array(node[first]), pa.array(node[last])], names=["key", "lo", "hi"])
+                pair = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])) if len(key) else np.zeros(0, dtype=bool)
+                key = key[pair]  # once for each node
+                rank = np.arange(len(key)) - np.searchsorted(key, key)
+                part, low = _low(key[rank < 2].view(np.uint64), width)
+                order = np.argsort(part, kind="stable")
+                part, low = part[order], low[order]
+                bounds = np.searchsorted(part, np.arange(width + 1, dtype=np.uint64))
+                raw = low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+                some = np.flatnonzero(np.diff(bounds))
+                blobs = [raw[bounds[p] * KEY_BYTES : bounds[p + 1] * KEY_BYTES] for p in some.tolist()]
+                yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(blobs, pa.binary())], names=["part", "keys"])
                 held = []
             if batch is None:
                 return
@@ -170,6 +191,43 @@ def _block_ends(rule: Jaccard):
     return run
 
 
+def _shared_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (part, keys), sorted by part: the slot of every key that is there twice or more."""
+    for rows in group_runs(batches, 1):
+        part = np.uint64(rows.column("part")[0].as_py())
+        raw = np.frombuffer(b"".join(rows.column("keys").to_pylist()), dtype=np.uint8).reshape(-1, KEY_BYTES)
+        low = np.zeros((len(raw), 8), dtype=np.uint8)
+        low[:, :KEY_BYTES] = raw
+        low = np.sort(low.view("<u8").ravel())
+        twice = distinct(low[1:][low[1:] == low[:-1]])
+        yield pa.record_batch([pa.array(_slots(np.full(len(twice), part), twice).view(np.int64))], names=["slot"])
+
+
+def _bitmap(slots: DataFrame) -> np.ndarray:
+    """The slots as bits, sixteen to a slot, at most ``MOST_BITS``: all that the driver gets of them, and broadcasts."""
+    bits = min(MOST_BITS, 1 << max(20, int(16 * slots.count()).bit_length()))
+    bit = F.pmod("slot", F.lit(bits)) + 1
+    rows = slots.groupBy(F.bitmap_bucket_number(bit).alias("slice")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    for row in rows.toLocalIterator():
+        at = (row["slice"] - 1) * 4096
+        out[at : at + 4096] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)[: len(out) - at]
+    return out
+
+
+def _shared_keys(rule: Jaccard, width: int, bitmap) -> Callable:
+    """Rows (id, text): (key, node, n_shingles) of the block keys that others may have too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = bitmap.value
+        for rows in _sketches(rule, True)(batches):
+            slot = _slots(*_low(rows.column("key").to_numpy().view(np.uint64), width)) % np.uint64(8 * len(bits))
+            known = (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1
+            yield rows.filter(pa.array(known.astype(bool)))
+
+    return run
+
+
 class _Part:
     """The ordered sets of one part of a star, as a trie, and the forest of links found in it."""
 
@@ -226,6 +284,11 @@ class _Part:
             path = [walked[: depth + 1]]
             at, have = depth, int(walked[depth])
             must = int(needed[j])
+            if depth:  # the subtree below the shared prefix
+                left = size - int(np.searchsorted(mine, other[depth - 1], side="right"))
+                if have + min(left, len(other) - depth) < must:
+                    walked, last = walked[: depth + 1], j
+                    continue
             while at < len(other):
                 step = other[at : at + 128]
                 found = np.searchsorted(mine, step)
@@ -266,14 +329,32 @@ def _tries(rule: Jaccard):
     return run
 
 
+def _named_texts(rule: Jaccard):
+    """Rows (id, text): (node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = _sketches(rule, False)(iter([batch]))
+            for lo, rows in _offsets(named):
+                yield pa.record_batch([rows.column("node"), batch.column(1).slice(lo, rows.num_rows)], names=["node", "text"])
+
+    return run
+
+
+def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    lo = 0
+    for batch in batches:
+        yield lo, batch
+        lo += batch.num_rows
+
+
 def _compare(parts: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Jaccard) -> DataFrame:
     """Links (u, v) of nodes within each part; ``parts`` has (star, salt, node, probes), ``nodes`` an id of a text for each node."""
     placed = parts.join(nodes.select("node", "id"), "node")
-    near = maybe_in(texts, F.col("id"), placed, F.col("id")).where("_maybe")
-    # an id on several rows brings its different texts; the grouping is by the join's key, so texts move once
-    near = near.groupBy("id").agg(F.collect_set("text").alias("texts"))
-    full = placed.hint("merge").join(near, "id").select("star", "salt", "node", "probes", F.explode("texts").alias("text"))
-    full = full.select("star", "salt", "node", "text", "probes")
+    near = maybe_in(texts, F.col("id"), placed, F.col("id")).where("_maybe").select("id", "text")
+    # one text for each node, whatever its copies; the grouping is by the join's key, so texts move once
+    near = near.mapInArrow(_named_texts(rule), "node long, text string").groupBy("node").agg(F.first("text").alias("text"))
+    full = parts.hint("merge").join(near, "node").select("star", "salt", "node", "text", "probes")
     dealt = full.repartition("star", "salt").sortWithinPartitions("star", "salt")
     return dealt.mapInArrow(_tries(rule), "u long, v long")
 
@@ -297,21 +378,35 @@ def ngram_jaccard_join(
     filled = sketches.where("n_shingles > 0 and id is not null")
     nodes = stored(filled.groupBy("node").agg(F.min("id").alias("id")), "nodes")
 
-    keyed = named.mapInArrow(_sketches(rule, True), "key long, node long, n_shingles long")
-    # the keys are added up before the shuffle in Python, in portions, as a map of a task's keys would take most of the heap
+    # copies of a set have its keys; one of them says them
+    speakers = maybe_in(named, F.col("id"), nodes, F.col("id")).where("_maybe").select("id", "text")
     width = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ends = named.mapInArrow(_block_ends(rule), "key long, lo long, hi long").repartition(width, "key")
-    blocks = ends.groupBy("key").agg(F.min("lo").alias("star"), F.max("hi").alias("last")).where("star < last").select("key", "star")
-    blocks = stored(blocks, "blocks")
-    shared = maybe_in(keyed, F.col("key"), blocks, F.col("key")).where("_maybe").select("key", "node", "n_shingles")
-    spokes = stored(shared.join(blocks, "key").select("star", "node", "n_shingles").distinct(), "stars")
-    loads = spokes.groupBy("star").agg(F.sum("n_shingles").alias("load"), F.count("*").alias("texts"))
+    packed = speakers.mapInArrow(_packed_keys(rule, width), "part int, keys binary").repartition(width, "part").sortWithinPartitions("part")
+    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(stored(packed.mapInArrow(_shared_slots, "slot long"), "slots")))
+    shared = stored(speakers.mapInArrow(_shared_keys(rule, width, bitmap), "key long, node long, n_shingles long"), "keys")
+    blocks = shared.groupBy("key").agg(F.min("node").alias("star"), F.max("node").alias("last")).where("star < last").select("key", "star")
+    spokes = stored(shared.join(stored(blocks, "blocks"), "key").select("star", "node", "n_shingles").distinct(), "stars")
+    bitmap.unpersist()
+
+    # groups of texts that meet in blocks
+    met = components(spokes.select(F.col("star").alias("u"), F.col("node").alias("v")))
+    group = spokes.join(met, "node", "left").select("star", "node", "n_shingles", F.coalesce("component", "node").alias("group"))
+    group = stored(group, "groups")
+    members = group.select("group", "node", "n_shingles").distinct()
+    loads = members.groupBy("group").agg(F.sum("n_shingles").alias("load"), F.count("*").alias("texts"))
+    fits = (F.col("load") <= part_shingles) & (F.col("texts") <= part_shingles // 500)
+    fitting = stored(loads.select("group", fits.alias("fits")), "fitting")
+    whole = members.join(fitting.where("fits"), "group").select(F.col("group").alias("star"), F.lit(0).alias("salt"), "node", F.lit(True).alias("probes"))
+
+    # stars of the others
+    large = group.join(fitting.where("not fits").select("group"), "group").select("star", "node", "n_shingles")
+    loads = large.groupBy("star").agg(F.sum("n_shingles").alias("load"), F.count("*").alias("texts"))
     salts = F.greatest(F.ceil(F.col("load") / part_shingles), F.ceil(F.col("texts") / (part_shingles // 500))).cast("int")
-    sized = spokes.join(loads.select("star", salts.alias("salts")), "star")
+    sized = large.join(stored(loads.select("star", salts.alias("salts")), "loads"), "star")
     dealt = stored(sized.select("star", F.pmod(F.xxhash64("node", "star"), "salts").cast("int").alias("salt"), "node", "salts"), "dealt")
     stars = dealt.where("node = star").select("star", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "node")
     parts = stars.union(dealt.where("node <> star").select("star", "salt", "node")).withColumn("probes", F.lit(True))
-    links = stored(_compare(parts, nodes, named, rule), "found")
+    links = stored(_compare(stored(parts.union(whole.select(parts.columns)), "parts"), nodes, named, rule), "found")
 
     if not dealt.where("salts > 1").isEmpty():
         links = stored(links.union(_across(dealt.where("salts > 1"), links, nodes, named, rule, part_shingles)), "found")
@@ -321,7 +416,7 @@ def ngram_jaccard_join(
     chained = filled.join(several, "id").where("node <> u").select("node", F.col("u").alias("v")).select(F.col("node").alias("u"), "v")
     joined = components(links.union(chained))
     labels = nodes.join(joined, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
-    least = labels.groupBy("component").agg(F.min("id").alias("component_id"))
+    least = stored(labels.groupBy("component").agg(F.min("id").alias("component_id")), "least")
     found = stored(labels.join(least, "component").select("node", "component_id"), "components")
     told = sketches.join(found, "node", "left")
     own = F.when(F.col("id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")))
@@ -337,9 +432,10 @@ def _across(split: DataFrame, found: DataFrame, nodes: DataFrame, texts: DataFra
     joined = components(found).withColumnRenamed("node", "named")
     label = F.coalesce("component", "node").alias("label")
     labelled = split.join(joined, F.col("node") == F.col("named"), "left").select("star", "salt", "node", "salts", label)
-    hubs = labelled.where("node = star").select("star", F.col("label").alias("hub"))
+    # sides that are aggregated or cut are written first: Spark splits a hot key of a join only where it reads both as they are
+    hubs = stored(labelled.where("node = star").select("star", F.col("label").alias("hub")), "hubs")
     rest = labelled.join(hubs, "star").where("label <> hub").select("star", "node", "salts")
-    portions = rest.groupBy("star").agg(F.ceil(F.count("*") / (part_shingles // 500)).cast("int").alias("portions"))
+    portions = stored(rest.groupBy("star").agg(F.ceil(F.count("*") / (part_shingles // 500)).cast("int").alias("portions")), "portions")
     rest = stored(rest.join(portions, "star"), "rest")
     slot = (F.col("salt") * F.col("portions") + F.col("portion")).cast("int").alias("salt")
     sent = (

@@ -9,6 +9,7 @@ from llm import brute
 from pyspark.sql import functions as F
 
 from signalfold.llm import ngram_join, simhash
+from signalfold.llm.components import stored
 from signalfold.llm.filters import maybe_in, without
 from signalfold.llm.ngram_join import Jaccard, block_keys, ngram_jaccard_join
 from signalfold.llm.substring_dedup import substring_dedup
@@ -222,7 +223,7 @@ def test_near_counts_find_edited_texts(spark):
     """The share of real near copies that is found, against brute force: all pairs are at 5-word Jaccard 0.8 or a little above."""
     pairs = edited_pairs()
     rows = [(100 * k, " ".join(a)) for k, (a, _) in enumerate(pairs)] + [(100 * k + 1, " ".join(b)) for k, (_, b) in enumerate(pairs)]
-    prints = simhash.fingerprint_documents(table(spark, rows)).select("doc_id", "fingerprint").localCheckpoint()
+    prints = stored(simhash.fingerprint_documents(table(spark, rows)).select("doc_id", "fingerprint"), "prints")
     found = {r.doc_id: r.n_near for r in simhash.with_near_counts(prints, F.col("doc_id") % 100 == 0).collect()}
     assert all(found[i] is None for i, _ in rows if i % 100)
     assert np.mean([found[100 * k] == 1 for k in range(len(pairs))]) >= 0.9
