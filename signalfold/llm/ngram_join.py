@@ -2,13 +2,13 @@
 
 Exact, in three steps, none of which emits the pairs of a group:
 
-1. *Blocks.* A text's n-grams are hashed and sorted, which is the global order. Two sets of sizes a and b
-   with similarity t differ in at most ``D = (1 - t) / (1 + t) * (a + b)`` n-grams. The hash range is cut into more
-   than D segments, so two linked sets hold the very same n-grams in at least one segment. Texts meet on the
-   hash of a segment's n-grams. A common passage makes no hot block, as a segment also holds the
-   text's own n-grams.
-2. *Groups.* Texts that meet in some block, at one remove or more, are a group; a group of bounded size is one part, to which
-   each of its texts moves once. In a larger one the texts of a block are dealt to the block's smallest text, its star,
+1. *Prefixes.* N-grams are in one global order: by how many sets have them, roughly, then by hash. Two linked sets share at
+   least the threshold's part of either, so the first n-gram that they share is among the first ``size - least overlap + 1``
+   of both, the prefixes. Sets meet on these n-grams; those that one set only has are left out, and a set whose
+   prefix holds no other can have no partner. A common passage is late in the order, and brings no sets together that
+   share little else.
+2. *Groups.* Texts that meet, at one remove or more, are a group; a group of bounded size is one part, to which
+   each of its texts moves once. In a larger one the texts of an n-gram are dealt to the n-gram's smallest text, its star,
    once for each such star, and stars are split by salt into parts of bounded size.
 3. *Tries.* In each part, the ordered sets lie in a trie (sorted sets with the length of their common
    prefix). A set walks the trie with one partial overlap per level, so that a shared prefix is counted once. Where the overlap
@@ -22,25 +22,24 @@ part, so that no link is lost.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalfold.llm.components import components, stored
 from signalfold.llm.filters import maybe_in
 from signalfold.llm.grouped import group_runs
-from signalfold.llm.text import distinct, find_words, mix, shingle_sets, sliced, word_runs
+from signalfold.llm.text import Words, find_words, mix, shingle_sets, sliced, word_runs
 
-HELD_KEYS = 500_000
-KEY_BYTES = 5  # of a packed key; the part it is in tells more
-MOST_BITS = 1 << 28  # 32 MB; where more keys are shared, more rows are let through that no other has
-LEVEL = 1.5  # sizes of one level differ by this factor at most
+HELD_KEYS = 1_000_000
+KEY_BYTES = 4  # of a packed n-gram; the part it is in tells more
+COMMON = (2, 8, 64)  # sets that have an n-gram of each class of the order, at least
+MOST_BITS = 1 << 27  # 16 MB a class; where more n-grams are shared, more are taken for shared ones
 
 
 @dataclass(frozen=True)
@@ -52,96 +51,71 @@ class Jaccard:
     den: int = 100
 
     def __post_init__(self):
-        if not 0 < self.num <= self.den or self.den > LEVEL * self.num or self.n < 1:
-            raise ValueError("the threshold must be in [2/3, 1] and n at least 1")
-
-    def differ(self, sizes: int) -> int:
-        """The most n-grams that two linked sets, together of ``sizes``, don't share."""
-        return (self.den - self.num) * sizes // (self.den + self.num)
+        if not 0 < self.num <= self.den or self.n < 1:
+            raise ValueError("the threshold must be in (0, 1] and n at least 1")
 
     def needed(self, a: int, b: int) -> int:
         """The least overlap of two linked sets of these sizes."""
         return -(-self.num * (a + b) // (self.den + self.num))
 
-    def longest(self, size: int) -> int:
-        return size * self.den // self.num
+    def prefix(self, size: int) -> int:
+        """How many of a set's first n-grams hold the first that it shares with a linked set."""
+        return size - -(-self.num * size // self.den) + 1 if size else 0
 
 
-@lru_cache(maxsize=16)
-def _spare(rule: Jaccard) -> tuple[int, float]:
-    """(weak, share): a segment of fewer than ``weak`` n-grams says little, and ``share`` times the differences is how many more
-    segments there are for it. Segments hold at least so many n-grams on average that single ones can count as weak
-    too, or else only empty ones do. The share is the least that nearly every set can do with; results don't depend on it.
-    """
-    least = (rule.den + rule.num) / (2 * LEVEL * max(rule.den - rule.num, 1e-9))
-    weak = 2 if least >= 5 else 1
-    for share in (0.05, 0.1, 0.17, 0.25, 0.4, 0.6, 1.0):
-        held = least / (1 + share)
-        chance = math.exp(-held) * (1 if weak == 1 else 1 + held)
-        if 1.3 * chance <= share / (1 + share):
-            return weak, share
-    return weak, 1.0
-
-
-def _level(size: int) -> int:
-    """The level of a set size: its lower end is at least ``LEVEL ** level``."""
-    level = int(np.log(size) / np.log(LEVEL))
-    while LEVEL ** (level + 1) <= size:
-        level += 1
-    while LEVEL**level > size:
-        level -= 1
-    return level
-
-
-def block_keys(ordered: np.ndarray, rule: Jaccard) -> np.ndarray:
-    """The block keys of one ordered set; two different linked sets have one in common.
-
-    A set is entered in its own level of sizes and in that of its largest possible partner. With D the most
-    differences within a level, there are ``D + 1 + spare`` segments, so at least ``1 + spare`` are equal. Sets with
-    at most ``spare`` weak segments leave those out: one equal segment is still not weak. Sets with more enter
-    all; if all that such a set shares are weak segments, they are over ``spare``, and its partner enters all too.
-    """
-    size, keys = len(ordered), []
-    if not size:
-        return np.zeros(0, dtype=np.uint64)
-    for level in {_level(size), _level(max(size, rule.longest(size)))}:
-        top = int(np.ceil(LEVEL ** (level + 1)))
-        # partners in this level are below its top; one of the two may be in the level below
-        apart = rule.differ(2 * top)
-        if not apart:
-            continue  # only equal sets are linked, and those are one class
-        weakest, share = _spare(rule)
-        spare = 2 + int(apart * share)
-        cells = apart + 1 + spare
-        cell = ((ordered >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)
-        starts = np.flatnonzero(np.diff(cell, prepend=np.uint64(cells)))
-        held = np.diff(np.append(starts, size))
-        sums = np.add.reduceat(mix(ordered), starts)
-        key = mix(sums ^ mix(cell[starts] + np.uint64(1) + np.uint64(level << 40)))
-        weak = int((held < weakest).sum()) + cells - len(starts)
-        if weak <= spare:
-            keys.append(key[held >= weakest])
-        else:
-            empty = np.setdiff1d(np.arange(cells, dtype=np.uint64), cell[starts])
-            keys += [key, mix(mix(empty + np.uint64(1) + np.uint64(level << 40)))]
-    return distinct(np.concatenate(keys)) if keys else np.zeros(0, dtype=np.uint64)
-
-
-def _sketches(rule: Jaccard, keys: bool):
-    """Rows (id, text): (id, n_shingles, node) with the hash of the whole set, or, for each block key, (key, node, n_shingles)."""
+class Order:
+    """The global order of n-grams: classes of how common they are, from bitmaps, then hashes."""
+
+    def __init__(self, bitmaps: list[np.ndarray], width: int):
+        self.bitmaps, self.width = bitmaps, width
+
+    def classes(self, grams: np.ndarray) -> np.ndarray:
+        """0 for n-grams that one set only has; some of those may be taken for shared ones."""
+        slot = _slots(*_low(grams, self.width))
+        found = np.zeros(len(grams), dtype=np.int8)
+        for bits in self.bitmaps:
+            at = slot % np.uint64(8 * len(bits))
+            found += ((bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(np.int8)
+        return found
+
+    def prefix(self, ordered: np.ndarray, rule: Jaccard) -> np.ndarray:
+        """The n-grams of a set's prefix that others have too; ``ordered`` are all, by hash."""
+        classes = self.classes(ordered)
+        most = rule.prefix(len(ordered))
+        alone = int((classes == 0).sum())
+        if alone >= most:
+            return ordered[:0]
+        return ordered[np.argsort(classes, kind="stable")[alone:most]]
+
+
+def _sets(words: Words, rule: Jaccard) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The sets of a run of texts, their sizes, and a hash of each whole set."""
+    sets = shingle_sets(words, rule.n)
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    nodes = np.array([np.add.reduce(mix(s * np.uint64(0x9E3779B97F4A7C15))) for s in sets], dtype=np.uint64)
+    return sets, sizes, mix(nodes + sizes.astype(np.uint64)).view(np.int64)
+
+
+def _sketches(rule: Jaccard):
+    """Rows (id, text): (id, n_shingles, node) with the hash of the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
             for row, words in word_runs(batch.column(1), lower=True):
-                sets = shingle_sets(words, rule.n)
-                sizes = np.array([len(s) for s in sets], dtype=np.int64)
-                nodes = np.array([np.add.reduce(mix(s * np.uint64(0x9E3779B97F4A7C15))) for s in sets], dtype=np.uint64)
-                nodes = mix(nodes + sizes.astype(np.uint64)).view(np.int64)
-                if not keys:
-                    yield pa.record_batch([ids.slice(row, len(sets)), pa.array(sizes), pa.array(nodes)], names=["id", "n_shingles", "node"])
-                    continue
-                found = [block_keys(s, rule) for s in sets]
+                sets, sizes, nodes = _sets(words, rule)
+                yield pa.record_batch([batch.column(0).slice(row, len(sets)), pa.array(sizes), pa.array(nodes)], names=["id", "n_shingles", "node"])
+
+    return run
+
+
+def _prefixes(rule: Jaccard, order: Broadcast):
+    """Rows (id, text): (key, node, n_shingles) for each n-gram of a prefix that others have too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, words in word_runs(batch.column(1), lower=True):
+                sets, sizes, nodes = _sets(words, rule)
+                found = [order.value.prefix(s, rule) for s in sets]
                 held = [len(f) for f in found]
                 key = np.concatenate([np.zeros(0, dtype=np.uint64), *found]).view(np.int64)
                 yield pa.record_batch([pa.array(key), pa.array(np.repeat(nodes, held)), pa.array(np.repeat(sizes, held))], names=["key", "node", "n_shingles"])
@@ -158,74 +132,71 @@ def _slots(part: np.ndarray, low: np.ndarray) -> np.ndarray:
     return mix(low ^ (part << np.uint64(8 * KEY_BYTES))) >> np.uint64(1)
 
 
-def _packed_keys(rule: Jaccard, width: int):
-    """Rows (id, text): (part, keys), the block keys of many texts at once as packed bytes. A key of two nodes or more is there
-    twice, others once, so a hot key is no load."""
+def _packed(rule: Jaccard, width: int):
+    """Rows (id, text): (part, grams, counts), the n-grams of many sets at once, each once with its count, as packed bytes. So a
+    common n-gram is no load."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = _sketches(rule, True)(batches)
-        held: list[pa.RecordBatch] = []
-        while True:
-            batch = next(rows, None)
-            if batch is not None:
-                held.append(batch)
-            if held and (batch is None or sum(b.num_rows for b in held) > HELD_KEYS):
-                key, node = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("key", "node"))
-                order = np.lexsort((node, key))
-                key, node = key[order], node[order]
-                pair = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])) if len(key) else np.zeros(0, dtype=bool)
-                key = key[pair]  # once for each node
-                rank = np.arange(len(key)) - np.searchsorted(key, key)
-                part, low = _low(key[rank < 2].view(np.uint64), width)
-                order = np.argsort(part, kind="stable")
-                part, low = part[order], low[order]
-                bounds = np.searchsorted(part, np.arange(width + 1, dtype=np.uint64))
-                raw = low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
-                some = np.flatnonzero(np.diff(bounds))
-                blobs = [raw[bounds[p] * KEY_BYTES : bounds[p + 1] * KEY_BYTES] for p in some.tolist()]
-                yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(blobs, pa.binary())], names=["part", "keys"])
-                held = []
-            if batch is None:
-                return
+        held: list[np.ndarray] = []
+
+        def table() -> pa.RecordBatch:
+            part, low = _low(np.concatenate([np.zeros(0, dtype=np.uint64), *held]), width)
+            held.clear()
+            both, counts = np.unique((part << np.uint64(8 * KEY_BYTES)) | low, return_counts=True)
+            bounds = np.searchsorted(both, np.arange(width + 1, dtype=np.uint64) << np.uint64(8 * KEY_BYTES))
+            grams = both.astype("<u4").tobytes()
+            capped = np.minimum(counts, 255).astype(np.uint8).tobytes()
+            some = np.flatnonzero(np.diff(bounds)).tolist()
+            spans = [(int(bounds[p]), int(bounds[p + 1])) for p in some]
+            return pa.record_batch(
+                [pa.array(some, pa.int32()), pa.array([grams[KEY_BYTES * a : KEY_BYTES * b] for a, b in spans], pa.binary()), pa.array([capped[a:b] for a, b in spans], pa.binary())],
+                names=["part", "grams", "counts"],
+            )
+
+        for batch in batches:
+            for _, words in word_runs(batch.column(1), lower=True):
+                held += shingle_sets(words, rule.n)
+                if sum(map(len, held)) > HELD_KEYS:
+                    yield table()
+        yield table()
 
     return run
 
 
-def _shared_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (part, keys), sorted by part: the slot of every key that is there twice or more."""
+def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (part, grams, counts), sorted by part: (slot, class) of every n-gram that several sets have."""
     for rows in group_runs(batches, 1):
         part = np.uint64(rows.column("part")[0].as_py())
-        raw = np.frombuffer(b"".join(rows.column("keys").to_pylist()), dtype=np.uint8).reshape(-1, KEY_BYTES)
-        low = np.zeros((len(raw), 8), dtype=np.uint8)
-        low[:, :KEY_BYTES] = raw
-        low = np.sort(low.view("<u8").ravel())
-        twice = distinct(low[1:][low[1:] == low[:-1]])
-        yield pa.record_batch([pa.array(_slots(np.full(len(twice), part), twice).view(np.int64))], names=["slot"])
+        low = np.frombuffer(b"".join(rows.column("grams").to_pylist()), dtype="<u4")
+        counts = np.frombuffer(b"".join(rows.column("counts").to_pylist()), dtype=np.uint8)
+        order = np.argsort(low, kind="stable")
+        low, counts = low[order], counts[order].astype(np.int64)
+        first = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+        total = np.add.reduceat(counts, first)
+        shared = total >= COMMON[0]
+        slot = _slots(np.full(int(shared.sum()), part), low[first[shared]].astype(np.uint64))
+        kind = np.searchsorted(COMMON, total[shared], side="right")
+        yield pa.record_batch([pa.array(slot.view(np.int64)), pa.array(kind.astype(np.int32))], names=["slot", "class"])
 
 
 def _bitmap(slots: DataFrame) -> np.ndarray:
     """The slots as bits, sixteen to a slot, at most ``MOST_BITS``: all that the driver gets of them, and broadcasts."""
-    bits = min(MOST_BITS, 1 << max(20, int(16 * slots.count()).bit_length()))
+    bits = min(MOST_BITS, 1 << max(20, (16 * slots.count()).bit_length()))
     bit = F.pmod("slot", F.lit(bits)) + 1
     rows = slots.groupBy(F.bitmap_bucket_number(bit).alias("slice")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
     out = np.zeros(bits // 8, dtype=np.uint8)
     for row in rows.toLocalIterator():
         at = (row["slice"] - 1) * 4096
-        out[at : at + 4096] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)[: len(out) - at]
+        out[at : at + 4096] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
     return out
 
 
-def _shared_keys(rule: Jaccard, width: int, bitmap) -> Callable:
-    """Rows (id, text): (key, node, n_shingles) of the block keys that others may have too."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value
-        for rows in _sketches(rule, True)(batches):
-            slot = _slots(*_low(rows.column("key").to_numpy().view(np.uint64), width)) % np.uint64(8 * len(bits))
-            known = (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1
-            yield rows.filter(pa.array(known.astype(bool)))
-
-    return run
+def gram_order(texts: DataFrame, rule: Jaccard) -> Order:
+    """The order of the n-grams of ``texts`` (id, text)."""
+    width = 4 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = texts.mapInArrow(_packed(rule, width), "part int, grams binary, counts binary").repartition(width, "part").sortWithinPartitions("part")
+    common = stored(packed.mapInArrow(_common, "slot long, class int"), "common")
+    return Order([_bitmap(common.where(F.col("class") > k)) for k in range(len(COMMON))], width)
 
 
 class _Part:
@@ -334,20 +305,13 @@ def _named_texts(rule: Jaccard):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            named = _sketches(rule, False)(iter([batch]))
-            for lo, rows in _offsets(named):
-                yield pa.record_batch([rows.column("node"), batch.column(1).slice(lo, rows.num_rows)], names=["node", "text"])
+            for row, words in word_runs(batch.column(1), lower=True):
+                nodes = _sets(words, rule)[2]
+                yield pa.record_batch([pa.array(nodes), batch.column(1).slice(row, len(nodes))], names=["node", "text"])
 
     return run
 
 
-def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
-    lo = 0
-    for batch in batches:
-        yield lo, batch
-        lo += batch.num_rows
-
-
 def _compare(parts: DataFrame, nodes: DataFrame, texts: DataFrame, rule: Jaccard) -> DataFrame:
     """Links (u, v) of nodes within each part; ``parts`` has (star, salt, node, probes), ``nodes`` an id of a text for each node."""
     placed = parts.join(nodes.select("node", "id"), "node")
@@ -374,21 +338,19 @@ def ngram_jaccard_join(
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     named = texts.where("id is not null")
-    sketches = stored(texts.mapInArrow(_sketches(rule, False), "id long, n_shingles long, node long"), "sketches")
+    sketches = stored(texts.mapInArrow(_sketches(rule), "id long, n_shingles long, node long"), "sketches")
     filled = sketches.where("n_shingles > 0 and id is not null")
     nodes = stored(filled.groupBy("node").agg(F.min("id").alias("id")), "nodes")
 
-    # copies of a set have its keys; one of them says them
+    # copies of a set have its n-grams; one of them says them
     speakers = maybe_in(named, F.col("id"), nodes, F.col("id")).where("_maybe").select("id", "text")
-    width = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = speakers.mapInArrow(_packed_keys(rule, width), "part int, keys binary").repartition(width, "part").sortWithinPartitions("part")
-    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(stored(packed.mapInArrow(_shared_slots, "slot long"), "slots")))
-    shared = stored(speakers.mapInArrow(_shared_keys(rule, width, bitmap), "key long, node long, n_shingles long"), "keys")
-    blocks = shared.groupBy("key").agg(F.min("node").alias("star"), F.max("node").alias("last")).where("star < last").select("key", "star")
-    spokes = stored(shared.join(stored(blocks, "blocks"), "key").select("star", "node", "n_shingles").distinct(), "stars")
-    bitmap.unpersist()
-
-    # groups of texts that meet in blocks
+    order = docs.sparkSession.sparkContext.broadcast(gram_order(speakers, rule))
+    shared = stored(speakers.mapInArrow(_prefixes(rule, order), "key long, node long, n_shingles long"), "prefixes")
+    meets = shared.groupBy("key").agg(F.min("node").alias("star"), F.max("node").alias("last")).where("star < last").select("key", "star")
+    spokes = stored(shared.join(stored(meets, "meets"), "key").select("star", "node", "n_shingles").distinct(), "stars")
+    order.unpersist()
+
+    # groups of texts that meet
     met = components(spokes.select(F.col("star").alias("u"), F.col("node").alias("v")))
     group = spokes.join(met, "node", "left").select("star", "node", "n_shingles", F.coalesce("component", "node").alias("group"))
     group = stored(group, "groups")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from signalfold.llm import ngram_join, simhash
 from signalfold.llm.components import stored
 from signalfold.llm.filters import maybe_in, without
-from signalfold.llm.ngram_join import Jaccard, block_keys, ngram_jaccard_join
+from signalfold.llm.ngram_join import Jaccard, Order, ngram_jaccard_join
 from signalfold.llm.substring_dedup import substring_dedup
 
 SCHEMA = "doc_id long, text string, node string, star int, h string"  # the last three clash with inner names
@@ -75,21 +75,40 @@ def test_join_of_an_empty_table(spark):
 
 def test_thresholds_are_checked():
     with pytest.raises(ValueError):
-        Jaccard(3, 50, 100)
+        Jaccard(3, 0, 100)
 
 
-@pytest.mark.parametrize("rule", [Jaccard(3, 90, 100), Jaccard(5, 80, 100), Jaccard(5, 67, 100)])
-def test_linked_sets_share_a_block(rule):
+@pytest.mark.parametrize("rule", [Jaccard(3, 90, 100), Jaccard(5, 80, 100), Jaccard(2, 70, 100)])
+def test_prefixes_of_linked_sets_meet(rule):
+    """Whatever the classes are taken to be, also with nearly full bitmaps: the first shared n-gram is in both prefixes."""
     rng = np.random.default_rng(rule.num)
-    for size in [1, 2, 5, 9, 10, 19, 20, 21, 40, 77, 150, 333, 800]:
-        for _ in range(30):
+    for fill in (0.02, 0.5, 0.98):
+        # a bit for every n-gram is what makes it a shared one; the classes above are random
+        every = np.full(1 << 17, 255, dtype=np.uint8)
+        some = np.packbits(rng.random(1 << 20) < fill)
+        order = Order([every, some, some & np.packbits(rng.random(1 << 20) < 0.5)], 64)
+        met = 0
+        for size in (1, 2, 3, 5, 8, 20, 60, 300, 2000) * 5:
             a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
-            gone = rng.integers(0, max(1, rule.differ(2 * len(a)) // 2 + 1))
-            more = rng.integers(0, max(1, rule.differ(2 * len(a)) // 2 + 1))
+            gone, more = (rng.integers(0, max(1, (rule.den - rule.num) * size // rule.den + 1)) for _ in range(2))
             b = np.unique(np.concatenate([rng.permutation(a)[gone:], rng.integers(0, 2**63, more, dtype=np.uint64)]))
             same = len(np.intersect1d(a, b))
-            if len(b) and rule.den * same >= rule.num * (len(a) + len(b) - same) and not np.array_equal(a, b):
-                assert len(np.intersect1d(block_keys(a, rule), block_keys(b, rule)))
+            if len(b) and rule.den * same >= rule.num * (len(a) + len(b) - same):
+                met += 1
+                assert len(np.intersect1d(order.prefix(a, rule), order.prefix(b, rule)))
+        assert met > 5
+
+
+def test_texts_that_share_a_passage_do_not_meet(spark):
+    """Half of each text is one common passage; the prefixes are the texts' own n-grams, which no other has."""
+    rng = random.Random(9)
+    passage = " ".join(f"p{k}" for k in range(60))
+    docs = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) + " " + passage) for k in range(50)]
+    docs.append((50, docs[7][1] + " more"))
+    rule, named = Jaccard(5, 80, 100), table(spark, docs).select(F.col("doc_id").alias("id"), "text")
+    order = spark.sparkContext.broadcast(ngram_join.gram_order(named, rule))
+    said = named.mapInArrow(ngram_join._prefixes(rule, order), "key long, node long, n_shingles long")
+    assert said.select("node").distinct().count() == 2
 
 
 def test_trie_counts_each_overlap():
