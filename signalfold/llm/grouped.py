@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from signalfold.llm.text import release
+
 
 def group_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """One table for each run of rows with equal values in the first ``keys`` columns (none of them null).
@@ -33,3 +35,5 @@ def group_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Tabl
             held.append(batch.slice(lo, hi - lo))
     if held:
         yield pa.Table.from_batches(held)
+    held = []
+    release()

@@ -231,16 +231,13 @@ def find_repeats(texts: DataFrame, window: int, gram: int, tree_suffixes: int) -
         "outline",
     )
     long = outline.where(F.col("n_words") >= window)
-    firsts = long.groupBy("sequence").agg(F.min("id").alias("first"))
+    # what is aggregated is written: Spark splits a hot key of a join only where neither side is an aggregate by that key
+    firsts = stored(long.groupBy("sequence").agg(F.min("id").alias("first")), "firsts")
     whole = stored(long.select("id", "h", "sequence").join(firsts, "sequence").where("id > first").select("id", "h").distinct(), "whole")
     heads = long.join(whole, ["id", "h"], "left_anti")
     runs = heads.select("id", "h", F.explode(F.arrays_zip("prefix", "start", "windows")).alias("r")).select("id", "h", "r.*")
-    shared = (
-        runs.groupBy("prefix")
-        .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.sum("windows").alias("load"))
-        .where("lo < hi")
-        .select("prefix", (F.col("load") > tree_suffixes).alias("hot"))
-    )
+    shared = runs.groupBy("prefix").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.sum("windows").alias("load"))
+    shared = stored(shared.where("lo < hi").select("prefix", (F.col("load") > tree_suffixes).alias("hot")), "shared")
     wanted = stored(
         runs.join(shared, "prefix").groupBy("id", "h", "hot").agg(F.collect_list(F.struct("prefix", "start", "windows")).alias("runs")), "wanted"
     )

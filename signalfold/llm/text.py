@@ -6,6 +6,7 @@ then mixed), so two different words are taken as equal with a chance of about 2*
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,6 +16,21 @@ import pyarrow as pa
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 18  # the arrays made of a slice take some fifty times as much memory
 
+# The C library keeps freed memory, and more and larger pieces of it as arrays come and go; workers live long and share an
+# executor's memory. Where it is glibc, arrays of 1 MB and more are given back as they are freed, the rest by release().
+_LIBC = ctypes.CDLL(None)
+_TRIM = getattr(_LIBC, "malloc_trim", None)
+if _TRIM:
+    _LIBC.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+
+
+def release() -> None:
+    """Give memory that is no longer used back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -105,7 +121,7 @@ def sliced(column: pa.Array | pa.ChunkedArray, most: int = SLICE_BYTES) -> Itera
         stop = min(max(stop, row + 1), len(column))
         yield row, data[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row]
         row = stop
-    pa.default_memory_pool().release_unused()
+    release()
 
 
 def word_runs(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> Iterator[tuple[int, Words]]:
