@@ -17,7 +17,7 @@ from signalfold.llm.langid import UNKNOWN, language_column, learn_profiles
 from signalfold.llm.mixing import mixed_documents
 from signalfold.llm.ngram_join import Jaccard, ngram_jaccard_join
 from signalfold.llm.packing import pack_documents
-from signalfold.llm.ship import ship
+from signalfold.llm.ship import ship, text_batches
 from signalfold.llm.substring_dedup import substring_dedup
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +30,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     document with a letter stays.
     Each row is judged by its own text.
     """
+    text_batches(spark)
     profiles = learn_profiles(docs)
     if not profiles.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
@@ -43,6 +44,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without words are copies of nothing and stay, as do those without an id. Of rows that repeat an id,
     all stay or none.
     """
+    text_batches(spark)
     groups = ngram_jaccard_join(docs, Jaccard(n=5, num=80, den=100))
     copies = groups.where("component_id <> doc_id").select("doc_id").distinct()
     return without(docs, "doc_id", copies)
@@ -53,9 +55,13 @@ def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     A document that had words and has none left goes. n_chars follows the text.
     """
-    told = substring_dedup(docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text"), row_col="_row")
+    text_batches(spark)
+    # the text is moved once, beside the other columns
+    rest = [F.col(c) for c in docs.columns if c != "text"]
+    row = F.struct(*rest, F.col("text").isNull().alias("_null")).alias("_row")
+    told = substring_dedup(docs.select(row, "doc_id", "text"), row_col="_row")
     changed = F.col("n_removed") > 0
-    new = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col("_row.text"))}
+    new = {"text": F.when(~F.col("_row._null"), F.col("kept_text"))}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(changed, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
     left = told.where(~changed | (F.col("n_removed") < F.col("n_words")))
@@ -65,6 +71,7 @@ def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources by weight: a document the mix takes twice is there twice, one that it takes in part has that
     part's words, and one that it leaves out, or without words, is gone. n_chars follows the text."""
+    text_batches(spark)
     mixed = mixed_documents(docs)
     if "n_chars" not in docs.columns:
         return mixed
@@ -73,6 +80,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences of 2048; every row is a document, null texts are empty ones."""
+    text_batches(spark)
     return pack_documents(docs, TOKENIZER)
 
 
