@@ -34,7 +34,7 @@ def con():
     import duckdb
 
     con = duckdb.connect()
-    for name in ("documents", "conversations", "labels"):
+    for name in ("documents", "conversations", "labels", "benchmark"):
         con.execute(f"create view {name} as select * from '{SF_DIR}/{name}.parquet'")
     return con
 
