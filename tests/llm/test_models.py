@@ -69,7 +69,7 @@ def test_registered_queries():
     import __spark_entry__ as entry
 
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
 
 
 # --- language ID ---------------------------------------------------------------
