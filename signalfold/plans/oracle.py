@@ -236,6 +236,24 @@ ORACLE: dict[str, str] = {
         "select event_id, event_type, event_time, region, session_id, duration_ms, is_fatal, metric_value, "
         "true as stable from telemetry"
     ),
+    "open_payload_roundtrip": """select cast(event_id as varchar) as event_id, event_type, ts as event_time,
+  cast(user_id as varchar) as device_id, 'app_events' as topic, value as metric_value,
+  cast(json_extract_string(props, '$.k') as int) as k, cast(2 as int) as client_major, event_type as client_tag from events""",
+    "open_field_report": """select event_type, f.part, f.field, f.known, count(*) as n_events from events cross join
+  (values ('envelope', 'event_id', true), ('envelope', 'event_type', true), ('envelope', 'timestamp', true),
+    ('envelope', 'device_id', true), ('envelope', 'client', false), ('payload', 'value', false), ('payload', 'props', false)
+  ) f(part, field, known) where f.field <> 'value' or value is not null group by all""",
+    "lookup_events": _t(f"{FLAT} where cast(event_id as bigint) % 97 = 0 and cast(event_id as bigint) < 9700"),
+    "lookup_devices": _t(
+        f"{FLAT} where date = date '2024-01-10' and cast(device_id as bigint) % 7 = 0 and cast(device_id as bigint) < 140"
+    ),
+    "retention_by_device_table": _t(RETENTION),
+    "crashes_by_device_table": _t(CRASHES),
+    "features_of_crashed": _t(
+        "select f.feature_name, count(*) as users, count(*) filter (where f.device_id in "
+        "(select device_id from telemetry where event_type = 'crash_event')) as crashed_users from "
+        "(select distinct feature_name, device_id from telemetry where event_type = 'feature_used') f group by f.feature_name"
+    ),
     # batch reports
     "daily_usage_trends": _t(DAILY.format(where="")),
     "daily_trends_by_region": _t(REGIONAL),

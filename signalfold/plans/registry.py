@@ -17,14 +17,14 @@ from pyspark.sql import types as T
 
 from signalfold.functions.expressions import bucket_start, event_date, is_fatal, is_type
 from signalfold.operators import crashes, device_bitmaps, features, observe, performance, quality, retention, serving, sketches, usage, windows
-from signalfold.plans import catalog, repair
+from signalfold.plans import catalog, device_tables, repair
 from signalfold.plans.batch import REPORT_ROLL_UPS, extend_bitmaps, extend_roll_ups, run_batch, stored
 from signalfold.schema import PAYLOAD_TYPES, SEGMENT, event_schema, normalise
 from signalfold.session import workspace
-from signalfold.settings import AlertSettings, LakeSettings, Settings, StreamSettings
+from signalfold.settings import AlertSettings, LakeSettings, LookupSettings, Settings, StreamSettings
 from signalfold.sinks import batch as sinks
 from signalfold.sinks.versions import read_current
-from signalfold.sources import raw, wire
+from signalfold.sources import lookup, open_payload, raw, wire
 from signalfold.sources.star import K, table, telemetry
 from signalfold.streaming import dedup, jobs
 from signalfold.streaming.reconcile import reconcile_streams
@@ -60,6 +60,10 @@ REPEATED_AFTER = "INTERVAL 5 MINUTES"  # when a message comes again
 CLOSED = "INTERVAL 1 HOUR"  # before the end of the streams, by when all verdicts are out
 SPLIT_DAY = "2024-01-15"  # first day of the second landing
 LIFECYCLE_DAY = date(2024, 1, 20)
+DEVICE_BUCKETS = 8
+EVENT_IDS = tuple(str(97 * i) for i in range(100))  # of the lookup
+DEVICE_IDS = tuple(str(7 * i) for i in range(20))
+LOOKUP = LookupSettings(row_group_bytes=64 << 10, filter_bytes=64 << 10)  # the test tables are one row group otherwise
 AS_OF_DATES = (date(2024, 1, 26), date(2024, 1, 31))
 # -----------------------------------------------------------------------------
 
@@ -414,6 +418,81 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _open_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as messages with its own event types, landed whole and read back."""
+    path = workspace(spark, "open")
+    facts = table(spark, sf_dir, "events")
+    record = F.struct(
+        F.col("event_id").cast("string").alias("event_id"), "event_type", F.date_format("ts", wire.TIMESTAMP_FORMAT).alias("timestamp"),
+        F.col("user_id").cast("string").alias("device_id"),
+        # fields that the schema of events has no column for
+        F.struct(F.lit(2).alias("major"), F.array(F.lit("a"), F.col("event_type")).alias("tags")).alias("client"),
+        F.struct("value", F.try_parse_json("props").alias("props")).alias("payload"),
+    )
+    open_payload.land_open(facts.select(F.to_json(record).alias("value")), path)
+    return open_payload.load_open(spark, path)
+
+
+def open_payload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed columns and fields outside the schema, out of landed records."""
+    field = open_payload.open_field
+    return _open_events(spark, sf_dir).select(
+        "event_id", "event_type", F.col("timestamp").cast("timestamp_ntz").alias("event_time"), "device_id", "topic",
+        F.col("payload.value").alias("metric_value"), field("payload.props.k", "int").alias("k"),
+        field("client.major", "int").alias("client_major"), field("client.tags[1]").alias("client_tag"),
+    )
+
+
+def open_field_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of the landed records; whether a decimal or a double is written for a number depends on the number."""
+    report = open_payload.field_report(_open_events(spark, sf_dir))
+    return report.where(~F.col("value_type").isin("DECIMAL", "DOUBLE", "BIGINT")).drop("value_type").unionByName(
+        report.where(F.col("value_type").isin("DECIMAL", "DOUBLE", "BIGINT"))
+        .groupBy("event_type", "part", "field", "known").agg(F.sum("n_events").alias("n_events"))
+    )
+
+
+# --- lookups and tables by device -------------------------------------------------
+
+
+def _lookup_landing(spark: SparkSession, sf_dir: str) -> str:
+    path = workspace(spark, "lookup")
+    sinks.land_raw(_full(spark, sf_dir), path, lookup=LOOKUP)
+    return path
+
+
+def lookup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat(_naive(lookup.find_events(spark, _lookup_landing(spark, sf_dir), EVENT_IDS), "timestamp"))
+
+
+def lookup_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lookup.find_events(spark, _lookup_landing(spark, sf_dir), device_ids=DEVICE_IDS, date=DAY)
+    return _flat(_naive(found, "timestamp"))
+
+
+def _by_device(spark: SparkSession, sf_dir: str) -> LakeSettings:
+    """The tables by device, added to in two steps."""
+    lake = LakeSettings(root=workspace(spark, "lake"), database=f"telemetry_{uuid.uuid4().hex}", device_buckets=DEVICE_BUCKETS)
+    for part in _two_parts(_full(spark, sf_dir)):
+        extend_roll_ups(part, lake, device_tables.DEVICE_TABLES)
+        days = [r[0] for r in part.select(event_date().alias("date")).distinct().collect()]
+        device_tables.extend_device_tables(spark, lake, days)
+    return lake
+
+
+def retention_by_device_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = device_tables.device_table(spark, "device_days", _by_device(spark, sf_dir))
+    return retention.rates_from_cohorts(retention.cohorts_from_activity(days))
+
+
+def crashes_by_device_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crashes.crashes_from_activity(device_tables.device_table(spark, "device_days", _by_device(spark, sf_dir)))
+
+
+def features_of_crashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return device_tables.features_of_crashed(spark, _by_device(spark, sf_dir))
+
+
 # --- batch reports --------------------------------------------------------------
 
 
@@ -718,6 +797,13 @@ QUERIES: dict[str, Query] = {
     "expr_payload_lookup": expr_payload_lookup,
     "expr_conditional": expr_conditional,
     "json_roundtrip": json_roundtrip,
+    "open_payload_roundtrip": open_payload_roundtrip,
+    "open_field_report": open_field_report,
+    "lookup_events": lookup_events,
+    "lookup_devices": lookup_devices,
+    "retention_by_device_table": retention_by_device_table,
+    "crashes_by_device_table": crashes_by_device_table,
+    "features_of_crashed": features_of_crashed,
     # batch reports
     "daily_usage_trends": _over(_no_dims, usage.daily_usage_trends),
     "daily_trends_by_region": _over(_regions, usage.daily_trends_by_region),

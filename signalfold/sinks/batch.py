@@ -16,7 +16,7 @@ from signalfold.functions.expressions import event_date
 from signalfold.operators.quality import status_of, with_topic
 from signalfold.schema import normalise, typed_payload
 from signalfold.session import workspace
-from signalfold.settings import KafkaSettings, LakeSettings, StreamSettings
+from signalfold.settings import KafkaSettings, LakeSettings, LookupSettings, StreamSettings
 from signalfold.sinks.versions import exists, names_below, published, read_current, remove
 from signalfold.sinks.versions import publish as publish_version
 from signalfold.sources.wire import encode, kafka_sink_options
@@ -41,28 +41,51 @@ def write_reports(reports: Mapping[str, DataFrame], path: str) -> None:
         list(pool.map(inheritable_thread_target(session)(write), reports.items()))
 
 
-def write_partitioned(df: DataFrame, path: str, *columns: str, fmt: str = "parquet", mode: str = "append") -> None:
+def write_partitioned(
+    df: DataFrame, path: str, *columns: str, fmt: str = "parquet", mode: str = "append", lookup: LookupSettings | None = None
+) -> None:
     """Folders by ``columns``. The rebalance hint gathers a folder's rows into files of the advisory
     size: small folders get one file, and one that holds a third of all rows is split over tasks.
 
-    ``append`` adds files; ``overwrite`` replaces exactly the folders that ``df`` has rows for, and leaves the others.
+    ``append`` adds files; ``overwrite`` replaces exactly the folders that ``df`` has rows for, and leaves the others. With
+    ``lookup``, the files are laid out for :mod:`signalfold.sources.lookup`.
     """
-    writer = df.hint("rebalance", *columns).write.mode(mode).format(fmt).partitionBy(*columns)
+    rows = df.hint("rebalance", *columns)
+    if lookup:
+        # the writer sorts a task's rows by folder anyway
+        rows = rows.sortWithinPartitions(*columns, *lookup.order)
+    writer = rows.write.mode(mode).format(fmt).partitionBy(*columns)
+    if lookup:
+        writer = writer.options(**lookup_options(lookup))
     writer.option("partitionOverwriteMode", "dynamic").save(path)
 
 
-def _not_streamed(spark: SparkSession, path: str) -> None:
+def lookup_options(lookup: LookupSettings) -> dict[str, str]:
+    """Parquet options for files with Bloom filters, of a size fitted to the values of each row group."""
+    options = {
+        "parquet.block.size": str(lookup.row_group_bytes),
+        "parquet.bloom.filter.adaptive.enabled": "true",
+        "parquet.bloom.filter.max.bytes": str(lookup.filter_bytes),
+    }
+    for column in lookup.bloom:
+        options[f"parquet.bloom.filter.enabled#{column}"] = "true"
+        options[f"parquet.bloom.filter.fpp#{column}"] = str(lookup.false_positives)
+    return options
+
+
+def refuse_streamed(spark: SparkSession, path: str) -> None:
     """A stream's commit log names the files that count: a batch write next to it would not be read, or would delete it."""
     if exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
         raise ValueError(f"a stream lands in {path}; give the batch a folder of its own")
 
 
-def land_raw(events: DataFrame, path: str, replace_days: bool = False) -> None:
+def land_raw(events: DataFrame, path: str, replace_days: bool = False, lookup: LookupSettings | None = None) -> None:
     """Events as Parquet by topic and day, in the form the loader reads, beside what is there. With
-    ``replace_days`` the topic-days of ``events``, and no others, are replaced, so a backfill can run again."""
-    _not_streamed(events.sparkSession, path)
+    ``replace_days`` the topic-days of ``events``, and no others, are replaced, so a backfill can run again. With ``lookup``,
+    events can be found by id without reading all of them."""
+    refuse_streamed(events.sparkSession, path)
     landed = with_topic(normalise(events)).withColumn("event_date", event_date())
-    write_partitioned(landed, path, "topic", "event_date", mode="overwrite" if replace_days else "append")
+    write_partitioned(landed, path, "topic", "event_date", mode="overwrite" if replace_days else "append", lookup=lookup)
 
 
 def checked_rows(checked: DataFrame, reason: str = "reason") -> DataFrame:
@@ -75,22 +98,27 @@ def checked_rows(checked: DataFrame, reason: str = "reason") -> DataFrame:
 def write_checked(checked: DataFrame, path: str, reason: str = "reason") -> None:
     """Valid rows and quarantined rows (those with a ``reason``) in one pass, in the folders
     ``status=valid`` and ``status=quarantined``, each by topic and day, beside what is there."""
-    _not_streamed(checked.sparkSession, path)
+    refuse_streamed(checked.sparkSession, path)
     write_partitioned(checked_rows(checked, reason), path, "status", "topic", "event_date")
 
 
-def compact_days(spark: SparkSession, path: str, days: Sequence[date], file_rows: int = StreamSettings.landed_file_rows) -> None:
-    """Rewrite the landed topic-days of ``days`` as files of about ``file_rows`` rows.
+def compact_days(
+    spark: SparkSession, path: str, days: Sequence[date], file_rows: int = StreamSettings.landed_file_rows, lookup: LookupSettings | None = None
+) -> None:
+    """Rewrite the landed topic-days of ``days`` as files of about ``file_rows`` rows; with ``lookup``, laid out for lookups by id.
 
     The new files go to a staging folder first and then replace the days' folders; a run that fails can be run
     again. Only for folders that batches land in: a stream's own folder is compacted by landing it anew.
     """
-    _not_streamed(spark, path)
+    refuse_streamed(spark, path)
     landed = spark.read.parquet(path).where(F.col("event_date").isin(*days))
     staged = workspace(spark, "compacted")
     landed.write.partitionBy("topic", "event_date").parquet(staged)
     ready = spark.read.parquet(staged)
-    writer = ready.hint("rebalance", "topic", "event_date").write.mode("overwrite").option("maxRecordsPerFile", file_rows)
+    rows = ready.hint("rebalance", "topic", "event_date")
+    if lookup:
+        rows = rows.sortWithinPartitions("topic", "event_date", *lookup.order)
+    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", file_rows).options(**(lookup_options(lookup) if lookup else {}))
     writer.option("partitionOverwriteMode", "dynamic").partitionBy("topic", "event_date").parquet(path)
     remove(spark, staged)
 
