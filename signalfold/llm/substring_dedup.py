@@ -6,11 +6,13 @@ A window is ``window`` consecutive words. Its suffix starts at its first word an
 2. *Prefix partitions.* Each suffix belongs to the partition of its smallest ``gram``-word prefix among those that
    start in the window (its minimizer), which equal windows share. Neighbouring suffixes mostly have the same
    one, so a partition gets one record per run of suffixes. Partitions seen in one document only end here.
-3. *Suffix trees.* A partition of bounded size is sorted by suffix; where neighbours agree to the full depth
-   they lie below one deep internal node, a repeat. All but the smallest document's suffixes there are marked.
-   A prefix with too many suffixes is lengthened to the whole window: then the prefix is the node, and
-   its smallest document is an aggregate with a partial step and a join, so no hot passage meets in one task.
-4. Marked windows of a document, put together, are its maximal repeats; their words are removed.
+3. *Longer prefixes.* A prefix with too many suffixes for one tree is lengthened, for its own suffixes only and in steps: the
+   partition is then that of the smallest longer prefix in the window. The first length that fits is taken.
+4. *Suffix trees.* A partition is sorted by suffix; neighbours' common prefixes are the depths of the tree's internal nodes.
+   Suffixes that agree to the full depth lie below one deep node, a repeat. All but the smallest document's suffixes
+   there are marked. Where no length fits, most windows are the same ones: then the whole window is the prefix and the node, and its
+   smallest document is an aggregate with a partial step and a join, so no hot passage meets in one task.
+5. Marked windows of a document, put together, are its maximal repeats; their words are removed.
 """
 
 from __future__ import annotations
@@ -105,6 +107,33 @@ def _suffixes(window: int):
     return run
 
 
+def _lengthened(window: int, grams: tuple[int, ...]):
+    """Rows (id, h, text, runs): (id, h, start, windows, prefix_0, ...) for each run of windows that have the same minimizers of all
+    the lengths ``grams``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, hs, runs = batch.column(0), batch.column(1), batch.column(3).to_pylist()
+            for row, words in word_runs(batch.column(2)):
+                least = np.stack([_sliding_min(window_hashes(words.hashes, g), window - g + 1) for g in grams])
+                for k in range(len(words)):
+                    start = np.sort(np.concatenate([np.arange(r["start"], r["start"] + r["windows"]) for r in runs[row + k]]))
+                    prefix = least[:, words.first[k] + start]
+                    new = np.ones(len(start), dtype=bool)
+                    new[1:] = (np.diff(start) != 1) | (prefix[:, 1:] != prefix[:, :-1]).any(axis=0)
+                    first = np.flatnonzero(new)
+                    at = pa.array(np.full(len(first), row + k), pa.int64())
+                    yield pa.record_batch(
+                        [
+                            ids.take(at), hs.take(at), pa.array(start[first].astype(np.int32)), pa.array(np.diff(np.append(first, len(start))).astype(np.int32)),
+                            *(pa.array(p[first].view(np.int64)) for p in prefix),
+                        ],
+                        names=["id", "h", "start", "windows", *(f"prefix_{i}" for i in range(len(grams)))],
+                    )
+
+    return run
+
+
 def _whole_windows(window: int):
     """Rows (id, h, text, runs): (node, id, h, start) for each window, the node being the hash of all its words."""
 
@@ -124,6 +153,13 @@ def _whole_windows(window: int):
     return run
 
 
+def _depths(suffixes: list[bytes], window: int) -> np.ndarray:
+    """For each sorted suffix, the words it has in common with the one before: the depth of the node where the two part."""
+    words = np.frombuffer(b"".join(suffixes), dtype=np.uint64).reshape(len(suffixes), window)
+    apart = words[1:] != words[:-1]
+    return np.concatenate([[0], np.where(apart.any(axis=1), apart.argmax(axis=1), window)])
+
+
 def _trees(window: int):
     """Rows (prefix, id, h, start, words), sorted by prefix: (id, h, start, windows), the repeats of a smaller id."""
     depth = 8 * window
@@ -135,10 +171,10 @@ def _trees(window: int):
             leaves = [(w[8 * i : 8 * i + depth], ids[r], r, i) for r, w in enumerate(codes) for i in range(len(w) // 8 - window + 1)]
             leaves.sort()  # depth-first order of the subtree; below a node the smallest id comes first
             marked: list[tuple[int, int]] = []
-            node, least = None, None
-            for suffix, doc, r, i in leaves:
-                if suffix != node:
-                    node, least = suffix, doc
+            least = None
+            for (_, doc, r, i), common in zip(leaves, _depths([leaf[0] for leaf in leaves], window).tolist(), strict=True):
+                if common < window:
+                    least = doc  # another leaf or deep node
                 elif doc > least:
                     marked.append((r, i))
             marked.sort()
@@ -242,15 +278,37 @@ def find_repeats(texts: DataFrame, window: int, gram: int, tree_suffixes: int) -
         runs.join(shared, "prefix").groupBy("id", "h", "hot").agg(F.collect_list(F.struct("prefix", "start", "windows")).alias("runs")), "wanted"
     )
 
-    def sought(hot: bool) -> DataFrame:
-        own = wanted.where("hot" if hot else "not hot")
+    def sought(own: DataFrame) -> DataFrame:
         near = maybe_in(texts, F.col("id"), own, F.col("id")).where("_maybe").select("id", "h", "text")
-        return own.hint("merge").join(near, ["id", "h"]).select("id", "h", "text", "runs")
-
-    suffixes = sought(False).mapInArrow(_suffixes(window), "prefix long, id long, h long, start int, words binary")
+        return own.select("id", "h", "runs").hint("merge").join(near, ["id", "h"]).select("id", "h", "text", "runs")
+
+    def listed(found: DataFrame) -> DataFrame:
+        return found.groupBy("id", "h").agg(F.collect_list(F.struct("prefix", "start", "windows")).alias("runs"))
+
+    asked, common = wanted.where("not hot").select("id", "h", "runs"), None
+    hot = wanted.where("hot")
+    if not hot.isEmpty():
+        grams = tuple(g for g in (gram * 3 // 2, gram * 2, gram * 5 // 2) if gram < g < window)
+        prefixes = "".join(f", prefix_{i} long" for i in range(len(grams)))
+        lengthened = "id long, h long, start int, windows int" + prefixes
+        left = stored(sought(hot).mapInArrow(_lengthened(window, grams), lengthened), "lengthened") if grams else hot.select("id", "h", F.inline("runs"))
+        for i in range(len(grams)):
+            left = left.withColumnRenamed(f"prefix_{i}", "prefix")
+            load = left.groupBy("prefix").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.sum("windows").alias("load"))
+            load = stored(load.where("lo < hi").select("prefix", (F.col("load") <= tree_suffixes).alias("fits")), "loads")
+            left = stored(left.join(load, "prefix"), "dealt")
+            asked = asked.unionByName(stored(listed(left.where("fits")), "fitting"))
+            left = left.where("not fits").drop("prefix", "fits")
+            if left.isEmpty():
+                break
+        else:
+            common = stored(left.groupBy("id", "h").agg(F.collect_list(F.struct("start", "windows")).alias("runs")), "common")
+        # one row for each text again
+        asked = stored(asked.groupBy("id", "h").agg(F.flatten(F.collect_list("runs")).alias("runs")), "asked")
+    suffixes = sought(asked).mapInArrow(_suffixes(window), "prefix long, id long, h long, start int, words binary")
     spans = suffixes.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_trees(window), "id long, h long, start int, windows int")
-    if not wanted.where("hot").isEmpty():
-        leaves = stored(sought(True).mapInArrow(_whole_windows(window), "node long, id long, h long, start int"), "leaves")
+    if common is not None:
+        leaves = stored(sought(common).mapInArrow(_whole_windows(window), "node long, id long, h long, start int"), "leaves")
         nodes = leaves.groupBy("node").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
         # tables of their own: Spark splits a hot node's join only where both sides come straight from a shuffle
         nodes = stored(nodes.select("node", "least"), "nodes")
@@ -273,7 +331,7 @@ def substring_dedup(
     words and an empty kept_text. Rows that share an id are one document: they don't remove from each other. A
     row without an id is kept whole and removes nothing. Texts of any length are taken whole; other columns are not read.
 
-    ``tree_suffixes`` bounds the suffixes of one tree.
+    ``tree_suffixes`` bounds the suffixes of one tree; the result doesn't depend on it.
     """
     if not 1 <= gram <= window:
         raise ValueError("gram must be between 1 and window")

@@ -9,6 +9,7 @@ from llm import brute
 from pyspark.sql import functions as F
 
 from signalfold.llm import ngram_join, simhash
+from signalfold.llm import substring_dedup as substring_module
 from signalfold.llm.components import stored
 from signalfold.llm.filters import maybe_in, without
 from signalfold.llm.ngram_join import Jaccard, Order, ngram_jaccard_join
@@ -133,7 +134,7 @@ def test_trie_counts_each_overlap():
     assert {(u, v) for u, v in part.links()} == {(i, root(i)) for i in range(25) if root(i) != i}
 
 
-@pytest.mark.parametrize("limit", [50_000, 30])
+@pytest.mark.parametrize("limit", [50_000, 300, 30, 1])
 def test_dedup_equals_brute_force(spark, limit):
     docs = variants(3) + [(900, "x " * 300), (901, "x " * 180 + "y"), (902, None)]
     found = substring_dedup(table(spark, docs), window=20, gram=7, joined=True, tree_suffixes=limit).collect()
@@ -142,6 +143,25 @@ def test_dedup_equals_brute_force(spark, limit):
     assert {r.doc_id: (r.n_words, r.n_removed) for r in found} == {i: (len(brute.words(t)), len(brute.words(t)) - len(kept[i])) for i, t in docs}
 
 
+def test_a_hot_prefix_is_lengthened_in_steps(spark, monkeypatch):
+    """A common phrase in texts that are otherwise unlike: longer prefixes are enough, no window goes to the aggregate."""
+    phrase = " ".join(f"p{k}" for k in range(12))
+    docs = [(i, f"{' '.join(f'a{i}x{k}' for k in range(15))} {phrase} {' '.join(f'b{i // 2}x{k}' for k in range(30))}") for i in range(120)]
+    steps = []
+    real = substring_module._lengthened
+    monkeypatch.setattr(substring_module, "_lengthened", lambda window, grams: steps.append(grams) or real(window, grams))
+    monkeypatch.setattr(substring_module, "_whole_windows", lambda window: pytest.fail("longer prefixes fit"))
+    found = substring_dedup(table(spark, docs), window=20, gram=7, joined=True, tree_suffixes=100).collect()
+    kept = brute.without_repeats(dict(docs), 20)
+    assert {r.doc_id: r.kept_text.split(" ") if r.kept_text else [] for r in found} == kept
+    assert steps == [(10, 14, 17)] and sum(r.n_removed > 0 for r in found) == 60
+
+
+def test_depths_are_common_prefixes():
+    words = [b"".join(w.to_bytes(8, "big") for w in s) for s in ([1, 1, 1], [1, 1, 2], [1, 1, 2], [1, 3, 0], [2, 3, 0])]
+    assert substring_module._depths(words, 3).tolist() == [0, 2, 3, 1, 0]
+
+
 def test_dedup_keeps_layout_and_clean_texts(spark):
     passage = " ".join(f"p{k}" for k in range(10))
     docs = [(1, f"A \n {passage}  B"), (2, f"  c\td\n{passage}\n e "), (3, " ä  ß\n"), (4, passage), (5, "")]
