@@ -82,6 +82,18 @@ def _outline(window: int, gram: int):
     return run
 
 
+def _adjoining(runs: list[dict]) -> list[dict]:
+    """Runs of the same prefix that follow each other as one; lengthening cuts runs where any of the lengths has a new prefix."""
+    joined: list[dict] = []
+    for r in sorted(runs, key=lambda r: r["start"]):
+        last = joined[-1] if joined else None
+        if last and last["prefix"] == r["prefix"] and last["start"] + last["windows"] == r["start"]:
+            last["windows"] += r["windows"]
+        else:
+            joined.append(dict(r))
+    return joined
+
+
 def _suffixes(window: int):
     """Rows (id, h, text, runs): (prefix, id, h, start, words), the words of a run as 8-byte codes in an order-keeping form."""
 
@@ -92,7 +104,7 @@ def _suffixes(window: int):
                 at, prefix, start, codes = [], [], [], []
                 for k in range(len(words)):
                     own = words.hashes[words.first[k] : words.first[k + 1]].astype(">u8").tobytes()
-                    for r in runs[row + k]:
+                    for r in _adjoining(runs[row + k]):
                         at.append(row + k)
                         prefix.append(r["prefix"])
                         start.append(r["start"])

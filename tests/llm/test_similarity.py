@@ -157,6 +157,12 @@ def test_a_hot_prefix_is_lengthened_in_steps(spark, monkeypatch):
     assert steps == [(10, 14, 17)] and sum(r.n_removed > 0 for r in found) == 60
 
 
+def test_adjoining_runs_are_one():
+    runs = [{"prefix": p, "start": s, "windows": n} for p, s, n in [(1, 3, 2), (1, 0, 3), (2, 5, 1), (1, 6, 1), (1, 8, 1)]]
+    found = [(r["prefix"], r["start"], r["windows"]) for r in substring_module._adjoining(runs)]
+    assert found == [(1, 0, 5), (2, 5, 1), (1, 6, 1), (1, 8, 1)]
+
+
 def test_depths_are_common_prefixes():
     words = [b"".join(w.to_bytes(8, "big") for w in s) for s in ([1, 1, 1], [1, 1, 2], [1, 1, 2], [1, 3, 0], [2, 3, 0])]
     assert substring_module._depths(words, 3).tolist() == [0, 2, 3, 1, 0]
