@@ -26,6 +26,7 @@ from signalfold.sinks import batch as sinks
 from signalfold.sinks.versions import read_current
 from signalfold.sources import lookup, open_payload, raw, wire
 from signalfold.sources.star import K, table, telemetry
+from signalfold.sources.wire import Pace
 from signalfold.streaming import dedup, jobs
 from signalfold.streaming.reconcile import reconcile_streams
 
@@ -53,9 +54,8 @@ REPORT_TOTALS = {
     "performance_by_metric": "sample_count",
     "crash_analysis": "affected_devices",
 }
-STAGED_ROWS = 25_000  # rows of a file, as which the table is replayed as a stream
-FILES_PER_TRIGGER = 2  # such files of a micro-batch
-LANDED_ROWS = 25_000  # rows of a file of a landed topic-day
+STAGED_ROWS = 25_000  # rows of a file at least, as which the table is replayed as a stream
+FILES_PER_TRIGGER = 2  # such files of a micro-batch, at least
 REPEATED_AFTER = "INTERVAL 5 MINUTES"  # when a message comes again
 CLOSED = "INTERVAL 1 HOUR"  # before the end of the streams, by when all verdicts are out
 SPLIT_DAY = "2024-01-15"  # first day of the second landing
@@ -130,32 +130,36 @@ def table_raw_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(" UNION ALL ".join(parts))
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, DataFrame]:
+def _event_stream(spark: SparkSession, sf_dir: str) -> tuple[Pace, DataFrame]:
     """Telemetry as a stream over the events table, in a session with streaming settings. The table is a backlog, so it is
-    replayed in files of rising event time, some per micro-batch: state holds those, and no row is late."""
-    session = jobs.streaming_session(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return session, telemetry(session, sf_dir, events=_replayed(table(session, sf_dir, "events"), "ts"))
+    replayed in files of rising event time, some per micro-batch: state holds those, and no row is late. What the events say of
+    their devices is joined before, once and not in every micro-batch."""
+    pace = Pace.of(table(spark, sf_dir, "events").count(), STAGED_ROWS, FILES_PER_TRIGGER)
+    return pace, _replayed(_stream_session(spark, pace), telemetry(spark, sf_dir), "timestamp", pace)
 
 
-def _replayed(facts: DataFrame, column: str) -> DataFrame:
+def _stream_session(spark: SparkSession, pace: Pace) -> SparkSession:
+    return jobs.streaming_session(spark, min(int(spark.conf.get("spark.sql.shuffle.partitions")), pace.state_partitions))
+
+
+def _replayed(session: SparkSession, facts: DataFrame, column: str, pace: Pace) -> DataFrame:
     staged = workspace(facts.sparkSession, "event-files")
-    wire.stage_in_order(facts, staged, column, STAGED_ROWS)
-    return wire.read_file_stream(facts.sparkSession, staged, facts.schema, max_files_per_trigger=FILES_PER_TRIGGER)
+    wire.stage_in_order(facts, staged, column, pace.file_rows, pace.rows)
+    return wire.read_file_stream(session, staged, facts.schema, max_files_per_trigger=pace.files_per_trigger)
 
 
-def _landed(spark: SparkSession, events: DataFrame) -> DataFrame:
+def _landed(spark: SparkSession, events: DataFrame, pace: Pace) -> DataFrame:
     """A stream of events, landed to its end and read back."""
     path, checkpoint = workspace(spark, "landing"), workspace(spark, "landing-checkpoint")
-    per_folder = -(-FILES_PER_TRIGGER * STAGED_ROWS // LANDED_ROWS)
-    jobs.run_to_end(jobs.land_raw_stream(events, path, checkpoint, trigger=None, files_per_folder=per_folder))
+    jobs.run_to_end(jobs.land_raw_stream(events, path, checkpoint, trigger=None, files_per_folder=pace.files_per_trigger))
     return spark.read.parquet(path)
 
 
 def stream_all_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded messages of all topics through one stream: decoded, routed, landed."""
-    _, events = _event_stream(spark, sf_dir)
+    pace, events = _event_stream(spark, sf_dir)
     decoded = normalise(wire.decode(wire.encode(events)))
-    landed = _landed(spark, decoded)
+    landed = _landed(spark, decoded, pace)
     return landed.groupBy("topic", "event_type", "event_date").agg(
         F.count("*").alias("event_count"), F.countDistinct("device_id").alias("devices")
     )
@@ -165,8 +169,8 @@ def stream_all_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, events = _event_stream(spark, sf_dir)
-    landed = _landed(spark, events)
+    pace, events = _event_stream(spark, sf_dir)
+    landed = _landed(spark, events, pace)
     return landed.select(
         "event_id", "topic", "event_date", "event_type", "device_id", "region", *_payload(),
     )
@@ -208,24 +212,31 @@ def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of which every tenth comes again five minutes later, landed through the dedup state."""
-    session = jobs.streaming_session(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    facts = table(session, sf_dir, "events").withColumn("arrival", F.col("ts").cast("timestamp"))
+    facts = table(spark, sf_dir, "events").withColumn("arrival", F.col("ts").cast("timestamp"))
     again = facts.where("event_id % 10 = 0").withColumn("arrival", F.col("arrival") + F.expr(REPEATED_AFTER))
-    sent = _replayed(facts.unionAll(again), "arrival")
+    both = facts.unionAll(again)
+    pace = Pace.of(both.count(), STAGED_ROWS, FILES_PER_TRIGGER)
+    sent = _replayed(_stream_session(spark, pace), both, "arrival", pace)
     arrival = sent.select("event_id", "ts", "user_id", "event_type", "value", "props", F.col("arrival").alias(dedup.ARRIVAL))
     once = dedup.first_arrivals(arrival).drop(dedup.ARRIVAL)
-    landed = _landed(spark, telemetry(session, sf_dir, events=once))
+    path, checkpoint = workspace(spark, "once"), workspace(spark, "once-checkpoint")
+    jobs.run_to_end(jobs.write_rows_stream(once, "dedup", path, checkpoint, None))
+    # what the events say of their devices is joined once, not in every micro-batch
+    raw_path = workspace(spark, "landing")
+    sinks.land_raw(telemetry(spark, sf_dir, events=spark.read.schema(once.schema).parquet(path)), raw_path)
+    landed = spark.read.parquet(raw_path)
     return landed.select("event_id", "topic", "event_type", "event_date", "device_id")
 
 
 def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """:func:`reconcile_ids` on two streams, as far as they have closed: what arrives does so within three minutes."""
-    session = jobs.streaming_session(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    facts = telemetry(session, sf_dir, device=False, region=False).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    facts = telemetry(spark, sf_dir, device=False, region=False).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     produced, consumed = _two_sides(facts.select("event_id", "event_type", "timestamp", "payload.is_fatal"))
     lag = F.make_dt_interval(secs=F.pmod(F.col("event_id").cast("bigint"), F.lit(180)).cast("decimal(18,6)"))
     consumed = consumed.withColumn("timestamp", F.col("timestamp") + lag)
-    verdicts = reconcile_streams(_replayed(produced, "timestamp"), _replayed(consumed, "timestamp"))
+    paces = [Pace.of(side.count(), STAGED_ROWS, FILES_PER_TRIGGER) for side in (produced, consumed)]
+    session = _stream_session(spark, max(paces, key=lambda p: p.rows))
+    verdicts = reconcile_streams(*(_replayed(session, side, "timestamp", p) for side, p in zip((produced, consumed), paces)))
     path, checkpoint = workspace(spark, "reconciled"), workspace(spark, "reconciled-checkpoint")
     jobs.run_to_end(jobs.write_rows_stream(verdicts, "reconcile", path, checkpoint, None))
     ends = [side.agg(F.max("timestamp").alias("t")) for side in (produced, consumed)]
@@ -257,15 +268,15 @@ def _closed_windows(name: str) -> Query:
 def repair_late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The speed layer over the rows that come in time; a tenth of all is landed later, and the windows are repaired."""
     settings = Settings(lake=LakeSettings(root=workspace(spark, "lake")))
-    session = jobs.streaming_session(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    facts = table(session, sf_dir, "events")
+    facts = table(spark, sf_dir, "events")
     late = F.col("event_id") % 10 == 3
-    sent = telemetry(session, sf_dir, events=_replayed(facts.where(~late), "ts"))
-    sent = wire.with_event_time(sent, settings.stream.watermark)
+    in_time, after = (telemetry(spark, sf_dir, events=facts.where(part)) for part in (~late, late))
+    pace = Pace.of(facts.where(~late).count(), STAGED_ROWS, FILES_PER_TRIGGER)
+    sent = wire.with_event_time(_replayed(_stream_session(spark, pace), in_time, "timestamp", pace), settings.stream.watermark)
     for query in jobs.start_speed_layer(sent, sent, settings.lake.metrics, workspace(spark, "checkpoints"), settings.stream, True):
         jobs.run_to_end(query)
-    for part in (facts.where(~late), facts.where(late)):
-        sinks.land_raw(telemetry(session, sf_dir, events=part).withColumn("timestamp", F.col("timestamp").cast("timestamp")), settings.lake.raw)
+    for part in (in_time, after):
+        sinks.land_raw(part.withColumn("timestamp", F.col("timestamp").cast("timestamp")), settings.lake.raw)
         if not repair.last_mark(spark, settings.lake):
             repair.set_mark(spark, settings.lake, repair.landed_since(spark, settings.lake, None).agg(F.max("file_time")).first()[0])
     repair.repair_windows(spark, settings)

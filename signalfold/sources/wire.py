@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,14 +139,42 @@ def read_file_stream(
     return reader.load(path)
 
 
-def stage_in_order(facts: DataFrame, path: str, column: str, file_rows: int = StreamSettings.landed_file_rows) -> int:
+@dataclass(frozen=True)
+class Pace:
+    """How a backlog of ``rows`` rows is replayed. A micro-batch costs a fixed time for the commit of each state store and for the
+    driver's planning, so a backlog is a few large ones (``MICRO_BATCHES``), until one has as many rows as a live stream lands
+    at a time; beyond that their number grows with the backlog. The state partitions go by the rows of a micro-batch, which the
+    state holds."""
+
+    MICRO_BATCHES = 8
+    FILES = 24  # of a micro-batch, at most
+    STATE_ROWS = 50_000  # of a state partition and micro-batch
+    STATE_PARTITIONS = 12  # at least
+
+    rows: int
+    file_rows: int
+    files_per_trigger: int
+    state_partitions: int
+
+    @classmethod
+    def of(cls, rows: int, file_rows: int, files_per_trigger: int, most: int = 2 * StreamSettings.landed_file_rows) -> Pace:
+        """``file_rows`` and ``files_per_trigger`` at least, ``most`` rows a micro-batch."""
+        batch = max(file_rows * files_per_trigger, min(most, -(-rows // cls.MICRO_BATCHES)))
+        files = min(max(files_per_trigger, cls.FILES), -(-batch // file_rows))
+        return cls(rows, -(-batch // files), files, max(cls.STATE_PARTITIONS, -(-batch // cls.STATE_ROWS)))
+
+
+def stage_in_order(
+    facts: DataFrame, path: str, column: str, file_rows: int = StreamSettings.landed_file_rows, rows: int | None = None
+) -> int:
     """A bounded backlog as files of about ``file_rows`` rows, in disjoint, rising ranges of ``column``; the number of files.
 
     A stream that takes some files per micro-batch, in their order, has no late rows, and its state holds as many files'
-    time. The file source goes by modification time, so the files get rising ones, in the order of their ranges.
+    time. The file source goes by modification time, so the files get rising ones, in the order of their ranges. ``rows`` is
+    about how many there are, where that is known without the pass that counts them.
     """
     spark = facts.sparkSession
-    count = max(1, -(-facts.count() // file_rows))
+    count = max(1, -(-(facts.count() if rows is None else rows) // file_rows))
     facts.repartitionByRange(count, column).write.parquet(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
