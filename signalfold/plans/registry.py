@@ -144,8 +144,8 @@ def _stream_session(spark: SparkSession, pace: Pace) -> SparkSession:
 
 def _replayed(session: SparkSession, facts: DataFrame, column: str, pace: Pace) -> DataFrame:
     staged = workspace(facts.sparkSession, "event-files")
-    wire.stage_in_order(facts, staged, column, pace.file_rows, pace.rows)
-    return wire.read_file_stream(session, staged, facts.schema, max_files_per_trigger=pace.files_per_trigger)
+    files = wire.stage_in_order(facts, staged, column, pace.file_rows, pace.rows)
+    return wire.read_file_stream(session, staged, facts.schema, max_files_per_trigger=pace.admitted(files))
 
 
 def _landed(spark: SparkSession, events: DataFrame, pace: Pace) -> DataFrame:

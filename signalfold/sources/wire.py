@@ -163,6 +163,11 @@ class Pace:
         files = min(max(files_per_trigger, cls.FILES), -(-batch // file_rows))
         return cls(rows, -(-batch // files), files, max(cls.STATE_PARTITIONS, -(-batch // cls.STATE_ROWS)))
 
+    def admitted(self, files: int) -> int:
+        """Files of a micro-batch where the backlog was staged as ``files``, which may be more, and smaller, than asked for."""
+        batches = max(1, -(-self.rows // (self.file_rows * self.files_per_trigger)))
+        return max(self.files_per_trigger, -(-files // batches))
+
 
 def stage_in_order(
     facts: DataFrame, path: str, column: str, file_rows: int = StreamSettings.landed_file_rows, rows: int | None = None

@@ -21,6 +21,9 @@ def test_pace_of_backlogs():
     for rows in (600_000, 6_000_000, 36_000_000, 60_000_000):
         pace = Pace.of(rows, 25_000, 2)
         assert -(-rows // (pace.file_rows * pace.files_per_trigger)) <= Pace.MICRO_BATCHES and pace.files_per_trigger <= Pace.FILES
+    # a backlog that was staged as more files than asked for has no more micro-batches
+    assert Pace.of(100_000, 25_000, 2).admitted(4) == 2 and Pace.of(100_000, 25_000, 2).admitted(211) == 106
+    assert Pace.of(0, 25_000, 2).admitted(0) == 2
     # no micro-batch is larger than what a live stream lands at a time, so that state is bounded
     assert Pace.of(10**10, 25_000, 2).file_rows * Pace.FILES <= 8_000_000 + Pace.FILES
 
