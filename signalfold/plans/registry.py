@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +56,7 @@ REPORT_TOTALS = {
 }
 STAGED_ROWS = 25_000  # rows of a file at least, as which the table is replayed as a stream
 FILES_PER_TRIGGER = 2  # such files of a micro-batch, at least
+SPEED_LAYER = ("event_type", "timestamp", "device_id", "device_type", "os", "app_version", "region")  # and the feature's name
 REPEATED_AFTER = "INTERVAL 5 MINUTES"  # when a message comes again
 CLOSED = "INTERVAL 1 HOUR"  # before the end of the streams, by when all verdicts are out
 SPLIT_DAY = "2024-01-15"  # first day of the second landing
@@ -130,21 +131,27 @@ def table_raw_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(" UNION ALL ".join(parts))
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> tuple[Pace, DataFrame]:
-    """Telemetry as a stream over the events table, in a session with streaming settings. The table is a backlog, so it is
-    replayed in files of rising event time, some per micro-batch: state holds those, and no row is late. What the events say of
-    their devices is joined before, once and not in every micro-batch."""
-    pace = Pace.of(table(spark, sf_dir, "events").count(), STAGED_ROWS, FILES_PER_TRIGGER)
-    return pace, _replayed(_stream_session(spark, pace), telemetry(spark, sf_dir), "timestamp", pace)
+def _event_stream(spark: SparkSession, sf_dir: str, events: DataFrame | None = None, windows: bool = False) -> tuple[Pace, DataFrame]:
+    """Telemetry as a stream over the events table (or ``events`` of it), in a session with streaming settings. The table is a
+    backlog, so it is replayed in files of rising event time, some per micro-batch: state holds those, and no row is late. What the
+    events say of their devices is joined before, once and not in every micro-batch. With ``windows``, the stream has what
+    the speed layer reads, and nothing else is staged."""
+    events = table(spark, sf_dir, "events") if events is None else events
+    pace = Pace.of(events.count(), STAGED_ROWS, FILES_PER_TRIGGER)
+    facts = telemetry(spark, sf_dir, events=events, shuffled=True)
+    if windows:
+        facts = facts.select(*SPEED_LAYER, F.struct("payload.feature_name").alias("payload"))
+    times = events.select(F.col("ts").alias("timestamp"))
+    return pace, _replayed(_stream_session(spark, pace), facts, "timestamp", pace, times)
 
 
 def _stream_session(spark: SparkSession, pace: Pace) -> SparkSession:
-    return jobs.streaming_session(spark, min(int(spark.conf.get("spark.sql.shuffle.partitions")), pace.state_partitions))
+    return jobs.streaming_session(spark, min(int(spark.conf.get("spark.sql.shuffle.partitions")), pace.state_partitions), jobs.HEAP)
 
 
-def _replayed(session: SparkSession, facts: DataFrame, column: str, pace: Pace) -> DataFrame:
+def _replayed(session: SparkSession, facts: DataFrame, column: str, pace: Pace, times: DataFrame | None = None) -> DataFrame:
     staged = workspace(facts.sparkSession, "event-files")
-    files = wire.stage_in_order(facts, staged, column, pace.file_rows, pace.rows)
+    files = wire.stage_in_order(facts, staged, column, pace.file_rows, pace.rows, times)
     return wire.read_file_stream(session, staged, facts.schema, max_files_per_trigger=pace.admitted(files))
 
 
@@ -223,7 +230,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.run_to_end(jobs.write_rows_stream(once, "dedup", path, checkpoint, None))
     # what the events say of their devices is joined once, not in every micro-batch
     raw_path = workspace(spark, "landing")
-    sinks.land_raw(telemetry(spark, sf_dir, events=spark.read.schema(once.schema).parquet(path)), raw_path)
+    sinks.land_raw(telemetry(spark, sf_dir, events=spark.read.schema(once.schema).parquet(path), shuffled=True), raw_path)
     landed = spark.read.parquet(raw_path)
     return landed.select("event_id", "topic", "event_type", "event_date", "device_id")
 
@@ -231,10 +238,12 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """:func:`reconcile_ids` on two streams, as far as they have closed: what arrives does so within three minutes."""
     facts = telemetry(spark, sf_dir, device=False, region=False).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    produced, consumed = _two_sides(facts.select("event_id", "event_type", "timestamp", "payload.is_fatal"))
+    produced, consumed = (side.select("event_id", "timestamp") for side in _two_sides(facts.select("event_id", "event_type", "timestamp", "payload.is_fatal")))
     lag = F.make_dt_interval(secs=F.pmod(F.col("event_id").cast("bigint"), F.lit(180)).cast("decimal(18,6)"))
     consumed = consumed.withColumn("timestamp", F.col("timestamp") + lag)
-    paces = [Pace.of(side.count(), STAGED_ROWS, FILES_PER_TRIGGER) for side in (produced, consumed)]
+    # one pass counts both sides
+    counts = facts.agg(*[F.count_if(kept) for kept in _sides(F.col("event_type"), F.col("payload.is_fatal"))]).first()
+    paces = [Pace.of(n, STAGED_ROWS, FILES_PER_TRIGGER) for n in counts]
     session = _stream_session(spark, max(paces, key=lambda p: p.rows))
     verdicts = reconcile_streams(*(_replayed(session, side, "timestamp", p) for side, p in zip((produced, consumed), paces)))
     path, checkpoint = workspace(spark, "reconciled"), workspace(spark, "reconciled-checkpoint")
@@ -246,9 +255,13 @@ def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _two_sides(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Crashes and app opens were produced; all but fatal crashes, and performance samples, arrived."""
-    both = is_type("crash_event", "app_open")
-    arrived = (both & ~F.coalesce(F.col("is_fatal"), F.lit(False))) | is_type("performance_metric")
-    return events.where(both), events.where(arrived)
+    produced, arrived = _sides(F.col("event_type"), F.col("is_fatal"))
+    return events.where(produced), events.where(arrived)
+
+
+def _sides(event_type: Column, fatal: Column) -> tuple[Column, Column]:
+    both = event_type.isin("crash_event", "app_open")
+    return both, (both & ~F.coalesce(fatal, F.lit(False))) | (event_type == "performance_metric")
 
 
 def _closed_windows(name: str) -> Query:
@@ -256,7 +269,7 @@ def _closed_windows(name: str) -> Query:
     has closed."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        _, events = _event_stream(spark, sf_dir)
+        _, events = _event_stream(spark, sf_dir, windows=True)
         events = wire.with_event_time(events, StreamSettings().watermark)
         path, checkpoint = workspace(spark, name), workspace(spark, f"{name}-checkpoint")
         jobs.run_to_end(jobs.write_parquet_stream(jobs.speed_layer(events, events)[name], name, path, checkpoint, None))
@@ -270,9 +283,9 @@ def repair_late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = Settings(lake=LakeSettings(root=workspace(spark, "lake")))
     facts = table(spark, sf_dir, "events")
     late = F.col("event_id") % 10 == 3
-    in_time, after = (telemetry(spark, sf_dir, events=facts.where(part)) for part in (~late, late))
-    pace = Pace.of(facts.where(~late).count(), STAGED_ROWS, FILES_PER_TRIGGER)
-    sent = wire.with_event_time(_replayed(_stream_session(spark, pace), in_time, "timestamp", pace), settings.stream.watermark)
+    in_time, after = (telemetry(spark, sf_dir, events=facts.where(part), shuffled=True) for part in (~late, late))
+    _, sent = _event_stream(spark, sf_dir, facts.where(~late), windows=True)
+    sent = wire.with_event_time(sent, settings.stream.watermark)
     for query in jobs.start_speed_layer(sent, sent, settings.lake.metrics, workspace(spark, "checkpoints"), settings.stream, True):
         jobs.run_to_end(query)
     for part in (in_time, after):
@@ -596,7 +609,7 @@ def realtime_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_from_speed_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest minute that the speed layer has stored."""
-    _, events = _event_stream(spark, sf_dir)
+    _, events = _event_stream(spark, sf_dir, windows=True)
     events = wire.with_event_time(events, StreamSettings().watermark)
     output, checkpoints = workspace(spark, "metrics"), workspace(spark, "metrics-checkpoints")
     for query in jobs.start_speed_layer(events, events, output, checkpoints, available_now=True):

@@ -70,6 +70,7 @@ def telemetry(
     device: bool = True,
     region: bool = True,
     events: DataFrame | None = None,
+    shuffled: bool = False,
 ) -> DataFrame:
     """Telemetry events in the canonical form, batch or (with a streaming ``events``) streaming.
 
@@ -78,13 +79,16 @@ def telemetry(
     grows with the data. Where the join stays, no side is forced to be broadcast: Spark does so only
     for a table below its size threshold, and beyond it splits hot keys of the sort-merge join
     (AQE). The events are joined with each table in turn, as the estimated size of a join of tables
-    would be their product and rule out a broadcast that the sizes allow.
+    would be their product and rule out a broadcast that the sizes allow. ``shuffled`` keeps ``customer`` from being
+    broadcast also below the threshold: a job that passes all events once gains little by it, and the driver collects the
+    table for it.
     """
     if events is None:
         events = table(spark, sf_dir, "events")
     facts = events.selectExpr("event_id", "ts", "user_id", f"{EVENT_TYPE} AS event_type", "value", f"{K} AS k")
     if device or region:
         customer = table(spark, sf_dir, "customer")
+        customer = customer.hint("merge") if shuffled else customer
         facts = facts.join(customer, facts["user_id"] == customer["c_custkey"], "left")
     if region:
         names = region_names(spark, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -170,17 +170,34 @@ class Pace:
 
 
 def stage_in_order(
-    facts: DataFrame, path: str, column: str, file_rows: int = StreamSettings.landed_file_rows, rows: int | None = None
+    facts: DataFrame,
+    path: str,
+    column: str,
+    file_rows: int = StreamSettings.landed_file_rows,
+    rows: int | None = None,
+    times: DataFrame | None = None,
 ) -> int:
     """A bounded backlog as files of about ``file_rows`` rows, in disjoint, rising ranges of ``column``; the number of files.
 
     A stream that takes some files per micro-batch, in their order, has no late rows, and its state holds as many files'
     time. The file source goes by modification time, so the files get rising ones, in the order of their ranges. ``rows`` is
-    about how many there are, where that is known without the pass that counts them.
+    about how many there are, where that is known without the pass that counts them, and ``times`` has the same values of
+    ``column``, where they can be had without computing ``facts``. The bounds of the ranges are quantiles, aggregated to one row:
+    a range shuffle would compute the facts once more and send the driver hundreds of their rows for every file.
     """
     spark = facts.sparkSession
     count = max(1, -(-(facts.count() if rows is None else rows) // file_rows))
-    facts.repartitionByRange(count, column).write.parquet(path)
+    kind = facts.schema[column].dataType
+    bounds = []
+    if count > 1:
+        # ranks within a hundredth of a file
+        cuts = F.percentile_approx("_t", [k / count for k in range(1, count)], max(10_000, 100 * count))
+        ordered = (facts if times is None else times).select(F.col(column).cast(kind).alias("_t"))
+        bounds = ordered.agg(cuts.cast("array<string>").alias("cuts")).first()["cuts"] or []
+    bounds = list(dict.fromkeys(bounds))
+    # rows without a time come first
+    slot = F.when(F.col(column).isNotNull(), _slot(F.col(column), [F.lit(text).cast(kind) for text in bounds]))
+    facts.repartitionById(len(bounds) + 1, slot).write.parquet(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
     files = sorted((f for f in system.listStatus(place) if f.getPath().getName().startswith("part-")), key=lambda f: f.getPath().getName())
@@ -190,6 +207,15 @@ def stage_in_order(
     return len(files)
 
 
+def _slot(value: Column, bounds: Sequence[Column]) -> Column:
+    """How many of the rising ``bounds`` are below ``value``, by steps that halve."""
+    if not bounds:
+        return F.lit(0)
+    steps = [F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))]
+    below = F.array(*bounds)
+    return F.aggregate(F.array(*steps), F.lit(0), lambda n, step: F.when(F.get(below, n + step - 1) < value, n + step).otherwise(n))
+
+
 def with_event_time(events: DataFrame, watermark: str) -> DataFrame:
     """Watermark on the event time. Spark takes no zone-less timestamps here, hence the cast."""
     if isinstance(events.schema["timestamp"].dataType, T.TimestampNTZType):

@@ -14,17 +14,19 @@ from signalfold.settings import StreamSettings
 from signalfold.sinks.batch import checked_rows
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+HEAP = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"  # Spark's default
 
 
-def streaming_session(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+def streaming_session(spark: SparkSession, shuffle_partitions: int | None = None, state_store: str = ROCKSDB) -> SparkSession:
     """A session of the same application with its own SQL settings: state in RocksDB, off the heap, and a fixed
     number of state partitions. A stream keeps that number for the life of its checkpoint, so it comes neither
-    from the batch setting nor from the cores that happen to be there."""
+    from the batch setting nor from the cores that happen to be there. ``HEAP`` writes and drops a row of the state in a third
+    of the CPU time; it is for replays, whose state is never more than a few micro-batches of a known size."""
     session = spark.newSession()
     partitions = shuffle_partitions or StreamSettings.state_partitions
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", state_store)
     # commit the changes of a batch, not a snapshot of all state
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return session

@@ -3,9 +3,13 @@
 import pytest
 from conftest import SF_DIR
 from oracle_compare import connect, differences
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalfold.plans import registry
 from signalfold.plans.oracle import ORACLE
+from signalfold.sources import wire
+from signalfold.sources.star import telemetry
 from signalfold.sources.wire import Pace
 from signalfold.streaming import jobs
 
@@ -43,3 +47,36 @@ def test_micro_batches_are_few_and_join_no_table(spark, monkeypatch, name):
     # the rows of a range differ a little; the last one only closes windows
     assert batches and all(5 <= n <= Pace.MICRO_BATCHES + 2 for n in batches)
     assert not any("BroadcastHashJoin" in p or "SortMergeJoin" in p for p in plans)
+
+
+def test_staging_computes_the_facts_once(spark, tmp_path):
+    n, calls = 20_000, spark.sparkContext.accumulator(0)
+    # many rows at one time, some without a time, one far off
+    seconds = "CASE WHEN id < 100 THEN NULL WHEN id = 100 THEN 32503680000 WHEN id < 5000 THEN 1704100000 ELSE 1704067200 + id * 7919 % 100000 END"
+    times = spark.range(0, n, 1, 8).selectExpr("id", f"CAST(timestamp_seconds({seconds}) AS timestamp_ntz) AS timestamp")
+    counted = F.udf(lambda k: (calls.add(1), k)[1], T.LongType())
+    path = str(tmp_path / "staged")
+    made = wire.stage_in_order(times.withColumn("made", counted("id")), path, "timestamp", 1000, n, times.select("timestamp"))
+    assert 15 <= made <= 17  # fewer than 20, as those of the common time are one
+    assert calls.value == n
+    place = F.col("_metadata.file_modification_time")
+    time = F.col("timestamp").cast("timestamp")
+    staged = spark.read.parquet(path).groupBy(place.alias("t")).agg(F.min(time), F.max(time), F.count("*"), F.count_if(time.isNull())).orderBy("t")
+    files = [tuple(r)[1:] for r in staged.collect()]
+    assert all(a[1] < b[0] for a, b in zip(files, files[1:]))
+    assert files[0][3] == 100 and sum(f[2] for f in files) == n and sum(f[3] for f in files) == 100
+    assert sorted(f[2] for f in files)[-2] <= 2200 and max(f[2] for f in files) < 7000
+
+
+def test_staged_by_quantiles_without_broadcast_of_devices(spark):
+    plan = telemetry(spark, SF_DIR, shuffled=True)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("BroadcastExchange") <= 2 * plan.count("BroadcastHashJoin") and "c_custkey" in plan
+    _, events = registry._event_stream(spark, SF_DIR, windows=True)
+    assert events.columns == [*registry.SPEED_LAYER, "payload"] and events.schema["payload"].dataType.names == ["feature_name"]
+
+
+def test_both_sides_of_the_reconciliation_are_counted_in_one_pass(spark):
+    events = telemetry(spark, SF_DIR, device=False, region=False)
+    sides = registry._two_sides(events.select("event_type", "payload.is_fatal"))
+    counts = events.agg(*[F.count_if(kept) for kept in registry._sides(F.col("event_type"), F.col("payload.is_fatal"))]).first()
+    assert [side.count() for side in sides] == list(counts)
