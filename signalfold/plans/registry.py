@@ -7,10 +7,12 @@ the last bits, differs between engines and runs; the operators themselves do not
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -131,27 +133,41 @@ def table_raw_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(" UNION ALL ".join(parts))
 
 
-def _event_stream(spark: SparkSession, sf_dir: str, events: DataFrame | None = None, windows: bool = False) -> tuple[Pace, DataFrame]:
+def _event_stream(
+    spark: SparkSession,
+    sf_dir: str,
+    events: DataFrame | None = None,
+    windows: bool = False,
+    staged: str | None = None,
+) -> tuple[Pace, DataFrame]:
     """Telemetry as a stream over the events table (or ``events`` of it), in a session with streaming settings. The table is a
     backlog, so it is replayed in files of rising event time, some per micro-batch: state holds those, and no row is late. What the
     events say of their devices is joined before, once and not in every micro-batch. With ``windows``, the stream has what
-    the speed layer reads, and nothing else is staged."""
+    the speed layer reads, and nothing else is staged. The files go to ``staged``, if given."""
     events = table(spark, sf_dir, "events") if events is None else events
     pace = Pace.of(events.count(), STAGED_ROWS, FILES_PER_TRIGGER)
     facts = telemetry(spark, sf_dir, events=events, shuffled=True)
     if windows:
         facts = facts.select(*SPEED_LAYER, F.struct("payload.feature_name").alias("payload"))
     times = events.select(F.col("ts").alias("timestamp"))
-    return pace, _replayed(_stream_session(spark, pace), facts, "timestamp", pace, times)
+    return pace, _replayed(_stream_session(spark, pace), facts, "timestamp", pace, times, staged=staged)
 
 
 def _stream_session(spark: SparkSession, pace: Pace) -> SparkSession:
     return jobs.streaming_session(spark, min(int(spark.conf.get("spark.sql.shuffle.partitions")), pace.state_partitions), jobs.HEAP)
 
 
-def _replayed(session: SparkSession, facts: DataFrame, column: str, pace: Pace, times: DataFrame | None = None) -> DataFrame:
-    staged = workspace(facts.sparkSession, "event-files")
-    files = wire.stage_in_order(facts, staged, column, pace.file_rows, pace.rows, times)
+def _replayed(
+    session: SparkSession,
+    facts: DataFrame,
+    column: str,
+    pace: Pace,
+    times: DataFrame | None = None,
+    bounds: Sequence[str] | None = None,
+    staged: str | None = None,
+) -> DataFrame:
+    staged = staged or workspace(facts.sparkSession, "event-files")
+    files = wire.stage_in_order(facts, staged, column, pace.file_rows, pace.rows, times, bounds)
     return wire.read_file_stream(session, staged, facts.schema, max_files_per_trigger=pace.admitted(files))
 
 
@@ -237,19 +253,33 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """:func:`reconcile_ids` on two streams, as far as they have closed: what arrives does so within three minutes."""
-    facts = telemetry(spark, sf_dir, device=False, region=False).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    events = table(spark, sf_dir, "events")
+    facts = telemetry(spark, sf_dir, device=False, region=False, events=events).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     produced, consumed = (side.select("event_id", "timestamp") for side in _two_sides(facts.select("event_id", "event_type", "timestamp", "payload.is_fatal")))
     lag = F.make_dt_interval(secs=F.pmod(F.col("event_id").cast("bigint"), F.lit(180)).cast("decimal(18,6)"))
     consumed = consumed.withColumn("timestamp", F.col("timestamp") + lag)
-    # one pass counts both sides
-    counts = facts.agg(*[F.count_if(kept) for kept in _sides(F.col("event_type"), F.col("payload.is_fatal"))]).first()
-    paces = [Pace.of(n, STAGED_ROWS, FILES_PER_TRIGGER) for n in counts]
+    # one pass counts both sides, finds their ranges and their ends; a side has at most as many files as all events would have
+    most = Pace.of(events.count(), STAGED_ROWS, FILES_PER_TRIGGER)
+    ranges = -(-most.rows // most.file_rows)
+    kept = _sides(F.col("event_type"), F.col("payload.is_fatal"))
+    sent = facts.select(F.when(kept[0], F.col("timestamp")).alias("p"), F.when(kept[1], F.col("timestamp") + lag).alias("c"), *(k.alias(n) for n, k in zip(("p_kept", "c_kept"), kept)))
+    found = sent.agg(
+        *(
+            F.struct(F.count_if(f"{side}_kept").alias("rows"), wire.quantile_cuts(F.col(side), ranges).alias("cuts"), F.unix_micros(F.max(side)).alias("end"))
+            for side in ("p", "c")
+        )
+    ).first()
+    paces = [Pace.of(side["rows"], STAGED_ROWS, FILES_PER_TRIGGER) for side in found]
     session = _stream_session(spark, max(paces, key=lambda p: p.rows))
-    verdicts = reconcile_streams(*(_replayed(session, side, "timestamp", p) for side, p in zip((produced, consumed), paces)))
+
+    def replayed(side: DataFrame, pace: Pace, cuts: Sequence[str] | None) -> DataFrame:
+        return _replayed(session, side, "timestamp", pace, bounds=cuts or [])
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        verdicts = reconcile_streams(*pool.map(inheritable_thread_target(spark)(replayed), (produced, consumed), paces, [side["cuts"] for side in found]))
     path, checkpoint = workspace(spark, "reconciled"), workspace(spark, "reconciled-checkpoint")
     jobs.run_to_end(jobs.write_rows_stream(verdicts, "reconcile", path, checkpoint, None))
-    ends = [side.agg(F.max("timestamp").alias("t")) for side in (produced, consumed)]
-    closed = ends[0].unionAll(ends[1]).agg((F.min("t") - F.expr(CLOSED)).alias("t")).scalar()
+    closed = F.timestamp_micros(F.least(*[F.lit(side["end"]).cast("bigint") for side in found])) - F.expr(CLOSED)
     return spark.read.schema(verdicts.schema).parquet(path).where(F.col("event_time") < closed).select("event_id", "status")
 
 

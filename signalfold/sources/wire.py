@@ -147,8 +147,8 @@ class Pace:
     state holds."""
 
     MICRO_BATCHES = 8
-    FILES = 24  # of a micro-batch, at most
-    STATE_ROWS = 50_000  # of a state partition and micro-batch
+    FILES = 12  # of a micro-batch, at most
+    STATE_ROWS = 100_000  # of a state partition and micro-batch
     STATE_PARTITIONS = 12  # at least
 
     rows: int
@@ -176,6 +176,7 @@ def stage_in_order(
     file_rows: int = StreamSettings.landed_file_rows,
     rows: int | None = None,
     times: DataFrame | None = None,
+    bounds: Sequence[str] | None = None,
 ) -> int:
     """A bounded backlog as files of about ``file_rows`` rows, in disjoint, rising ranges of ``column``; the number of files.
 
@@ -183,18 +184,16 @@ def stage_in_order(
     time. The file source goes by modification time, so the files get rising ones, in the order of their ranges. ``rows`` is
     about how many there are, where that is known without the pass that counts them, and ``times`` has the same values of
     ``column``, where they can be had without computing ``facts``. The bounds of the ranges are quantiles, aggregated to one row:
-    a range shuffle would compute the facts once more and send the driver hundreds of their rows for every file.
+    a range shuffle would compute the facts once more and send the driver hundreds of their rows for every file. ``bounds`` are
+    these, where they are known (:func:`quantile_cuts`).
     """
     spark = facts.sparkSession
-    count = max(1, -(-(facts.count() if rows is None else rows) // file_rows))
     kind = facts.schema[column].dataType
-    bounds = []
-    if count > 1:
-        # ranks within a hundredth of a file
-        cuts = F.percentile_approx("_t", [k / count for k in range(1, count)], max(10_000, 100 * count))
+    if bounds is None:
+        count = max(1, -(-(facts.count() if rows is None else rows) // file_rows))
         ordered = (facts if times is None else times).select(F.col(column).cast(kind).alias("_t"))
-        bounds = ordered.agg(cuts.cast("array<string>").alias("cuts")).first()["cuts"] or []
-    bounds = list(dict.fromkeys(bounds))
+        bounds = ordered.agg(quantile_cuts(F.col("_t"), count).alias("cuts")).first()["cuts"] if count > 1 else None
+    bounds = list(dict.fromkeys(bounds or []))
     # rows without a time come first
     slot = F.when(F.col(column).isNotNull(), _slot(F.col(column), [F.lit(text).cast(kind) for text in bounds]))
     facts.repartitionById(len(bounds) + 1, slot).write.parquet(path)
@@ -207,6 +206,14 @@ def stage_in_order(
     return len(files)
 
 
+def quantile_cuts(value: Column, count: int) -> Column:
+    """The bounds between ``count`` ranges of about equally many rows, as text, an aggregate: null without values."""
+    if count < 2:
+        return F.lit(None).cast("array<string>")
+    # ranks within a hundredth of a range
+    return F.percentile_approx(value, [k / count for k in range(1, count)], max(10_000, 100 * count)).cast("array<string>")
+
+
 def _slot(value: Column, bounds: Sequence[Column]) -> Column:
     """How many of the rising ``bounds`` are below ``value``, by steps that halve."""
     if not bounds:

@@ -22,7 +22,12 @@ def with_arrival(messages: DataFrame, arrival: str | None = None) -> DataFrame:
 
 
 def first_arrivals(
-    messages: DataFrame, key: str = "event_id", arrival: str = ARRIVAL, within: str = StreamSettings.dedup_within, watermark: bool = True
+    messages: DataFrame,
+    key: str = "event_id",
+    arrival: str = ARRIVAL,
+    within: str = StreamSettings.dedup_within,
+    watermark: bool = True,
+    known: bool = False,
 ) -> DataFrame:
     """Each ``key`` once: repeats that arrive up to ``within`` after the first are dropped. Rows without a key all stay, as nothing
     tells them apart.
@@ -30,7 +35,8 @@ def first_arrivals(
     The time is that of arrival, which only grows, and not the event's: an event that reports an old time is not late here,
     and none is lost. A stream that has a watermark already is told apart by that one (``watermark=False``): rows it
     counts as late are dropped, as by the aggregates that follow. A batch has each key once, whatever the time between, the
-    first arrival staying.
+    first arrival staying. ``known`` says that every row has a key: a stream is then spread by the key itself, as a join on it
+    is, which so needs no shuffle of its own.
     """
     if not messages.isStreaming:
         known = messages.where(F.col(key).isNotNull())
@@ -38,6 +44,8 @@ def first_arrivals(
         first = known.groupBy(key).agg(F.min_by(F.struct(*names), F.col(arrival)).alias("_first"))
         return first.select(key, "_first.*").select(messages.columns).unionAll(messages.where(F.col(key).isNull()))
     timed = messages.withWatermark(arrival, within) if watermark else messages
+    if known:
+        return timed.dropDuplicatesWithinWatermark([key])
     # without an id a row is its own key; a null would be one key for all
     keyed = timed.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.uuid()))
     return keyed.dropDuplicatesWithinWatermark(["_key"]).drop("_key")

@@ -30,7 +30,7 @@ def reconcile_streams(
         rows = rows.where(F.col(key).isNotNull()).select(F.col(key).alias(f"{prefix}_id"), F.col(time).cast("timestamp").alias(f"{prefix}_time"))
         if rows.isStreaming:
             rows = rows.withWatermark(f"{prefix}_time", settings.watermark)
-        return first_arrivals(rows, f"{prefix}_id", f"{prefix}_time", watermark=False)
+        return first_arrivals(rows, f"{prefix}_id", f"{prefix}_time", watermark=False, known=True)
 
     near = F.expr(
         f"p_id = c_id AND c_time >= p_time - INTERVAL {within} AND c_time <= p_time + INTERVAL {within}"
