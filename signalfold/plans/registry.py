@@ -313,15 +313,19 @@ def repair_late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = Settings(lake=LakeSettings(root=workspace(spark, "lake")))
     facts = table(spark, sf_dir, "events")
     late = F.col("event_id") % 10 == 3
-    in_time, after = (telemetry(spark, sf_dir, events=facts.where(part), shuffled=True) for part in (~late, late))
-    _, sent = _event_stream(spark, sf_dir, facts.where(~late), windows=True)
+    # the rows in time are staged with all that is landed of them, so that their devices are joined once
+    staged = workspace(spark, "event-files")
+    _, sent = _event_stream(spark, sf_dir, facts.where(~late), staged=staged)
+    in_time, after = spark.read.schema(sent.schema).parquet(staged), telemetry(spark, sf_dir, events=facts.where(late), shuffled=True)
     sent = wire.with_event_time(sent, settings.stream.watermark)
-    for query in jobs.start_speed_layer(sent, sent, settings.lake.metrics, workspace(spark, "checkpoints"), settings.stream, True):
-        jobs.run_to_end(query)
+    queries = jobs.start_speed_layer(sent, sent, settings.lake.metrics, workspace(spark, "checkpoints"), settings.stream, True)
+    # the landing is another job, which runs beside the speed layer
     for part in (in_time, after):
         sinks.land_raw(part.withColumn("timestamp", F.col("timestamp").cast("timestamp")), settings.lake.raw)
         if not repair.last_mark(spark, settings.lake):
             repair.set_mark(spark, settings.lake, repair.landed_since(spark, settings.lake, None).agg(F.max("file_time")).first()[0])
+    for query in queries:
+        jobs.run_to_end(query)
     repair.repair_windows(spark, settings)
     users = repair.repaired_windows(spark, "active_users", settings.lake).drop("window_date")
     return _naive(users, "window_start", "window_end")

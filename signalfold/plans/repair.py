@@ -7,8 +7,10 @@ the place of the stored ones. No other window is read or changed.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,15 +56,17 @@ def repair_windows(spark: SparkSession, settings: Settings = Settings(), checked
     """Repair the stored windows of the three aggregates; the new mark, or None if nothing was landed since the last.
 
     Windows that the stream has not closed yet are left to it. The recomputed ones are published as a table beside the
-    stream's files, whose commit log names what counts there; :func:`repaired_windows` reads both. The mark is set last: a run
-    that dies is run again, with the same result.
+    stream's files, whose commit log names what counts there; :func:`repaired_windows` reads both. The aggregates are repaired
+    at the same time, as none of them fills a cluster. The mark is set last: a run that dies is run again, with the same result.
     """
     lake = settings.lake
     fresh = landed_since(spark, lake, last_mark(spark, lake), checked)
     newest = fresh.agg(F.max("file_time").alias("t")).first()["t"]
     if newest is None:
         return None
-    for name, (operator, width) in _operators(settings.stream).items():
+
+    def repaired(name: str) -> None:
+        operator, width = operators[name]
         stored = spark.read.parquet(f"{lake.metrics}/{name}")
         closed = stored.agg(F.max("window_end").alias("t")).first()["t"]
         span = F.window("timestamp", width)
@@ -77,6 +81,10 @@ def repair_windows(spark: SparkSession, settings: Settings = Settings(), checked
         if current(spark, path):
             windows = windows.unionByName(_without(read_current(spark, path), windows))
         publish(windows, path)
+
+    operators = _operators(settings.stream)
+    with ThreadPoolExecutor(max_workers=len(operators)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(repaired), operators))
     set_mark(spark, lake, newest)
     return newest
 
