@@ -139,6 +139,7 @@ def _event_stream(
     events: DataFrame | None = None,
     windows: bool = False,
     staged: str | None = None,
+    together: bool = False,
 ) -> tuple[Pace, DataFrame]:
     """Telemetry as a stream over the events table (or ``events`` of it), in a session with streaming settings. The table is a
     backlog, so it is replayed in files of rising event time, some per micro-batch: state holds those, and no row is late. What the
@@ -150,11 +151,14 @@ def _event_stream(
     if windows:
         facts = facts.select(*SPEED_LAYER, F.struct("payload.feature_name").alias("payload"))
     times = events.select(F.col("ts").alias("timestamp"))
-    return pace, _replayed(_stream_session(spark, pace), facts, "timestamp", pace, times, staged=staged)
+    return pace, _replayed(_stream_session(spark, pace, together), facts, "timestamp", pace, times, staged=staged)
 
 
-def _stream_session(spark: SparkSession, pace: Pace) -> SparkSession:
-    return jobs.streaming_session(spark, min(int(spark.conf.get("spark.sql.shuffle.partitions")), pace.state_partitions), jobs.HEAP)
+def _stream_session(spark: SparkSession, pace: Pace, together: bool = False) -> SparkSession:
+    """``together``: its queries run at the same time and fill the cluster with half the state partitions each. A partition costs a
+    commit per state store and micro-batch, most of it a wait for the file system, however few its rows are."""
+    partitions = -(-pace.state_partitions // 2) if together else pace.state_partitions
+    return jobs.streaming_session(spark, min(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions), jobs.HEAP)
 
 
 def _replayed(
@@ -315,7 +319,7 @@ def repair_late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = F.col("event_id") % 10 == 3
     # the rows in time are staged with all that is landed of them, so that their devices are joined once
     staged = workspace(spark, "event-files")
-    _, sent = _event_stream(spark, sf_dir, facts.where(~late), staged=staged)
+    _, sent = _event_stream(spark, sf_dir, facts.where(~late), staged=staged, together=True)
     in_time, after = spark.read.schema(sent.schema).parquet(staged), telemetry(spark, sf_dir, events=facts.where(late), shuffled=True)
     sent = wire.with_event_time(sent, settings.stream.watermark)
     queries = jobs.start_speed_layer(sent, sent, settings.lake.metrics, workspace(spark, "checkpoints"), settings.stream, True)
@@ -643,7 +647,7 @@ def realtime_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_from_speed_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest minute that the speed layer has stored."""
-    _, events = _event_stream(spark, sf_dir, windows=True)
+    _, events = _event_stream(spark, sf_dir, windows=True, together=True)
     events = wire.with_event_time(events, StreamSettings().watermark)
     output, checkpoints = workspace(spark, "metrics"), workspace(spark, "metrics-checkpoints")
     for query in jobs.start_speed_layer(events, events, output, checkpoints, available_now=True):

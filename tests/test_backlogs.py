@@ -54,6 +54,18 @@ def test_known_quantiles_need_no_pass(spark, tmp_path):
     assert wire.stage_in_order(facts, str(tmp_path / "whole"), "timestamp", 100, bounds=[]) == 1
 
 
+def test_queries_that_run_together_share_the_state_partitions(spark):
+    pace = Pace.of(100_000, 25_000, 2)
+    wide = spark.newSession()
+    wide.conf.set("spark.sql.shuffle.partitions", "100")
+    width = lambda **how: int(registry._stream_session(wide, pace, **how).conf.get("spark.sql.shuffle.partitions"))
+    assert width() == 12 and width(together=True) == 6
+    # a micro-batch of a sixty-fold table is one wave of 12 tasks
+    assert Pace.of(6_000_000, 25_000, 2).state_partitions == 12
+    checksums = lambda store: jobs.streaming_session(spark, 2, store).conf.get("spark.sql.streaming.checkpoint.fileChecksum.enabled")
+    assert checksums(jobs.HEAP) == "false" and checksums(jobs.ROCKSDB) == "true"
+
+
 def test_rows_in_time_are_joined_with_their_devices_once(spark, tables, monkeypatch):
     plans, land = [], sinks.land_raw
 
